@@ -31,7 +31,7 @@ from .boosting import Boosted, fit
 from .common import pick, small_batches, texts
 from .dom import Page
 
-TRAINING_PAGES = 600
+TRAINING_PAGES = 900
 #: How much a node's opinion on its whole subtree counts, against that on its own text.
 SUBTREE = 0.25
 
@@ -102,7 +102,7 @@ class Author:
             kind = r.random()
             close = r.random() < 0.8
             if kind < 0.7:
-                words = self.prose(r.choice((1, 1, 2, 3, 5, 8, 12)))
+                words = self.prose(r.choice((1, 1, 2, 3, 5, 8, 12))) if r.random() < 0.8 else self.words(1, 4)
                 if r.random() < 0.2:
                     words = words.replace(" ", ' <a href="/x">', 1).replace(",", "</a>,", 1) if "," in words else words
                 if r.random() < 0.2:
@@ -126,7 +126,7 @@ class Author:
         """The page, with the texts of its main runs marked by a leading and trailing \\x01."""
         r = self.r
         body = self.blocks(r.choice((0, 0, 1, 2, 4, 8, 14, 25)))
-        if r.random() < 0.9 or not body:
+        if r.random() < 0.8 or not body:
             body.insert(0, f"<h1>{self.words(1, 14)}</h1>")
         if r.random() < 0.3:
             body.insert(1, f"<p><b>{self.words(1, 30)}<br>")
@@ -141,6 +141,8 @@ class Author:
         after = ["\x02" + self.boilerplate(k) for k in ("share", "comments", "aside", "ad", "form", "nav", "footer", "notice") if r.random() < 0.35]
         if r.random() < 0.3:
             r.shuffle(before)
+        if r.random() < 0.15:  # a page of main text alone
+            before, after, main = [], [], r.choice((main, inside, f"<main>{inside}</main>"))
         whole = "".join(before) + main + "".join(after)
         if r.random() < 0.3:
             whole = f'<div {r.choice(("class", "id"))}="{r.choice(("wrapper", "page", "container", "site"))}">{whole}</div>'
@@ -153,7 +155,6 @@ def labelled(source: str) -> tuple[np.ndarray, np.ndarray]:
 
     Marks stand before a block's tag, so as runs of their own they say what the text after them is."""
     plain = Page(source.replace("\x01", "").replace("\x02", ""))
-    main = other = 0
     kinds: list[bool] = []
     marked = Page(source.replace("\x01", "<hr>\x01<hr>").replace("\x02", "<hr>\x02<hr>"))
     now = False
@@ -172,7 +173,6 @@ def labelled(source: str) -> tuple[np.ndarray, np.ndarray]:
             share[plain.parent[v]][k] += share[v][k]
     keep = [v for v in range(1, len(share)) if sum(share[v])]
     features = np.array(plain.features(), dtype=float)
-    del main, other
     return features[keep], np.array([share[v][1] > share[v][0] for v in keep], dtype=float)
 
 
