@@ -140,4 +140,7 @@ def of_quality(docs: DataFrame, table: tuple[Threshold, ...] = THRESHOLDS, text_
     """The rows of docs that the rules keep, with all their columns."""
     plain, names = numbered(docs)
     rows = measured(plain, f"c{position(docs, text_col)}", names)
-    return rows.filter(~base_failed() & compile_rules(table)).select(*names).toDF(*docs.columns)
+    # a row number that the filter reads keeps the optimizer from moving the filter below the folds,
+    # where every array would be computed again for each use of it
+    judged = rows.select(*names, (~base_failed() & compile_rules(table)).alias("q_kept"), F.monotonically_increasing_id().alias("q_row"))
+    return judged.filter("q_kept and q_row >= 0").select(*names).toDF(*docs.columns)
