@@ -4,7 +4,8 @@ A piece of text starts as its bytes. The leaves of the tree are the ranks of the
 symbols (none: larger than all), each inner node keeps the least of its children, the left one in a
 tie; so the root is the leftmost lowest-rank merge. A merge changes at most three leaves, each
 updated on its path to the root, until no mergeable pair remains: n log n for a piece of n bytes.
-The ids of pieces are kept in a bounded table, as most pieces repeat.
+The pieces that are new in a group of texts are merged together, the trees being rows of a matrix;
+ids are kept in a bounded table, as most pieces repeat.
 
 Vocabulary and merges are read from a public tokenizer file whose path is a parameter; the driver
 reads it and sends it to the executors once, so they need not see the file.
@@ -33,6 +34,8 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 
 #: Pieces whose ids are kept by a Python worker; characters of the longest piece that is kept.
 ROOM, LONGEST = 400_000, 64
+#: Characters of texts whose new pieces are merged together.
+GROUP = 4_000_000
 
 
 def byte_letters() -> list[str]:
@@ -116,42 +119,146 @@ class Vocabulary:
         return [s for s in symbol if s >= 0]
 
 
-class _Pieces(dict):
-    """The ids of pieces as little-endian unsigned 32-bit integers."""
+class Forests:
+    """The segment trees of many pieces at once: row by row what Vocabulary.merged() does for one.
+
+    Pieces whose trees have the same number of leaves are rows of one matrix. Each step merges at
+    the root of every tree that has one left and updates three leaves' paths in all of them.
+    """
+
+    WIDEST = 64  # leaves; longer pieces get a tree of their own
+    NONE = 1 << 62
 
     def __init__(self, vocabulary: Vocabulary) -> None:
-        super().__init__()
         self.vocabulary = vocabulary
-
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.vocabulary.merged(piece.encode()), "<u4").tobytes()
-        if len(piece) <= LONGEST:
-            if len(self) >= ROOM:
-                self.clear()
-            self[piece] = ids
-        return ids
+        self.pairs = np.array(sorted(vocabulary.merges), np.int64)
+        hits = [vocabulary.merges[p] for p in self.pairs.tolist()]
+        self.rank = np.array([h[0] for h in hits], np.int64)
+        self.made = np.zeros(max(self.rank, default=0) + 1, np.int64)
+        self.made[self.rank] = [h[1] for h in hits]
+        self.first = np.array(vocabulary.first, np.int64)
+
+    def leaves(self, left: np.ndarray, right: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Rank, then place, of the merges of these pairs; symbol -1 merges with nothing."""
+        if not len(self.pairs):
+            return np.full(left.shape, self.NONE)
+        pair = (left << 32) | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where((self.pairs[at] == pair) & (left >= 0) & (right >= 0), self.rank[at] * self.WIDEST + place, self.NONE)
+
+    def grown(self, pieces: list[bytes], width: int) -> list[bytes]:
+        """The ids of pieces of at most width + 1 bytes, four bytes each."""
+        rows, wide = len(pieces), width + 2  # a column more than symbols: what lies after the last
+        size = np.array([len(p) for p in pieces])
+        filled = np.arange(wide)[None, :] < size[:, None]
+        symbol = np.full((rows, wide), -1, np.int64)
+        symbol[filled] = self.first[np.frombuffer(b"".join(pieces), np.uint8)]
+        after = np.tile(np.arange(1, wide + 1), (rows, 1))
+        before = np.tile(np.arange(-1, wide - 1), (rows, 1))
+        tree = np.full((rows, 2 * width), self.NONE)
+        tree[:, width:] = self.leaves(symbol[:, :width], symbol[:, 1 : width + 1], np.arange(width)[None, :])
+        half = width >> 1
+        while half:
+            tree[:, half : 2 * half] = np.minimum(tree[:, 2 * half : 4 * half : 2], tree[:, 2 * half + 1 : 4 * half : 2])
+            half >>= 1
+        live = np.arange(rows)
+        while True:
+            root = tree[live, 1]
+            live, root = live[root != self.NONE], root[root != self.NONE]
+            if not len(live):
+                break
+            i = root % self.WIDEST
+            j = after[live, i]
+            k = after[live, j]
+            h = before[live, i]
+            symbol[live, i], symbol[live, j] = self.made[root // self.WIDEST], -1
+            after[live, i] = k
+            before[live, k] = i
+            own = self.leaves(symbol[live, i], symbol[live, k], i)
+            tree[live, width + i] = own
+            inner = j < width  # the last symbol begins no pair
+            tree[live[inner], width + j[inner]] = self.NONE
+            j = np.where(inner, j, i)
+            led = h >= 0
+            tree[live[led], width + h[led]] = self.leaves(symbol[live[led], h[led]], symbol[live[led], i[led]], h[led])
+            h = np.where(led, h, i)
+            paths = [width + i, width + j, width + h]
+            for _ in range(width.bit_length() - 1):
+                paths = [p >> 1 for p in paths]
+                for p in paths:
+                    tree[live, p] = np.minimum(tree[live, 2 * p], tree[live, 2 * p + 1])
+        there = symbol >= 0
+        ids = symbol[there].astype("<u4").tobytes()
+        ends = (4 * np.cumsum(there.sum(axis=1))).tolist()
+        return [ids[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def __call__(self, pieces: list[str]) -> dict[str, bytes]:
+        found: dict[str, bytes] = {}
+        of_width: dict[int, list[str]] = {}
+        for piece in pieces:
+            n = len(piece.encode())
+            width = 1 << max(n - 2, 0).bit_length()
+            if width > self.WIDEST:
+                found[piece] = np.array(self.vocabulary.merged(piece.encode()), "<u4").tobytes()
+            else:
+                of_width.setdefault(width, []).append(piece)
+        for width, alike in of_width.items():
+            for i in range(0, len(alike), 1 << 14):
+                part = alike[i : i + (1 << 14)]
+                found.update(zip(part, self.grown([p.encode() for p in part], width), strict=True))
+        return found
 
 
 class Codec:
     def __init__(self, vocabulary: Vocabulary) -> None:
-        self.pieces = _Pieces(vocabulary)
+        self.forests = Forests(vocabulary)
+        self.pieces: dict = {}
         self.split = regex.compile(PATTERN).findall
-        self.special = {s: np.array([i], "<u4").tobytes() for s, i in vocabulary.special.items()}
-        self.cut = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True))) if self.special else None
+        #: Special tokens are pieces in a tuple, so that no plain piece is taken for one.
+        self.special = {(s,): np.array([i], "<u4").tobytes() for s, i in vocabulary.special.items()}
+        self.cut = regex.compile("|".join(regex.escape(s) for s in sorted(vocabulary.special, key=len, reverse=True))) if self.special else None
         top = max(vocabulary.bytes_of) + 1
         self.out = [vocabulary.bytes_of.get(i, b"") for i in range(top)]
 
-    def encode(self, text: str) -> bytes:
-        """The ids, four bytes each."""
-        piece = self.pieces.__getitem__
+    def parts(self, text: str) -> list:
+        """The pieces and special tokens of a text."""
         if self.cut is None or not self.cut.search(text):
-            return b"".join(map(piece, self.split(text)))
-        parts, at = [], 0
+            return self.split(text)
+        found, at = [], 0
         for m in self.cut.finditer(text):
-            parts += map(piece, self.split(text[at : m.start()]))
-            parts.append(self.special[m[0]])
+            found += self.split(text[at : m.start()])
+            found.append((m[0],))
             at = m.end()
-        return b"".join([*parts, *map(piece, self.split(text[at:]))])
+        return found + self.split(text[at:])
+
+    def _coded(self, split: list[list]) -> list[bytes]:
+        wanted = set().union(*split)
+        fresh = wanted.difference(self.pieces, self.special)
+        if len(self.pieces) + len(fresh) > ROOM:
+            self.pieces.clear()
+            fresh = wanted.difference(self.special)
+        self.pieces |= self.special | self.forests(list(fresh))
+        piece = self.pieces.__getitem__
+        coded = [b"".join(map(piece, s)) for s in split]
+        for p in fresh:
+            if len(p) > LONGEST:
+                del self.pieces[p]
+        return coded
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, four bytes each; new pieces of a group of texts are merged together."""
+        out: list[bytes] = []
+        group, chars = [], 0
+        for text in texts:
+            group.append(self.parts(text))
+            chars += len(text)
+            if chars >= GROUP:
+                out += self._coded(group)
+                group, chars = [], 0
+        return out + (self._coded(group) if group else [])
+
+    def encode(self, text: str) -> bytes:
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> str:
         """The text of ids; bytes that are not UTF-8 become U+FFFD."""
@@ -166,7 +273,7 @@ def _each(vocabulary, digests: bool) -> Callable[[Iterator[pa.RecordBatch]], Ite
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(vocabulary.value)
         for batch in batches:
-            coded = [codec.encode(t.decode()) if t else b"" for t in texts(batch, "text")]
+            coded = codec.encode_all([(t or b"").decode() for t in texts(batch, "text")])
             if not digests:
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(coded, pa.binary())], names=["doc_id", "ids"])
                 continue
