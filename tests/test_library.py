@@ -11,6 +11,7 @@ from pagewright.functions import colour, text
 from pagewright.operators import findings as fs
 from pagewright.operators import jobs, layout, remediate, rules
 from pagewright.operators.dims import wcag_rows
+from pagewright.plans import catalog
 from pagewright.plans.golden import FAMILIES
 from pagewright.sources import files
 from pagewright.sources.html_tree import element_rows, elements
@@ -93,6 +94,25 @@ def test_boxes_are_matched_once(spark):
     assert got == {(1, 7), (2, 9)}
 
 
+def test_bbox_match_takes_the_whole_table(spark):
+    images, boxes = {}, {}
+    for r in spark.read.parquet(f"{SF}/lineitem.parquet").collect():
+        box = (r["l_partkey"] % 97, r["l_suppkey"] % 89, round(r["l_quantity"]), r["l_linenumber"] * 5)
+        kind = images if r["l_returnflag"] == "R" else boxes
+        kind.setdefault(r["l_orderkey"] % 50, []).append((r["l_orderkey"] * 10 + r["l_linenumber"], box))
+    expected = set()
+    for file, some in images.items():
+        near = sorted({(i, o) for i, a in some for o, b in boxes.get(file, []) if all(abs(x - y) <= layout.TOLERANCE for x, y in zip(a, b, strict=True))})
+        taken_images, taken_boxes = set(), set()
+        for i, o in near:
+            if i not in taken_images and o not in taken_boxes:
+                taken_images.add(i)
+                taken_boxes.add(o)
+                expected.add((file, i, o))
+    got = [tuple(r) for r in catalog.bbox_match(spark, SF).collect()]
+    assert len(got) == len(expected) and set(got) == expected
+
+
 def test_fixes_leave_nothing_behind(spark):
     source = '<html><head></head><body><p>Some text</p><img src="red-bridge.png"><a href="/a">here</a><table><tr><td>1</td><td>2</td></tr><tr><td>3</td><td>4</td></tr></table><input name="q"></body></html>'
     pages = spark.createDataFrame([(1, source)], "page_id long, html string")
