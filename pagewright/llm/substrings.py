@@ -243,10 +243,11 @@ def repeated_spans(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     edge = Window.partitionBy("one", "two")
     source = F.min(F.struct("doc_id", "at")).over(edge)
     sourced = found.filter("one is not null").withColumn("s", source).filter("doc_id > s.doc_id").select("doc_id", "at", F.col("s.doc_id").alias("source"), F.col("s.at").alias("source_at"))
-    # edges with one way on, in the document as in the source, are numbered alike along a path
+    # edges with one way on, in the document as in the source, are numbered alike along a path; an
+    # edge that repeated rows bring several times counts once
     path = Window.partitionBy("doc_id", "source", "shift").orderBy("at")
-    ways = sourced.withColumn("shift", F.col("at") - F.col("source_at")).withColumn("island", F.col("at") - F.row_number().over(path))
-    paths = ways.groupBy("doc_id", "source", "shift", "island").agg(F.min("at").alias("at"), F.count("*").alias("length"), F.min("source_at").alias("source_at"))
+    ways = sourced.withColumn("shift", F.col("at") - F.col("source_at")).withColumn("island", F.col("at") - F.dense_rank().over(path))
+    paths = ways.groupBy("doc_id", "source", "shift", "island").agg(F.min("at").alias("at"), (F.max("at") - F.min("at") + 1).alias("length")).withColumn("source_at", F.col("at") - F.col("shift"))
     spans = found.filter("one is null").select("doc_id", "at", "length", "source", "source_at").unionByName(paths.select("doc_id", "at", "length", "source", "source_at"))
     spans = spans.select("doc_id", F.floor(F.col("at") / PART).cast("int").alias("part"), (F.col("at") % PART).alias("at"), "length", "source", (F.col("source_at") % PART).alias("source_at"))
     named = leaders.select("doc_id", "digest", "part")

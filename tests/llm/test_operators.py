@@ -163,6 +163,14 @@ def test_substrings_passages_and_loops(spark):
     assert rows(substrings.substring_report(df), "doc_id", "n_words", "n_removed", "kept_sha256") == removed(table)
 
 
+def test_substrings_repeated_rows_of_a_changed_copy(spark):
+    words = [f"w{i}" for i in range(400)]
+    changed = words[:200] + ["other"] + words[201:]
+    table = [(1, " ".join(words)), (2, " ".join(changed)), (2, " ".join(changed))]
+    df = spark.createDataFrame(spark.sparkContext.parallelize(table, 3), "doc_id long, text string")  # the source in a task of its own
+    assert rows(substrings.substring_report(df), "doc_id", "n_words", "n_removed", "kept_sha256") == removed(table)
+
+
 def test_substrings_texts(spark):
     words = " ".join(f"z{i}" for i in range(60))
     df = spark.createDataFrame([(1, words), (2, "start " + words + " end")], "doc_id long, text string")
