@@ -99,7 +99,8 @@ def scan_unseen(versions: DataFrame, ledger: DataFrame | None, rules: tuple[Rule
 
 def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(path, blob, spans) for every row, and the ledger rows to append. Rules are numbered as given;
-    a ledger must have been made with the same list, to which rules may have been appended."""
+    a ledger must have been made with the same list, to which rules may have been appended and in
+    which versions may have changed; what other versions found is left out."""
     addressed = pick(docs, id_col, text_col).toDF("path", "text").withColumn("text", F.coalesce("text", F.lit("")))
     addressed = addressed.withColumn("blob", F.unhex(F.sha2("text", 256)))
     paths = durable(addressed.select("path", "blob"), "blob-paths")
@@ -107,7 +108,10 @@ def scan(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ..
     names = [r.name for r in rules]
     every = new
     if ledger is not None:
-        now = ledger.filter(F.arrays_overlap("scanned", F.array(*map(F.lit, names))))
+        # a span counts if its row ran its rule in the version of now
+        ran = F.array(*map(F.lit, names))
+        now = ledger.filter(F.arrays_overlap("scanned", ran)).withColumn("spans", F.filter("spans", lambda s: F.array_contains("scanned", F.get(ran, s["rule"]))))
+        now = now.select("blob", "scanned", "spans")
         every = now.unionByName(new).groupBy("blob").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     found = every.filter(F.size("spans") > 0).select("blob", F.array_sort("spans").alias("spans"))
     joined = paths.join(found, "blob", "left")
