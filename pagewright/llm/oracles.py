@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .exact import OP4_SQL
-from .quality import STOP_WORDS, THRESHOLDS
+from .quality import STOP_WORDS, THRESHOLDS, Threshold
 from .warc import OP6_SQL
 
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -71,8 +71,9 @@ FROM documents d JOIN c ON c.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 
 
 def _held() -> str:
+    # the SQL as it was given, with an upper bound of words that the operator no longer has
     out = []
-    for t in THRESHOLDS:
+    for t in (Threshold("n_words", 20, 1_000_000), *THRESHOLDS[1:]):
         held = [f"{t.measure} >= {t.least}"] * (t.least is not None) + [f"{t.measure} <= {t.most}"] * (t.most is not None)
         out.append("(" + " AND ".join(held) + (f" OR n_words < {t.words}" if t.words else "") + ")")
     return " AND ".join(out)

@@ -45,7 +45,7 @@ class Threshold:
 #: The method's table. base_failed is judged before it; these bounds catch what no prose in any of
 #: the languages comes near: word lengths, symbols, lines and function words.
 THRESHOLDS = (
-    Threshold("n_words", 20, 1_000_000),
+    Threshold("n_words", 20),
     Threshold("mean_word_chars", 2.0, 15.0),
     Threshold("symbols_per_word", None, 0.30),
     Threshold("dup_line_share", None, 0.50),

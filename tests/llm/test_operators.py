@@ -405,6 +405,13 @@ def test_quality_keeps_clean_and_drops_junk(spark, docs):
     assert left.columns == docs.columns and left.count() == quality.quality_report(docs).filter("kept").count()
 
 
+def test_quality_keeps_a_long_clean_text(spark):
+    text = "the " + " ".join(f"word{i}" for i in range(1_000_000))
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = quality.quality_report(df).first()
+    assert got["n_words"] == 1_000_001 and got["kept"] and not got["base_failed"]
+
+
 # 9
 
 
