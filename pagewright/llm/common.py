@@ -32,9 +32,11 @@ def _delete_at_exit(spark: SparkSession, path: str) -> None:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or the context's
-    checkpoint folder; a temporary one only where neither is set, as in local tests."""
+    checkpoint folder. Only a local master may go without: it gets a temporary folder."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext._jsc.sc().getCheckpointDir().getOrElse(None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if not _own_dir:
             _own_dir.append(tempfile.mkdtemp(prefix="pagewright-"))
         found = _own_dir[0]
@@ -61,6 +63,14 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a durable table that nothing reads any more."""
+    spark = df.sparkSession
+    for name in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        at = spark._jvm.org.apache.hadoop.fs.Path(name)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """Arrow batches of few rows, as one text may be long; the session bounds their bytes too."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
@@ -88,16 +98,44 @@ def numbered(df: DataFrame) -> tuple[DataFrame, list[str]]:
     return df.toDF(*names), names
 
 
+def _hashable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _hashable(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return all(_hashable(f.dataType) for f in kind.fields)
+    return not isinstance(kind, (T.MapType, T.VariantType))
+
+
 def row_key(df: DataFrame, columns: list[str]) -> Column:
-    """A 64-bit key of a row's whole content; rows that repeat have the same."""
-    usable = [f.name for f in df.select(*columns).schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-    absent = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in usable])
-    return F.xxhash64(absent, *[F.col(c) for c in usable])
+    """A 128-bit key of a row's whole content, as hex digits; rows that repeat have the same. Maps
+    and variants count as their JSON."""
+    absent = F.concat(*[F.when(F.col(c).isNull(), "0").otherwise("1") for c in columns])
+    parts = [F.col(f.name) if _hashable(f.dataType) else F.to_json(F.struct(f.name)) for f in df.select(*columns).schema.fields]
+    halves = [F.lpad(F.hex(F.xxhash64(F.lit(salt), absent, *parts)), 16, "0") for salt in ("one", "two")]
+    return F.concat(*halves)
 
 
-def words_of(text: Column) -> Column:
-    """The words of a text, as an array; none for null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), WHITE, -1), lambda w: w != "")
+#: A key is hot if it holds this share of the rows and at least HOT_ROWS of them, so at most
+#: 1 / HOT_SHARE keys are; a hot key is dealt to SALTS places.
+HOT_SHARE, HOT_ROWS, SALTS = 1 / 1024, 256, 128
+
+
+def salted_join(rows: DataFrame, facts: DataFrame, key: list[str], salt_by: Column, how: str = "left", counted: DataFrame | None = None) -> DataFrame:
+    """rows joined with facts (at most one row per key) so that no key's rows go to one task. Null
+    keys meet nothing; where there may be many of them, callers keep them apart.
+
+    The keys of rows are counted, with map-side combining (in counted, if rows are dear to make);
+    the hot ones, at most 1 / HOT_SHARE, are broadcast, their rows dealt to SALTS places by salt_by,
+    and their facts repeated there.
+    """
+    counted = rows if counted is None else counted
+    counts = counted.groupBy(*key).agg(F.count("*").alias("hot_n"))
+    least = max(counted.count() * HOT_SHARE, HOT_ROWS)
+    hot = counts.filter(F.col("hot_n") >= least).select(*key, F.lit(True).alias("is_hot"))
+    salted = rows.join(F.broadcast(hot), key, "left").withColumn("salt", F.when(F.col("is_hot"), F.pmod(salt_by, F.lit(SALTS)).cast("int")).otherwise(0)).drop("is_hot")
+    places = F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    spread = facts.join(F.broadcast(hot), key, "left").withColumn("salt", F.explode(places)).drop("is_hot")
+    return salted.join(spread, [*key, "salt"], how).drop("salt")
 
 
 def texts(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
