@@ -4,8 +4,9 @@ Groups are equal texts. A group that holds at least 1/CELLS of any total is an i
 all other groups fall, by a hash of their text, into CELLS cells, each an item. So the driver packs
 at most 4 * CELLS items and their pieces, whatever the number of rows: largest first, each into the
 shard where the dot product of the item with the shard's residual capacity is highest. A group that
-exceeds a shard's capacity in some dimension is split by row into pieces first; all other groups
-stay whole. Swaps between the fullest and the emptiest shard then even out what the greedy order
+exceeds a shard's capacity in some dimension is split into pieces first, by a number that each row
+gets in a durable table, so that rows that repeat, or have no doc_id, are split like all others;
+all other groups stay whole. Swaps between the fullest and the emptiest shard then even out what the greedy order
 left. Slots number a shard's rows from 0 without gaps, from counts of small sub-cells.
 
 The law that holds is `bytes`: sizes (UTF-8 bytes plus 1) are near equal.
@@ -73,7 +74,7 @@ def even_out(items: np.ndarray, place: np.ndarray, shards: int, rounds: int = 20
 
 
 def _item(heavy_first: Column, pieces: Column) -> Column:
-    piece = F.pmod(F.xxhash64("doc_id", F.lit("piece")), pieces)
+    piece = F.pmod(F.xxhash64("row", F.lit("piece")), pieces)
     return F.when(heavy_first.isNotNull(), heavy_first + piece).otherwise(F.pmod("g1", F.lit(CELLS))).cast("long")
 
 
@@ -84,6 +85,7 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
     rows = durable(
         pick(docs, id_col, text_col).toDF("doc_id", "text").select(
             "doc_id",
+            F.monotonically_increasing_id().alias("row"),
             (F.octet_length(text) + 1).cast("long").alias("bytes"),
             F.regexp_count(text, F.lit(WORD)).cast("long").alias("tokens"),
             F.crc32(text.cast("binary")).alias("g2"),
@@ -113,11 +115,11 @@ def shard(docs: DataFrame, shards: int = SHARDS, id_col: str = "doc_id", text_co
     least = max(1.0, scale[2] * SUB_SHARE)
     plan = [(r["item"], int(s), max(1, int(np.ceil(r["rows"] / least)))) for r, s in zip(sums, even_out(vectors, pack(vectors, shards), shards), strict=True)]
     placement = F.broadcast(spark.createDataFrame(plan, "item long, shard int, subs long"))
-    dealt = placed.join(placement, "item").withColumn("sub", F.pmod(F.xxhash64("doc_id", "g1", F.lit("sub")), F.col("subs")))
+    dealt = placed.join(placement, "item").withColumn("sub", F.pmod(F.xxhash64("row", F.lit("sub")), F.col("subs")))
     counts = dealt.groupBy("shard", "item", "sub").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("item", "sub").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("item", "sub", F.coalesce(before, F.lit(0)).alias("offset"))
-    own = F.row_number().over(Window.partitionBy("item", "sub").orderBy("doc_id", "bytes", "g1", "g2", "g3")) - 1
+    own = F.row_number().over(Window.partitionBy("item", "sub").orderBy("doc_id", "row")) - 1
     numbered = dealt.select("doc_id", "bytes", "tokens", "g2", "shard", "item", "sub", own.alias("own"))
     return numbered.join(offsets, ["item", "sub"]).select(
         "doc_id",
