@@ -4,7 +4,7 @@ A frequent-items sketch of the Misra-Gries family (Spark's approx_top_k, which k
 number of counters and merges partial sketches) proposes frequent digests. Their true counts and
 winners are aggregated with map-side combining, which verifies the proposals; the verified ones,
 at most CANDIDATES rows, are broadcast and settle their rows where they lie. The rows of all other
-digests go through an ordinary shuffle, in which no group is large. Whatever the sketch misses or
+digests go through an ordinary shuffle, in which no group reaches HEAVY_SHARE. Whatever the sketch misses or
 overstates changes only which way a digest takes, never the result.
 
 Defined cases: null text counts as empty; texts are equal when identical without white space
@@ -21,9 +21,11 @@ from pyspark.sql.window import Window
 
 from .common import WHITE, durable, numbered, pick, position, row_key
 
-#: Digests that the sketch may propose, and so the bound of the broadcast; counters of each sketch.
-CANDIDATES = 256
-COUNTERS = 4096
+#: Digests that the sketch may propose, and so the bound of the broadcast; counters of each sketch,
+#: enough for every digest of HEAVY_SHARE to be among them (a sketch of m counters finds all above
+#: 3.5 / m of the rows).
+CANDIDATES = 4096
+COUNTERS = 16384
 #: A proposed digest is heavy if it holds at least this share of the rows.
 HEAVY_SHARE = 1 / 4096
 
