@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from .exact import OP4_SQL
-from .quality import STOP_WORDS, THRESHOLDS, Threshold
+from .quality import STOP_WORDS, THRESHOLDS
 from .warc import OP6_SQL
 
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -71,11 +71,10 @@ FROM documents d JOIN c ON c.node = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
 
 
 def _held() -> str:
-    # the SQL as it was given, with an upper bound of words that the operator no longer has
     out = []
-    for t in (Threshold("n_words", 20, 1_000_000), *THRESHOLDS[1:]):
+    for t in THRESHOLDS:
         held = [f"{t.measure} >= {t.least}"] * (t.least is not None) + [f"{t.measure} <= {t.most}"] * (t.most is not None)
-        out.append("(" + " AND ".join(held) + (f" OR n_words < {t.words}" if t.words else "") + ")")
+        out.append("(" + " AND ".join(held) + (f" OR n_words < {t.words} OR {t.measure} IS NULL" if t.words else "") + ")")
     return " AND ".join(out)
 
 
@@ -92,7 +91,8 @@ m AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_
              len(list_filter(ls, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*(?:[-*•‣▪◦]|[0-9]{{1,3}}[.)])[\x20\x09-\x0D]'))) AS bullets,
              len(list_filter(ls, lambda x: regexp_matches(x, '(?:\.\.\.|…)[\x20\x09-\x0D]*$'))) AS dots,
              len(regexp_extract_all(t, '\p{{L}}+')) AS runs,
-             CAST(len(list_intersect(ws, {list(dict.fromkeys(STOP_WORDS))})) AS INTEGER) AS stop_words
+             CAST(len(list_intersect(ws, {list(dict.fromkeys(STOP_WORDS))})) AS INTEGER) AS stops,
+             CASE WHEN stops > 0 THEN stops WHEN 2 * len(regexp_extract_all(t, '[A-Za-z\x{{AA}}\x{{BA}}\x{{C0}}-\x{{D6}}\x{{D8}}-\x{{F6}}\x{{F8}}-\x{{24F}}]')) >= len(regexp_extract_all(t, '\p{{L}}')) THEN 0 END AS stop_words
       FROM w LEFT JOIN c ON c.doc_id = w.doc_id),
 r AS (SELECT *, word_chars / nw AS mean_word_chars, n_symbols / nw AS symbols_per_word, n_dup_lines / nl AS dup_line_share,
              bullets / nl AS bullet_line_share, dots / nl AS ellipsis_line_share, runs / nw AS letter_runs_per_word,

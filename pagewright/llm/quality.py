@@ -28,13 +28,16 @@ STOP_WORDS = (
     " el los las y en que del se por con una su para es no lo"
 ).split()
 
+# Fixed value: letters of Latin script, as the stop words' languages use them.
+LATIN = r"[A-Za-z\u00AA\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]"
+
 WINDOW = 8
 
 
 @dataclass(frozen=True)
 class Threshold:
     """A measure must be at least least and at most most (None: no bound). A rule applies to texts
-    of from words words on."""
+    of from words words on, and where the measure is not null."""
 
     measure: str
     least: float | None = None
@@ -43,7 +46,8 @@ class Threshold:
 
 
 #: The method's table. base_failed is judged before it; these bounds catch what no prose in any of
-#: the languages comes near: word lengths, symbols, lines and function words.
+#: the languages comes near: word lengths, symbols, lines and function words. The stop words are of
+#: four languages in Latin script; texts mainly in other scripts are not held to them.
 THRESHOLDS = (
     Threshold("n_words", 20),
     Threshold("mean_word_chars", 2.0, 15.0),
@@ -58,11 +62,19 @@ THRESHOLDS = (
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
+def _stop_words() -> Column:
+    """Different stop words of the text; null for one without any whose letters are mostly of
+    another script, which these languages' words say nothing about."""
+    latin, letters = (F.regexp_count("q_text", F.lit(p)) for p in (LATIN, r"\p{L}"))
+    return F.when(F.col("q_stops") > 0, F.col("q_stops")).when(2 * latin >= letters, 0)
+
+
 def measured(rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
     """keep and the measures of the text column. The selects are one projection when planned, or
     few where Spark avoids computing an expression twice."""
     step = rows.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("q_text"))
     step = step.withColumns({"q_words": F.filter(F.split("q_text", WHITE, -1), lambda w: w != ""), "q_lines": F.filter(F.split("q_text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))})
+    step = step.withColumn("q_stops", F.size(F.array_intersect("q_words", F.array(*map(F.lit, dict.fromkeys(STOP_WORDS))))))
     n = F.size("q_words")
     dots = F.col("q_text").contains("...") | F.col("q_text").contains("…")
     step = step.select(
@@ -75,7 +87,7 @@ def measured(rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
         F.size(F.filter("q_lines", lambda x: x.rlike(r"^[\x20\x09-\x0D]*(?:[-*•‣▪◦]|[0-9]{1,3}[.)])[\x20\x09-\x0D]"))).alias("q_bullets"),
         F.when(dots, F.size(F.filter("q_lines", lambda x: x.rlike(r"(?:\.\.\.|…)[\x20\x09-\x0D]*$")))).otherwise(0).alias("q_ellipses"),
         F.regexp_count("q_text", F.lit(r"\p{L}+")).alias("q_letter_runs"),
-        F.size(F.array_intersect("q_words", F.array(*map(F.lit, dict.fromkeys(STOP_WORDS))))).alias("stop_words"),
+        _stop_words().alias("stop_words"),
         F.transform("q_words", lambda w: F.xxhash64(w)).alias("q_windows"),
     )
     fold, others = 1, [c for c in step.columns if c != "q_windows"]
@@ -121,7 +133,8 @@ def compile_rules(table: tuple[Threshold, ...] = THRESHOLDS) -> Column:
             held = held & (F.col(t.measure) >= t.least)
         if t.most is not None:
             held = held & (F.col(t.measure) <= t.most)
-        verdict = verdict & (held if not t.words else held | (F.col("n_words") < t.words))
+        held = held if not t.words else held | (F.col("n_words") < t.words)
+        verdict = verdict & F.coalesce(held, F.lit(True))
     return verdict
 
 
