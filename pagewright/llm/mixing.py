@@ -9,8 +9,11 @@ or 1; what is left of all blocks meets again in blocks, until one block per sour
 landing problem, a handful of documents, is settled by trying all choices. So each source's taken
 words differ from its target by about one document.
 
-Blocks are a hash of the row, so that one source with a third of all rows is spread over many
-tasks; each block has its own seed, so reruns agree.
+Blocks are a hash of the row and of its number among rows that repeat it, so that one source, or one
+row, with a third of all rows is spread over many tasks; each block has its own seed, so reruns
+agree whatever the partitions. Sources stay in Spark too, however many there are: the cap of all
+sources is found by a few sums over them, and facts about sources reach their rows through a join
+that splits the large ones.
 
 Defined cases: null and blank texts have size 0 and no words to take; a null source is a source of
 its own and comes last; rows that repeat are separate units; a source without words has target 0;
@@ -27,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, durable, numbered, pick, position, row_key
+from .common import WORD, durable, numbered, pick, position, row_key, salted_join
 
 # The weights of the sources in order, the share of all words, the bound of copies.
 WEIGHTS = (3, 1, 2)
@@ -40,21 +43,8 @@ CONSTRAINTS = 2
 EDGE = 1e-9
 
 
-def water_fill(sizes: list[int], weights: list[float], total: float, copies: float = COPIES) -> list[float]:
-    """Targets in proportion to the weights, each at most copies times its size."""
-    capped = [s == 0 for s in sizes]
-    target = [0.0] * len(sizes)
-    while not all(capped):
-        free = total - sum(copies * s for s, c in zip(sizes, capped, strict=True) if c)
-        weight = sum(w for w, c in zip(weights, capped, strict=True) if not c)
-        target = [copies * s if c else free * w / weight for s, w, c in zip(sizes, weights, capped, strict=True)]
-        above = [i for i, (t, s, c) in enumerate(zip(target, sizes, capped, strict=True)) if not c and t > copies * s]
-        if not above:
-            return target
-        for i in above:
-            capped[i] = True
-    return [float(copies * s) for s in sizes]
-
+#: Copies of a repeated row that one row of an intermediate table stands for.
+COPIES_EACH = 4096
 
 def flight(probability: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
     """Probabilities after the flight phase: all but at most two are 0 or 1, the sums of
@@ -101,16 +91,20 @@ def landing(probability: np.ndarray, size: np.ndarray) -> np.ndarray:
     return settle(p, size, float((probability * size).sum()))
 
 
+#: Rounds of settle(): each brings the words nearer, or is the last.
+SETTLE_ROUNDS = 16
+
+
 def settle(chosen: np.ndarray, size: np.ndarray, words: float) -> np.ndarray:
-    """Flips one unit of the block, or swaps a taken and an untaken one, if that brings its words nearer."""
+    """Flips one unit of the block, or swaps a taken and an untaken one, while that brings its words nearer."""
     p = chosen.copy()
-    inside, outside = np.flatnonzero(p == 1), np.flatnonzero(p == 0)
-    error = float((p * size).sum()) - words
-    change = np.concatenate([-size[inside], size[outside], (size[outside][None, :] - size[inside][:, None]).ravel()]).astype(float)
-    if not len(change):
-        return p
-    k = int(np.argmin(np.abs(error + change)))
-    if abs(error + change[k]) < abs(error):
+    for _ in range(SETTLE_ROUNDS):
+        inside, outside = np.flatnonzero(p == 1), np.flatnonzero(p == 0)
+        error = float((p * size).sum()) - words
+        change = np.concatenate([-size[inside], size[outside], (size[outside][None, :] - size[inside][:, None]).ravel()]).astype(float)
+        k = int(np.argmin(np.abs(error + change))) if len(change) else 0
+        if not len(change) or abs(error + change[k]) >= abs(error):
+            break
         single = len(inside) + len(outside)
         flips = [np.concatenate([inside, outside])[k]] if k < single else [inside[(k - single) // len(outside)], outside[(k - single) % len(outside)]]
         p[flips] = 1 - p[flips]
@@ -127,16 +121,52 @@ def _block(last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
     return decide
 
 
+def _ranked(sums: DataFrame) -> DataFrame:
+    """sums with place, the sources' place by code point, null last, from 0: a range partition each,
+    numbered within it, and the partitions' offsets, of which there are as many as partitions."""
+    ordered = durable(sums.withColumn("absent", F.col("source").isNull()).repartitionByRange("absent", "source").withColumn("part", F.spark_partition_id()), "mix-sources")
+    within = F.row_number().over(Window.partitionBy("part").orderBy("absent", "source"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = ordered.groupBy("part").agg(F.count("*").alias("n")).select("part", before.alias("offset"))
+    return ordered.withColumn("within", within).join(F.broadcast(offsets), "part").withColumn("place", F.col("within") + F.col("offset") - 1).drop("within", "offset", "part", "absent")
+
+
 def source_targets(units: DataFrame, weights: tuple[float, ...] = WEIGHTS, factor: float = FACTOR, copies: float = COPIES) -> DataFrame:
-    """source, source_size, target: one row per source. The number of sources bounds what is collected."""
-    sums = units.groupBy("source").agg(F.sum("size").alias("source_size")).collect()
-    sums.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
-    sizes = [r["source_size"] for r in sums]
-    share = [weights[i % len(weights)] for i in range(len(sums))]
-    targets = water_fill(sizes, share, factor * sum(sizes), copies)
-    return units.sparkSession.createDataFrame(
-        [(r["source"], s, float(t), t / s if s else 0.0) for r, s, t in zip(sums, sizes, targets, strict=True)], "source string, source_size long, target double, times double"
-    )
+    """source, source_size, target, times (target by size): one row per source.
+
+    A source's target is level * weight, but at most copies times its size. The level rises from one
+    round to the next as more sources are at their cap; when no further one is, it is the right one.
+    Only sums reach the driver.
+    """
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    known = durable(_ranked(units.groupBy("source").agg(F.sum("size").alias("source_size"))).withColumn("weight", weight), "mix-weights")
+    cap = copies * F.col("source_size")
+    total = factor * float(known.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0])
+    level, at_cap = 0.0, -1
+    while True:
+        capped = cap <= level * F.col("weight")
+        found = known.agg(F.count_if(capped).alias("n"), F.sum(F.when(capped, F.col("source_size")).otherwise(0)).alias("size"), F.sum(F.when(capped, 0.0).otherwise(F.col("weight"))).alias("free")).first()
+        if found["n"] == at_cap or not found["free"]:
+            break
+        at_cap, level = found["n"], (total - copies * (found["size"] or 0)) / found["free"]
+    target = F.least(cap.cast("double"), F.lit(level) * F.col("weight")) if found["free"] else cap.cast("double")
+    return known.select("source", "source_size", target.alias("target")).withColumn("times", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
+
+
+def by_source(rows: DataFrame, facts: DataFrame) -> DataFrame:
+    """rows joined with facts about their sources; the null source is one like all others."""
+    key = [F.col("source").isNull().alias("no_source"), F.coalesce("source", F.lit("")).alias("of_source")]
+    return salted_join(rows.select("*", *key), facts.select(*key, "*").drop("source"), ["no_source", "of_source"], F.xxhash64("order"), "inner").drop("no_source", "of_source")
+
+
+def _copies(units: DataFrame) -> DataFrame:
+    """units with copy, the number of a row among those that repeat it, and order, a hash of both.
+    Repeated rows are counted with map-side combining and dealt out again by COPIES_EACH."""
+    counted = units.groupBy(*units.columns).agg(F.count("*").alias("n"))
+    lots = counted.withColumn("lot", F.explode(F.sequence(F.lit(0), F.floor((F.col("n") - 1) / COPIES_EACH))))
+    lots = lots.repartition(*units.columns, "lot")
+    here = F.sequence(F.col("lot") * COPIES_EACH, F.least(F.col("n"), (F.col("lot") + 1) * COPIES_EACH) - 1)
+    return lots.withColumn("copy", F.explode(here)).drop("n", "lot").withColumn("order", F.xxhash64("doc_id", "key", "copy", F.lit(7)))
 
 
 def sample(units: DataFrame, weights: tuple[float, ...] = WEIGHTS, factor: float = FACTOR, copies: float = COPIES) -> DataFrame:
@@ -144,33 +174,25 @@ def sample(units: DataFrame, weights: tuple[float, ...] = WEIGHTS, factor: float
 
     Units are written once with their probabilities; every level reads what the one before left open.
     """
-    spark = units.sparkSession
-    targets = source_targets(units, weights, factor, copies)
+    units = durable(_copies(units), "mix-units")
     whole = F.floor(F.col("times") + EDGE)
-    flying = (
-        units.join(F.broadcast(targets), units["source"].eqNullSafe(targets["source"]))
-        .drop(targets["source"])
-        .withColumns({"whole": whole.cast("int"), "p": F.greatest(F.col("times") - whole, F.lit(0.0)), "order": F.xxhash64("doc_id", "key", F.lit(7))})
-    )
-    schema = "doc_id long, source string, size long, key long, source_size long, target double, whole int, p double, order long, block long"
-    settled: list[DataFrame] = []
+    flying = by_source(units, source_targets(units, weights, factor, copies)).withColumns({"whole": whole.cast("int"), "p": F.greatest(F.col("times") - whole, F.lit(0.0))})
+    names = ("doc_id", "source", "size", "key", "source_size", "target", "whole", "p", "order")
+    schema = "doc_id long, source string, size long, key string, source_size long, target double, whole int, p double, order long, block long"
     is_open = (F.col("p") > 0) & (F.col("p") < 1) & (F.col("size") > 0)
-    level = 0
+    started = durable(flying.select(*names), "mix-start")
+    settled, flying, level = [started.filter(~is_open)], started.filter(is_open), 0
     while True:
-        counted = flying.filter(is_open).groupBy("source").agg(F.count("*").alias("open")).collect()
-        most = max([r["open"] for r in counted], default=0)
-        last = most <= BLOCK
-        blocks = spark.createDataFrame([(r["source"], -(-r["open"] // BLOCK)) for r in counted], "block_source string, blocks long")
-        dealt = flying.join(F.broadcast(blocks), flying["source"].eqNullSafe(blocks["block_source"]), "left").drop("block_source")
-        dealt = dealt.withColumn("block", F.when(is_open, F.pmod(F.xxhash64("order", F.lit(level)), F.col("blocks")))).drop("blocks", "times")
-        # settled units stay where they are; only open ones are shuffled to their blocks
-        flown = dealt.filter("block is not null").groupBy("source", "block").applyInPandas(_block(last), schema)
-        everything = durable(dealt.filter("block is null").select(*[c.split()[0] for c in schema.split(", ")]).unionByName(flown), f"mix-{level}")
+        counted = durable(flying.groupBy("source").agg(F.count("*").alias("open")), "mix-open")
+        last = (counted.agg(F.max("open")).first()[0] or 0) <= BLOCK
+        blocks = counted.select("source", F.ceil(F.col("open") / BLOCK).alias("blocks"))
+        dealt = by_source(flying, blocks).withColumn("block", F.pmod(F.xxhash64("order", F.lit(level)), F.col("blocks")))
+        flown = durable(dealt.select(*names, "block").groupBy("source", "block").applyInPandas(_block(last), schema).select(*names), f"mix-{level}")
         if last:
-            settled.append(everything)
+            settled.append(flown)
             break
-        settled.append(everything.filter(~is_open))
-        flying = everything.filter(is_open).drop("block")
+        settled.append(flown.filter(~is_open))
+        flying = flown.filter(is_open)
         level += 1
     out = settled[0]
     for more in settled[1:]:
@@ -188,7 +210,7 @@ def units_of(rows: DataFrame, doc_id: Column, source: Column, text: Column, key:
 def mix_report(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """doc_id, size, source_size, target, taken for each row of docs."""
     rows = pick(docs, id_col, source_col, text_col).toDF("doc_id", "source", "text")
-    units = durable(units_of(rows, F.col("doc_id"), F.col("source"), F.col("text"), F.xxhash64("text", "source")), "mix-units")
+    units = units_of(rows, F.col("doc_id"), F.col("source"), F.col("text"), row_key(rows, rows.columns))
     return sample(units).select("doc_id", "size", "source_size", "target", (F.col("times") * F.col("size")).cast("long").alias("taken"))
 
 
@@ -197,9 +219,9 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     plain, names = numbered(docs)
     at = {c: F.col(f"c{position(docs, c)}") for c in (id_col, source_col, text_col)}
     keyed = plain.withColumn("row_key", row_key(plain, names))
-    units = durable(units_of(keyed, at[id_col], at[source_col], at[text_col], F.col("row_key")), "mix-units")
+    units = units_of(keyed, at[id_col], at[source_col], at[text_col], F.col("row_key"))
     times = sample(units).groupBy("doc_id", "key").agg(F.sum("times").alias("times")).filter("times > 0")
-    one = keyed.withColumn("copy_no", F.row_number().over(Window.partitionBy("row_key").orderBy("row_key"))).filter("copy_no = 1")
+    one = keyed.withColumn("copy_no", F.row_number().over(Window.partitionBy("row_key", at[id_col]).orderBy("row_key"))).filter("copy_no = 1")
     joined = one.join(times, (one["row_key"] == times["key"]) & at[id_col].eqNullSafe(times["doc_id"]))
     again = joined.select(*names, F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
     return again.select(*names).toDF(*docs.columns)
