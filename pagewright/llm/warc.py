@@ -1,13 +1,20 @@
 r"""WARC archives: writing, reading, and transaction assembly.
 
-Writing is built-in functions only: for each page a response record (or a revisit, if a page with
-an equal payload and a smaller page_id exists), a request and a metadata record, tied together by
-concurrent-to identifiers. Spark's text writer puts them into gzip files in any file system that
-Spark reaches, a task's files being committed as a whole.
-
-Reading parses each file by Content-Length. Assembly joins request and metadata records to their
-response or revisit record through the concurrent-to identifiers and gives one nested row per
-capture. Payloads stay out of these joins unless they are asked for.
+Writing gives each page a response record (or a revisit, if a page with an equal payload and a
+smaller page_id exists), a request and a metadata record, tied together by concurrent-to
+identifiers; a revisit refers to its response's record by that one's identifier. Identifiers are
+hashes of page_id, url, payload digest and the number of the copy, so a rerun gives the same ones.
+Roles are found on digests alone; payloads go through one shuffle, by those hashes, in which rows
+that repeat combine first, and no page waits for another one's payload.
+
+Each record is a gzip member of its own. Spark's text writer puts blocks of members into files in
+any file system that Spark reaches, a task's files being committed as a whole. Its line ends are a
+single zero byte, and a zero is what a gzip member of nothing ends with; so each block closes with
+such a member, short of its last byte. Files are cut by blocks, that is by bytes.
+
+Reading inflates each file as a stream and parses it by Content-Length. Assembly joins request and
+metadata records to their response or revisit record through the concurrent-to identifiers and
+gives one nested row per capture.
 
 Defined cases: null html is an empty payload; a null or empty url leaves the target out; line ends
 and other control characters in urls are percent-encoded; a null page_id refers to no page, so its
@@ -20,6 +27,7 @@ bytes are never revisits.
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import zlib
 from collections.abc import Callable, Iterator
@@ -28,10 +36,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import durable, pick, shared_path
+from .common import durable, pick, salted_join, shared_path, small_batches
 
-#: Records of an archive file, at most.
-FILE_RECORDS = 12_000
+#: Compressed bytes of a block of records, at least (but the last of a task), and blocks of a file.
+BLOCK_BYTES, FILE_BLOCKS = 1 << 19, 64
+#: Bytes that are inflated at once, and bytes of payloads of a batch that is read.
+INFLATE_BYTES, BATCH_BYTES = 1 << 20, 1 << 23
 END = "\r\n"
 # Fixed value: the profile of a revisit whose payload is identical.
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -48,34 +58,45 @@ def payload_digest(payload: Column) -> Column:
 
 
 def _uuid(*parts: Column) -> Column:
+    """A record identifier from the MD5 of parts, none of which may be null."""
     h = F.md5(F.concat_ws("|", *parts))
     return F.concat(F.lit("<urn:uuid:"), *[x for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)) for x in ([F.lit("-")] if a > 1 else []) + [F.substring(h, a, n)]], F.lit(">"))
 
 
 def _record(kind: Column | str, headers: list[tuple[str, Column]], content: Column, kind_of_content: str) -> Column:
-    """A record but for its last line end, which the text writer adds. Headers that are null are left out."""
+    """A whole record. Headers that are null are left out."""
     kind = F.lit(kind) if isinstance(kind, str) else kind
     lines = [F.concat(F.lit(f"{name}: "), value) for name, value in [("WARC-Type", kind), *headers, ("WARC-Date", F.lit(DATE)), ("Content-Type", F.lit(kind_of_content)), ("Content-Length", F.octet_length(content).cast("string"))]]
-    return F.concat(F.concat_ws(END, F.lit("WARC/1.1"), *lines), F.lit(END * 2), content, F.lit(END))
+    return F.concat(F.concat_ws(END, F.lit("WARC/1.1"), *lines), F.lit(END * 2), content, F.lit(END * 2))
 
 
 def with_roles(pages: DataFrame, least: int = 0) -> DataFrame:
-    """page_id, url, html, payload_bytes, payload_digest and response_id, the least page_id with that payload."""
+    """key, page_id, url, html, payload_bytes, payload_digest; copies, the number of rows that are
+    equal in all that; and response_id and response_key of the least page with that payload (null:
+    the page itself is it, or no page with an id is)."""
     html = F.coalesce(F.col("html"), F.lit(""))
     rows = pages.select("page_id", "url", html.alias("html")).withColumns({"payload_bytes": F.octet_length("html").cast("long"), "payload_digest": payload_digest(F.col("html"))})
-    first = rows.filter(F.col("payload_bytes") >= least).groupBy("payload_digest", "payload_bytes").agg(F.min("page_id").alias("response_id"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return rows.join(first, ["payload_digest", "payload_bytes"], "left")
+    told = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("")) for c in ("page_id", "url", "payload_bytes", "payload_digest")]
+    rows = rows.withColumn("key", F.md5(F.concat_ws("|", *told)))
+    small = durable(rows.groupBy("key", "payload_digest", "payload_bytes", "page_id").agg(F.count("*").alias("copies")), "warc-roles")
+    with_id = F.when(F.col("page_id").isNotNull(), F.struct(F.col("page_id").alias("response_id"), F.col("key").alias("response_key")))
+    payload = ["payload_digest", "payload_bytes"]
+    first = small.filter(F.col("payload_bytes") >= least).groupBy(*payload).agg(F.min(with_id).alias("first"))
+    roles = salted_join(small, first, payload, F.xxhash64("key")).select("key", "copies", "first.response_id", "first.response_key")
+    unique = rows.groupBy("key").agg(*[F.first(c).alias(c) for c in ("page_id", "url", "html", *payload)])
+    return unique.join(roles, "key")
 
 
 def records(pages: DataFrame, least: int = 0) -> DataFrame:
     """value: one WARC record per row, three for each page."""
-    rows = with_roles(pages, least).withColumn("row", F.monotonically_increasing_id())
+    rows = with_roles(pages, least).withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))))
     is_revisit = F.coalesce(~F.col("response_id").eqNullSafe(F.col("page_id")) & F.col("response_id").isNotNull(), F.lit(False))
     page = F.coalesce(F.col("page_id").cast("string"), F.lit("null"))
     unsafe = F.regexp_replace(F.trim("url"), r"[\x00-\x20\x7F]", "%20")
     target = F.when(F.length(unsafe) > 0, unsafe)
-    own = {k: _uuid(F.lit(k), page, F.col("payload_digest"), F.col("row")) for k in ("capture", "request", "metadata")}
-    rows = rows.select("page_id", "html", "payload_bytes", "payload_digest", "response_id", is_revisit.alias("revisit"), page.alias("page"), target.alias("target"), *[v.alias(k) for k, v in own.items()])
+    own = {k: _uuid(F.lit(k), F.col("key"), F.col("copy").cast("string")) for k in ("capture", "request", "metadata")}
+    response = F.when(is_revisit, _uuid(F.lit("capture"), F.col("response_key"), F.lit("1")))
+    rows = rows.select("html", "payload_bytes", "payload_digest", response.alias("response"), is_revisit.alias("revisit"), page.alias("page"), target.alias("target"), *[v.alias(k) for k, v in own.items()])
     http = F.concat(F.lit(f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}Content-Length: "), F.col("payload_bytes").cast("string"), F.lit(END * 2))
     digest = F.concat(F.lit("sha1:"), F.col("payload_digest"))
     capture = _record(
@@ -85,7 +106,7 @@ def records(pages: DataFrame, least: int = 0) -> DataFrame:
             ("WARC-Target-URI", F.col("target")),
             ("WARC-Payload-Digest", digest),
             ("WARC-Profile", F.when(F.col("revisit"), F.lit(PROFILE))),
-            ("WARC-Refers-To", F.when(F.col("revisit"), F.concat(F.lit("<urn:page:"), F.col("response_id").cast("string"), F.lit(">")))),
+            ("WARC-Refers-To", F.col("response")),
         ],
         F.when(F.col("revisit"), http).otherwise(F.concat(http, F.col("html"))),
         "application/http; msgtype=response",
@@ -106,27 +127,104 @@ def records(pages: DataFrame, least: int = 0) -> DataFrame:
     return rows.select(F.explode(F.array(capture, request, metadata)).alias("value"))
 
 
+#: A gzip member of nothing; its last byte is zero.
+EMPTY_MEMBER = gzip.compress(b"", mtime=0)
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of gzip members, one member a record."""
+    held, size = [], 0
+    for batch in batches:
+        for record in batch.column(0):
+            held.append(gzip.compress(record.as_buffer(), compresslevel=6, mtime=0))
+            size += len(held[-1])
+            if size >= BLOCK_BYTES:
+                yield pa.RecordBatch.from_arrays([pa.array([b"".join([*held, EMPTY_MEMBER[:-1]])], pa.binary())], names=["value"])
+                held, size = [], 0
+    if held:
+        yield pa.RecordBatch.from_arrays([pa.array([b"".join([*held, EMPTY_MEMBER[:-1]])], pa.binary())], names=["value"])
+
+
 def write_archives(pages: DataFrame, path: str, least: int = 0) -> None:
     """Writes pages (page_id, url, html) as gzip-compressed WARC files into the folder path."""
-    records(pages, least).write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", FILE_RECORDS).text(path)
+    small_batches(pages.sparkSession)
+    blocks = records(pages, least).select(F.col("value").cast("binary")).mapInArrow(_blocks, "value binary")
+    blocks.select(F.col("value").cast("string")).write.option("lineSep", "\0").option("maxRecordsPerFile", FILE_BLOCKS).text(path)
 
 
-def parsed(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Header fields (names in lower case) and content of each record of an uncompressed archive."""
-    at = 0
+def inflated(data: memoryview) -> Iterator[bytes]:
+    """The content of a gzip file of any number of members, in parts; other data as it is."""
+    if bytes(data[:2]) != b"\x1f\x8b":
+        yield from (bytes(data[i : i + INFLATE_BYTES]) for i in range(0, len(data), INFLATE_BYTES))
+        return
+    at, member = 0, zlib.decompressobj(31)
     while at < len(data):
-        end = data.find(b"\r\n\r\n", at)
-        if end < 0 or not data.startswith(b"WARC/", at):
-            raise ValueError(f"no WARC record at byte {at}")
+        piece = data[at : at + 65_536]
+        at += len(piece)
+        while piece:
+            yield member.decompress(piece, INFLATE_BYTES)
+            piece = member.unconsumed_tail
+        while not member.eof and (more := member.decompress(b"", INFLATE_BYTES)):
+            yield more
+        if member.eof:
+            at -= len(member.unused_data)
+            member = zlib.decompressobj(31)
+
+
+class Feed:
+    """Bytes that come in parts, taken by count or up to a mark."""
+
+    def __init__(self, parts: Iterator[bytes]) -> None:
+        self.parts, self.held, self.taken = parts, bytearray(), 0
+
+    def more(self) -> bool:
+        part = next(self.parts, None)
+        if part is not None:
+            self.held += part
+        return part is not None
+
+    def take(self, n: int) -> bytes:
+        while len(self.held) < n and self.more():
+            pass
+        if len(self.held) < n:
+            raise ValueError(f"a WARC record ends early, after byte {self.taken}")
+        out = bytes(self.held[:n])
+        del self.held[:n]
+        self.taken += n
+        return out
+
+    def until(self, mark: bytes) -> bytes | None:
+        """What comes before the mark, which goes too; None at the end."""
+        seen = 0
+        while (at := self.held.find(mark, seen)) < 0:
+            seen = max(0, len(self.held) - len(mark))
+            if not self.more():
+                return None
+        return self.take(at + len(mark))[:at]
+
+    def skip(self, mark: bytes) -> None:
+        while True:
+            while len(self.held) < len(mark) and self.more():
+                pass
+            if not self.held.startswith(mark):
+                return
+            self.take(len(mark))
+
+
+def parsed(parts: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Header fields (names in lower case) and content of each record of an uncompressed archive."""
+    feed = Feed(parts)
+    while (head := feed.until(b"\r\n\r\n")) is not None:
+        if not head.startswith(b"WARC/"):
+            raise ValueError(f"no WARC record before byte {feed.taken}")
         fields = {}
-        for line in data[at:end].decode().split(END)[1:]:
+        for line in head.decode().split(END)[1:]:
             name, _, value = line.partition(":")
             fields[name.strip().lower()] = value.strip()
-        size = int(fields["content-length"])
-        yield fields, data[end + 4 : end + 4 + size]
-        at = end + 4 + size
-        while data.startswith(b"\r\n", at):
-            at += 2
+        yield fields, feed.take(int(fields["content-length"]))
+        feed.skip(b"\r\n")
+    if feed.held:
+        raise ValueError(f"no WARC record at byte {feed.taken}")
 
 
 RECORD = "record_id string, type string, concurrent_to string, target string, refers_to string, payload_digest string, payload_bytes long, page string, headers map<string,string>, payload string"
@@ -136,18 +234,6 @@ _KINDS = pa.schema(
 )
 
 
-def _inflated(data: bytes) -> bytes:
-    """All members of a gzip file; other data as it is."""
-    if data[:2] != b"\x1f\x8b":
-        return data
-    out = []
-    while data:
-        member = zlib.decompressobj(31)
-        out.append(member.decompress(data))
-        data = member.unused_data
-    return b"".join(out)
-
-
 def _read(payloads: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def row(fields: dict[str, str], content: bytes) -> tuple:
         kind, digest, size, page, payload = fields.get("warc-type"), None, None, None, None
@@ -166,26 +252,29 @@ def _read(payloads: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Re
         headers = list(fields.items()) if payloads else None
         return fields.get("warc-record-id"), kind, fields.get("warc-concurrent-to"), fields.get("warc-target-uri"), fields.get("warc-refers-to"), digest, size, page, headers, text
 
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _KINDS, strict=True)], schema=_KINDS)
+
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for content in batch.column(0):
-                rows: list[tuple] = []
-                for record in parsed(_inflated(content.as_py())):
-                    rows.append(row(*record))
-                    if len(rows) >= 1000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _KINDS, strict=True)], schema=_KINDS)
-                        rows = []
+                rows, size = [], 0
+                for fields, found in parsed(inflated(memoryview(content.as_buffer()))):
+                    rows.append(row(fields, found))
+                    size += len(found) if payloads else 0
+                    if len(rows) >= 1000 or size >= BATCH_BYTES:
+                        yield batch_of(rows)
+                        rows, size = [], 0
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _KINDS, strict=True)], schema=_KINDS)
+                    yield batch_of(rows)
 
     return each
 
 
 def read_records(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
-    """All records of the archive files in a folder that Spark reads."""
-    files = spark.read.format("binaryFile").load(path).select("content")
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
-    return files.mapInArrow(_read(payloads), RECORD)
+    """All records of the archive files in a folder that Spark reads. A task's files have
+    spark.sql.files.maxPartitionBytes together, or are one file."""
+    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(_read(payloads), RECORD)
 
 
 def assembled(found: DataFrame) -> DataFrame:
@@ -208,14 +297,20 @@ def warc_report(pages: DataFrame, least: int = 0, path: str | None = None) -> Da
     spark = pages.sparkSession
     folder = path or shared_path(spark, "warc")
     write_archives(pick(pages, "page_id", "url", "html"), folder, least)
-    rows = assembled(durable(read_records(spark, folder, payloads=False), "warc-records"))
-    return rows.select(
+    rows = assembled(durable(read_records(spark, folder, payloads=False), "warc-records")).select(
         F.when(F.col("metadata.page") != "null", F.col("metadata.page")).cast("long").alias("page_id"),
         F.coalesce("capture.payload_bytes", "metadata.payload_bytes").alias("payload_bytes"),
         F.col("capture.payload_digest").alias("payload_digest"),
         F.col("capture.type").alias("record_type"),
-        F.expr("try_cast(regexp_extract(capture.refers_to, '^<urn:page:(-?[0-9]+)>$', 1) as bigint)").alias("refers_to"),
+        "record_id",
+        F.col("capture.refers_to").alias("response"),
     )
+    captures = durable(rows, "warc-captures")
+    responses = captures.filter("record_type = 'response'")
+    target = responses.select(F.col("record_id").alias("response"), F.col("page_id").alias("refers_to"))
+    revisits = salted_join(captures.filter("record_type = 'revisit'"), target, ["response"], F.xxhash64("record_id"))
+    names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
+    return responses.withColumn("refers_to", F.lit(None).cast("long")).select(*names).unionByName(revisits.select(*names))
 
 
 OP6_SQL = r"""

@@ -3,10 +3,13 @@ ties, an empty table, and columns whose names clash."""
 
 from __future__ import annotations
 
+import base64
 import dataclasses
+import gzip
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -332,6 +335,52 @@ def test_warc_round_trip(spark):
     assert warc.warc_report(df.limit(0)).count() == 0
 
 
+def test_warc_several_archives_a_member_per_record(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BLOCKS", 2)
+    r = random.Random(4)
+    table = [(i, f"http://h/{i % 7}", "same" * 50 if i % 3 == 0 else "".join(r.choices("abcdef <>é", k=300_000))) for i in range(60)] + [(7, "http://h/0", "x"), (7, "http://h/0", "x"), (8, None, "x")]
+    df = spark.createDataFrame(table, "page_id long, url string, html string").repartition(2)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    folder = f"{tmp_path}/w"
+    got = warc.warc_report(df, path=folder).collect()
+    assert before == spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") or before == "10000"
+    files = [f.read_bytes() for f in (tmp_path / "w").glob("part-*")]
+    assert len(files) > 3
+    members, kinds = 0, Counter()
+    for data in files:
+        while data:
+            one = zlib.decompressobj(31)
+            text = one.decompress(data)
+            assert one.eof and text.count(b"WARC/1.1\r\n") == (1 if text else 0)
+            members += bool(text)
+            kinds.update(re.findall(rb"WARC-Type: (\w+)", text))
+            data = one.unused_data
+    assert members == 3 * len(table) and kinds == {b"request": 63, b"metadata": 63, b"response": 43, b"revisit": 20}
+    ids = re.findall(rb"WARC-Record-ID: (\S+)", b"".join(b"".join(warc.inflated(memoryview(f.read_bytes()))) for f in (tmp_path / "w").glob("part-*")))
+    assert len(ids) == len(set(ids)) == 3 * len(table)
+    assert {r["refers_to"] for r in got if r["record_type"] == "revisit"} == {0, 7}
+    assert Counter(r["page_id"] for r in got) == Counter(i for i, _, _ in table)
+
+
+def test_warc_reads_other_archives():
+    record = b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <a>\r\nContent-Length: 25\r\n\r\nHTTP/1.1 200 OK\r\n\r\nbody\r\n\r\n\r\n"
+    for data in (record * 3, gzip.compress(record * 3), gzip.compress(record) * 3):
+        assert [c[-6:] for _, c in warc.parsed(warc.inflated(memoryview(data)))] == [b"body\r\n"] * 3
+    with pytest.raises(ValueError, match="early"):
+        list(warc.parsed(iter([record[:-12]])))
+    with pytest.raises(ValueError, match="no WARC"):
+        list(warc.parsed(iter([b"junk\r\n\r\n"])))
+
+
+def test_warc_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "u", "a", "b", 2, "k")], "page_id long, url string, html string, HTML string, copies int, key string")
+    assert [r[:] for r in warc.warc_report(df).collect()] == [(1, 1, warc_digest("a"), "response", None)]
+
+
+def warc_digest(text):
+    return base64.b32encode(hashlib.sha1(text.encode()).digest()).decode()
+
+
 def test_warc_nested_rows(spark, tmp_path):
     df = spark.createDataFrame([(1, "http://h/p", "<p>"), (2, "http://h/q", "<p>")], "page_id long, url string, html string")
     warc.write_archives(df, f"{tmp_path}/w")
