@@ -12,6 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 # The white space and the words of every contract here (space, tab, LF, VT, FF, CR).
 WHITE = r"[\x20\x09-\x0D]+"
@@ -115,23 +116,31 @@ def row_key(df: DataFrame, columns: list[str]) -> Column:
     return F.concat(*halves)
 
 
+def one_of_each(keyed: DataFrame, names: list[str]) -> DataFrame:
+    """One row of those with the same row_key, which combine in each task before the shuffle."""
+    number = F.row_number().over(Window.partitionBy("row_key").orderBy("row_key"))
+    return keyed.withColumn("copy_no", number).filter("copy_no = 1").select(*names)
+
+
 #: A key is hot if it holds this share of the rows and at least HOT_ROWS of them, so at most
 #: 1 / HOT_SHARE keys are; a hot key is dealt to SALTS places.
 HOT_SHARE, HOT_ROWS, SALTS = 1 / 1024, 256, 128
 
 
-def salted_join(rows: DataFrame, facts: DataFrame, key: list[str], salt_by: Column, how: str = "left", counted: DataFrame | None = None) -> DataFrame:
+def hot_keys(rows: DataFrame, key: list[str], total: int | None = None) -> DataFrame:
+    """The hot keys of rows, of which there are at most 1 / HOT_SHARE."""
+    counts = rows.groupBy(*key).agg(F.count("*").alias("hot_n"))
+    return counts.filter(F.col("hot_n") >= max((rows.count() if total is None else total) * HOT_SHARE, HOT_ROWS)).select(*key)
+
+
+def salted_join(rows: DataFrame, facts: DataFrame, key: list[str], salt_by: Column, how: str = "left", hot: DataFrame | None = None) -> DataFrame:
     """rows joined with facts (at most one row per key) so that no key's rows go to one task. Null
     keys meet nothing; where there may be many of them, callers keep them apart.
 
-    The keys of rows are counted, with map-side combining (in counted, if rows are dear to make);
-    the hot ones, at most 1 / HOT_SHARE, are broadcast, their rows dealt to SALTS places by salt_by,
-    and their facts repeated there.
+    The keys of rows are counted, with map-side combining; the hot ones (given, if rows are dear to
+    make) are broadcast, their rows dealt to SALTS places by salt_by, and their facts repeated there.
     """
-    counted = rows if counted is None else counted
-    counts = counted.groupBy(*key).agg(F.count("*").alias("hot_n"))
-    least = max(counted.count() * HOT_SHARE, HOT_ROWS)
-    hot = counts.filter(F.col("hot_n") >= least).select(*key, F.lit(True).alias("is_hot"))
+    hot = (hot_keys(rows, key) if hot is None else hot).withColumn("is_hot", F.lit(True))
     salted = rows.join(F.broadcast(hot), key, "left").withColumn("salt", F.when(F.col("is_hot"), F.pmod(salt_by, F.lit(SALTS)).cast("int")).otherwise(0)).drop("is_hot")
     places = F.when(F.col("is_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     spread = facts.join(F.broadcast(hot), key, "left").withColumn("salt", F.explode(places)).drop("is_hot")

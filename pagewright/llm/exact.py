@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WHITE, durable, numbered, pick, position, row_key
+from .common import WHITE, durable, numbered, one_of_each, pick, position, row_key
 
 #: Digests that the sketch may propose, and so the bound of the broadcast; counters of each sketch,
 #: enough for every digest of HEAVY_SHARE to be among them (a sketch of m counters finds all above
@@ -89,17 +89,9 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, with all their columns; of rows that repeat in full, one."""
     plain, names = numbered(docs)
-    stay = exact_duplicates(docs, id_col, text_col, row_key(plain, names)).filter("kept").select("row_key", F.col("doc_id").alias("stay_id"))
-    doc_id = F.col(f"c{position(docs, id_col)}")
+    stay = exact_duplicates(docs, id_col, text_col, row_key(plain, names)).filter("kept").select("row_key")
     keyed = plain.withColumn("row_key", row_key(plain, names))
-    joined = keyed.join(stay, (keyed["row_key"] == stay["row_key"]) & doc_id.eqNullSafe(stay["stay_id"]), "left_semi")
-    return one_of_each(joined, names, doc_id).toDF(*docs.columns)
-
-
-def one_of_each(keyed: DataFrame, names: list[str], doc_id: Column) -> DataFrame:
-    """One row of those with the same row_key and doc_id."""
-    group = Window.partitionBy("row_key", doc_id).orderBy("row_key")
-    return keyed.withColumn("copy_no", F.row_number().over(group)).filter("copy_no = 1").select(*names)
+    return one_of_each(keyed.join(stay, "row_key", "left_semi"), names).toDF(*docs.columns)
 
 
 OP4_SQL = r"""

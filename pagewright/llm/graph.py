@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import durable
+from .common import HOT_ROWS, HOT_SHARE, discard, durable, salted_join
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, size: int) -> DataFrame:
     """Points each node's larger (large star) or smaller (small star) neighbours to the least node
-    of its neighbourhood. A node's least neighbour is aggregated map-side and joined back, so a
-    node with very many neighbours is never gathered in one place."""
+    of its neighbourhood. A node's least neighbour is aggregated map-side and joined back; nodes
+    with a large share of all arcs (size bounds their number) are split for that join, so that a
+    hub's arcs are never gathered in one place."""
     if large:
         arcs = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
     else:
         arcs = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-    least = arcs.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    joined = arcs.join(least, "u")
+    around = arcs.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    least = around.select("u", F.least("u", "m").alias("m"))
+    hubs = around.filter(F.col("n") >= max(size * HOT_SHARE, HOT_ROWS)).select("u")
+    joined = salted_join(arcs, least, ["u"], F.xxhash64("v"), "inner", hubs)
     if large:
         out = joined.filter(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:
@@ -30,9 +33,11 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     edges = durable(edges.filter("a <> b").select("a", "b").distinct(), label)
     mark = F.struct(F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("h"))
     before = edges.select(mark.alias("x")).first()["x"]
-    while True:
-        edges = durable(_star(_star(edges, large=True), large=False), label)
-        now = edges.select(mark.alias("x")).first()["x"]
+    while before["n"]:
+        size = 2 * before["n"]
+        later = durable(_star(_star(edges, True, size), False, size), label)
+        discard(edges)
+        edges, now = later, later.select(mark.alias("x")).first()["x"]
         if now == before:
             break
         before = now

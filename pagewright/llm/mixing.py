@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, durable, numbered, pick, position, row_key, salted_join
+from .common import WORD, durable, numbered, one_of_each, pick, position, row_key, salted_join
 
 # The weights of the sources in order, the share of all words, the bound of copies.
 WEIGHTS = (3, 1, 2)
@@ -220,8 +220,7 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", t
     at = {c: F.col(f"c{position(docs, c)}") for c in (id_col, source_col, text_col)}
     keyed = plain.withColumn("row_key", row_key(plain, names))
     units = units_of(keyed, at[id_col], at[source_col], at[text_col], F.col("row_key"))
-    times = sample(units).groupBy("doc_id", "key").agg(F.sum("times").alias("times")).filter("times > 0")
-    one = keyed.withColumn("copy_no", F.row_number().over(Window.partitionBy("row_key", at[id_col]).orderBy("row_key"))).filter("copy_no = 1")
-    joined = one.join(times, (one["row_key"] == times["key"]) & at[id_col].eqNullSafe(times["doc_id"]))
+    times = sample(units).groupBy("key").agg(F.sum("times").alias("times")).filter("times > 0").select(F.col("key").alias("row_key"), "times")
+    joined = one_of_each(keyed.join(times, "row_key"), [*names, "times"])
     again = joined.select(*names, F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
     return again.select(*names).toDF(*docs.columns)

@@ -10,14 +10,19 @@ at most MISS.
 
 Keys held by one class go at once. Under the other keys signatures are compared; what is written is
 a spanning forest of the pairs within the distance, not the pairs. Its components are clusters, and
-within a cluster the links are decided on the full sets. Large keys and large clusters are cut into
-blocks whose pairs of blocks are tasks of bounded size; from each comes a spanning forest too. So
-every link between different sets is decided, no row per pair is made, and no task holds a group.
+within a cluster the links are decided on the full sets, which are made once for each class.
+
+Groups too large for one task, keys and clusters alike, are cut into blocks. All blocks are compared
+with the first one, which is sent to each of them. Members whom that has joined need no comparison
+among themselves; the others, outside the largest component of their group, are compared with all.
+So every link between different sets is decided, no row per pair is made, no task holds a group, and
+a group of copies costs in proportion to its size.
 
 Defined cases: A-Z is lower-cased and nothing else; words are runs without white space (space, tab,
 LF, VT, FF, CR); null and blank texts have empty sets and are linked with nothing; with fewer words
 than a shingle has, the whole sequence is the one shingle; a null doc_id is never a component's
-smallest, and is the component's id only if all of it is null; rows that repeat share a class; an
+smallest, and is the component's id only if all of it is null, and rows without one are told apart by
+their texts; rows that repeat share a class; an
 empty table gives an empty result; further columns have no influence; texts are read whole.
 """
 
@@ -31,9 +36,8 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from .common import durable, numbered, pick, position, row_key, runs, small_batches, texts
+from .common import durable, hot_keys, numbered, one_of_each, pick, position, row_key, runs, salted_join, small_batches, texts
 from .graph import components
 
 CHUNK, BITS = 4, 16
@@ -109,11 +113,11 @@ class Signer:
         return packed.view(np.int64).tolist()
 
 
-SKETCH = "doc_id long, row_key long, node binary, n_shingles long, signature array<long>"
+SKETCH = "doc_id long, row_key string, at long, node binary, n_shingles long, signature array<long>"
 
 
 def _sketch(width: int, chunks: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    kinds = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("node", pa.binary()), ("n_shingles", pa.int64()), ("signature", pa.list_(pa.int64()))])
+    kinds = pa.schema([("doc_id", pa.int64()), ("row_key", pa.string()), ("at", pa.int64()), ("node", pa.binary()), ("n_shingles", pa.int64()), ("signature", pa.list_(pa.int64()))])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, signer = Hashes(), Signer(chunks)
@@ -124,7 +128,7 @@ def _sketch(width: int, chunks: int) -> Callable[[Iterator[pa.RecordBatch]], Ite
                 nodes.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
                 sizes.append(len(s))
                 signatures.append(signer(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.list_(pa.int64()))], schema=kinds)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(nodes, pa.binary()), pa.array(sizes, pa.int64()), pa.array(signatures, pa.list_(pa.int64()))], schema=kinds)
 
     return each
 
@@ -162,7 +166,7 @@ def _near_signatures(most: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out: list[tuple[bytes, bytes]] = []
         told: set[tuple[bytes, bytes]] = set()
-        for table in runs(batches, ["key", "i", "j"]):
+        for table in runs(batches, ["group", "i", "j"]):
             nodes = table.column("node").to_pylist()
             if len(nodes) < 2:
                 continue
@@ -217,19 +221,38 @@ def linked(sets: list[np.ndarray], first: int, within: bool, threshold: int) ->
     return found
 
 
-def _confirmed(width: int, threshold: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _sets(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The shingles of each class, in place of the text of one of its rows."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, done = Hashes(), set()
+        for batch in batches:
+            at, sets = [], []
+            for k, (node, text) in enumerate(zip(batch.column(batch.schema.get_field_index("node")).to_pylist(), texts(batch, "text"), strict=True)):
+                if node in done:
+                    continue  # a row that repeats
+                s = shingle_set(text, width, hashes)
+                if xxhash.xxh3_128_digest(s.tobytes()) == node:
+                    done.add(node)
+                    at.append(k)
+                    sets.append(s.view(np.int64))
+            kept = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*kept.columns[:-1], pa.array(sets, pa.list_(pa.int64()))], names=[*kept.schema.names[:-1], "shingles"])
+
+    return each
+
+
+def _confirmed(threshold: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """Of each cluster's block pair: a spanning forest of the links on full sets."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, out = Hashes(), []
-        for table in runs(batches, ["cluster", "i", "j"]):
+        out: list[tuple[bytes, bytes]] = []
+        for table in runs(batches, ["group", "i", "j"]):
             held: dict[bytes, tuple[int, np.ndarray]] = {}
-            for node, block, text in zip(table.column("node").to_pylist(), table.column("block").to_pylist(), table.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                if node in held:
-                    continue
-                s = shingle_set(text, width, hashes)
-                if len(s) and xxhash.xxh3_128_digest(s.tobytes()) == node:  # else another text under the same doc_id
-                    held[node] = (block, s)
+            sets = table.column("shingles").combine_chunks()
+            flat, ends = sets.values.to_numpy().view(np.uint64), sets.offsets.to_numpy()
+            for k, (node, block) in enumerate(zip(table.column("node").to_pylist(), table.column("block").to_pylist(), strict=True)):
+                held.setdefault(node, (block, flat[ends[k] : ends[k + 1]]))
             i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
             names = sorted(held, key=lambda n: (held[n][0] != i, n))
             if len(names) < 2:
@@ -245,9 +268,46 @@ def _confirmed(width: int, threshold: int) -> Callable[[Iterator[pa.RecordBatch]
     return each
 
 
-def _block_pairs(block: Column, blocks: Column) -> Column:
-    """The pairs of blocks in which a row of this block takes part."""
-    return F.explode(F.transform(F.sequence(F.lit(0), blocks - 1), lambda k: F.struct(F.least(block, k).alias("i"), F.greatest(block, k).alias("j"))))
+def _blocks(members: DataFrame, loads: DataFrame) -> DataFrame:
+    """members (group, node) with their group's blocks, from loads, and their own block."""
+    placed = salted_join(members, loads, ["group"], F.xxhash64("node"), "inner")
+    return placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+
+
+def _compared(members: DataFrame, pairs: Column, compare: Callable, label: str) -> DataFrame:
+    """The edges that compare finds in members, each of which takes part in pairs of blocks (i, j)."""
+    names = [c for c in members.columns if c not in ("blocks", "weight")]
+    dealt = members.select(*names, F.explode(pairs).alias("p")).select(*names, "p.i", "p.j")
+    return durable(dealt.repartition("group", "i", "j").sortWithinPartitions("group", "i", "j").mapInArrow(compare, EDGES), label)
+
+
+def _pair(a: Column | str, b: Column | str) -> Column:
+    return F.struct(F.least(a, b).alias("i"), F.greatest(a, b).alias("j"))
+
+
+def joined_up(members: DataFrame, compare: Callable, most: int, label: str) -> DataFrame:
+    """node, root: the components of what compare finds among the members of each group. members is
+    a durable table (group, node, weight, block, blocks and what compare reads); a block of the
+    second round has at most most members, or weight, on average."""
+    none = F.lit(0).cast("int")
+    first_block = F.transform(F.sequence(none, F.col("blocks") - 1), lambda k: _pair(none, k))
+    edges = _compared(members, F.when(F.col("block") == 0, first_block).otherwise(F.array(_pair(none, F.col("block")))), compare, label)
+    found = durable(components(edges, label), label)
+    apart = members.filter("blocks > 1 and block > 0").select("group", "node", "weight")
+    rooted = durable(apart.join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), label)
+    core = rooted.groupBy("group", "root").agg(F.count("*").alias("n")).groupBy("group").agg(F.max(F.struct("n", "root")).alias("m")).select("group", F.col("m.root").alias("core"))
+    sided = durable(salted_join(rooted, core, ["group"], F.xxhash64("node"), "inner").select("group", "node", "weight", (F.col("root") != F.col("core")).alias("outside")), label)
+    parts = [F.greatest(F.ceil(F.count_if(c) / most), F.ceil(F.sum(F.when(c, F.col("weight")).otherwise(0)) / SHINGLE_BLOCK)).cast("int").alias(n) for c, n in ((F.col("outside"), "outer"), (~F.col("outside"), "inner"))]
+    loads = durable(sided.groupBy("group").agg(*parts).filter("outer > 0"), label)
+    if loads.isEmpty():
+        return found
+    again = salted_join(sided, loads, ["group"], F.xxhash64("node"), "inner")
+    hashed = F.xxhash64("node", F.lit(2))
+    again = again.withColumn("block", F.when(F.col("outside"), F.pmod(hashed, F.col("outer"))).otherwise(F.col("outer") + F.pmod(hashed, F.greatest("inner", F.lit(1)))).cast("int"))
+    full = members.drop("block", "blocks", "weight").join(again.select("group", "node", "block", "outside", "outer", "inner"), ["group", "node"])
+    last = F.when(F.col("outside"), F.col("outer") + F.col("inner")).otherwise(F.col("outer")) - 1
+    more = _compared(full, F.transform(F.sequence(none, last), lambda k: _pair(F.col("block"), k)), compare, label)
+    return durable(components(edges.unionByName(more), label), label)
 
 
 def _keys(chunks: int) -> Column:
@@ -260,21 +320,34 @@ def _keys(chunks: int) -> Column:
     return F.explode(F.array(*keys))
 
 
+def placed(rows: DataFrame) -> DataFrame:
+    """rows with at, a hash of their id and text by which a text is found again."""
+    return rows.withColumn("at", F.xxhash64("doc_id", "text"))
+
+
 def sketched(rows: DataFrame, width: int, chunks: int) -> DataFrame:
     small_batches(rows.sparkSession)
-    return durable(rows.select("doc_id", "row_key", "text").mapInArrow(_sketch(width, chunks), SKETCH), "near-sketch")
+    return durable(placed(rows).select("doc_id", "row_key", "at", "text").mapInArrow(_sketch(width, chunks), SKETCH), "near-sketch")
+
+
+def clusters(classes: DataFrame, chunks: int) -> DataFrame:
+    """node, root: the components of the classes whose signatures are within the distance."""
+    keyed = classes.select("node", _keys(chunks).alias("group"))
+    shared = keyed.groupBy("group").agg(F.count("*").alias("n")).filter("n > 1")
+    held = _blocks(durable(keyed.join(shared, "group").select("group", "node", "n"), "near-keys"), shared.select("group", F.ceil(F.col("n") / KEY_BLOCK).cast("int").alias("blocks")))
+    signed = held.select("group", "node", F.lit(0).alias("weight"), "block", "blocks").join(classes.select("node", "signature"), "node")
+    return joined_up(durable(signed, "near-signed"), _near_signatures(2 * chunks - 1), KEY_BLOCK, "near-clusters")
 
 
-def candidate_edges(classes: DataFrame, chunks: int) -> DataFrame:
-    """A spanning forest of the classes whose signatures are within the distance."""
-    keyed = classes.select("node", _keys(chunks).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    held = keyed.join(shared, "key").withColumn("blocks", F.ceil(F.col("n") / KEY_BLOCK).cast("int"))
-    held = held.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    paired = held.select("key", "node", _block_pairs(F.col("block"), F.col("blocks")).alias("p")).select("key", "node", "p.i", "p.j")
-    signed = paired.join(classes.select("node", "signature"), "node")
-    dealt = signed.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    return dealt.select("key", "i", "j", "node", "signature").mapInArrow(_near_signatures(2 * chunks - 1), EDGES)
+def linked_classes(rows: DataFrame, sketch: DataFrame, classes: DataFrame, found: DataFrame, width: int, threshold: int) -> DataFrame:
+    """node, root: the components of the links between the classes of each cluster."""
+    members = durable(found.join(classes.select("node", "at", F.col("n_shingles").alias("weight")), "node").withColumnRenamed("root", "group"), "near-members")
+    loads = members.groupBy("group").agg(F.greatest(F.ceil(F.count("*") / SET_BLOCK), F.ceil(F.sum("weight") / SHINGLE_BLOCK)).cast("int").alias("blocks"))
+    named = _blocks(members, loads).select("at", "group", "node", "weight", "block", "blocks")
+    texts_of = salted_join(placed(rows).select("at", "text"), named, ["at"], F.xxhash64("at", F.monotonically_increasing_id()), "inner", hot_keys(sketch, ["at"]))
+    names = ["group", "node", "weight", "block", "blocks"]
+    sets = texts_of.select(*names, "text").mapInArrow(_sets(width), "group binary, node binary, weight long, block int, blocks int, shingles array<long>")
+    return joined_up(durable(sets, "near-sets"), _confirmed(threshold), SET_BLOCK, "near-links")
 
 
 def near_components(rows: DataFrame, width: int, threshold: int) -> DataFrame:
@@ -282,31 +355,22 @@ def near_components(rows: DataFrame, width: int, threshold: int) -> DataFrame:
     chunks = chunks_for(threshold / 100)
     sketch = sketched(rows, width, chunks)
     full = sketch.filter("node is not null")
-    classes = durable(
-        full.groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")), "near-classes"
-    )
-    clusters = durable(components(candidate_edges(classes, chunks), "near-clusters"), "near-clusters")
-    members = clusters.join(classes.select("node", "rep", "n_shingles"), "node")
-    loads = members.groupBy("root").agg(
-        F.greatest(F.ceil(F.count("*") / SET_BLOCK), F.ceil(F.sum("n_shingles") / SHINGLE_BLOCK)).cast("int").alias("blocks")
-    )
-    members = members.join(loads, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    named = members.select("root", "node", "rep", "block", "blocks")
-    with_text = rows.select(F.col("doc_id").alias("rep_id"), "text").join(named, F.col("rep_id").eqNullSafe(F.col("rep")))
-    dealt = with_text.select(F.col("root").alias("cluster"), "node", "block", "text", _block_pairs(F.col("block"), F.col("blocks")).alias("p"))
-    dealt = dealt.select("cluster", "p.i", "p.j", "node", "block", "text").repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    linked_components = components(dealt.mapInArrow(_confirmed(width, threshold), EDGES), "near-links")
-    rooted = classes.select("node", "rep").join(linked_components, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    least_row = F.min(F.struct(F.col("doc_id").isNull().alias("null_id"), "doc_id", "at")).alias("r")
+    classes = full.groupBy("node").agg(least_row, F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
+    classes = durable(classes.select("node", F.col("r.doc_id").alias("rep"), F.col("r.at").alias("at"), "n_shingles", "signature"), "near-classes")
+    links = linked_classes(rows, sketch, classes, clusters(classes, chunks), width, threshold)
+    rooted = durable(classes.select("node", "rep").join(links, "node", "left").withColumn("root", F.coalesce("root", "node")), "near-rooted")
     least = rooted.groupBy("root").agg(F.min("rep").alias("component_id"))
-    of_node = durable(rooted.join(least, "root").select("node", "component_id"), "near-components")
-    out = sketch.join(of_node, "node", "left")
-    return out.select("doc_id", "row_key", "n_shingles", F.when(F.col("node").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.col("node").isNull().alias("alone"))
+    of_node = durable(salted_join(rooted, least, ["root"], F.xxhash64("node"), "inner").select("node", "component_id"), "near-components")
+    names = ["doc_id", "row_key", "n_shingles", "component_id"]
+    some = salted_join(full, of_node, ["node"], F.xxhash64("at", F.monotonically_increasing_id()), "inner").select(*names, F.lit(False).alias("alone"))
+    return some.unionByName(sketch.filter("node is null").withColumn("component_id", F.col("doc_id")).select(*names, F.lit(True).alias("alone")))
 
 
 def near_report(docs: DataFrame, width: int = 5, threshold: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row; links are similarities of threshold
     hundredths or more between sets of width-word shingles."""
-    rows = pick(docs, id_col, text_col).toDF("doc_id", "text").withColumn("row_key", F.lit(0).cast("long"))
+    rows = pick(docs, id_col, text_col).toDF("doc_id", "text").withColumn("row_key", F.lit(""))
     found = near_components(rows, width, threshold)
     return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
@@ -319,8 +383,6 @@ def without_near_duplicates(docs: DataFrame, width: int = 5, threshold: int = 80
     rows = keyed.select(doc_id.cast("long").alias("doc_id"), F.col(f"c{position(docs, text_col)}").alias("text"), "row_key")
     found = near_components(rows, width, threshold)
     group = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("row_key"))
-    winners = found.filter(~F.col("alone")).groupBy("component_id").agg(F.min(group).alias("w")).select(F.col("w.row_key").alias("key"), F.col("w.doc_id").alias("id"))
-    stay = winners.unionByName(found.filter("alone").select(F.col("row_key").alias("key"), F.col("doc_id").alias("id")).distinct())
-    joined = keyed.join(stay, (keyed["row_key"] == stay["key"]) & doc_id.eqNullSafe(stay["id"]), "left_semi")
-    once = joined.withColumn("copy_no", F.row_number().over(Window.partitionBy("row_key").orderBy("row_key"))).filter("copy_no = 1")
-    return once.select(*names).toDF(*docs.columns)
+    winners = found.filter(~F.col("alone")).groupBy("component_id").agg(F.min(group).alias("w")).select(F.col("w.row_key").alias("row_key"))
+    stay = winners.unionByName(found.filter("alone").select("row_key")).distinct()
+    return one_of_each(keyed.join(stay, "row_key", "left_semi"), names).toDF(*docs.columns)

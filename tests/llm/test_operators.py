@@ -440,6 +440,38 @@ def test_near_duplicates_of_a_large_group(spark, monkeypatch):
     assert rows(neardup.near_report(df, 3, 85), "doc_id", "n_shingles", "component_id") == near_plain(table, 3, 85)
 
 
+def test_near_duplicates_outside_the_first_block(spark, monkeypatch):
+    """Groups of a key or cluster that the first block does not join, so that the second round does."""
+    monkeypatch.setattr(neardup, "KEY_BLOCK", 8)
+    monkeypatch.setattr(neardup, "SET_BLOCK", 4)
+    chains = []
+    for c in range(3):  # neighbours are alike, ends of a chain are not
+        words = [f"c{c}w{k}" for k in range(260)]
+        chains += [" ".join(words[4 * k : 4 * k + 100]) for k in range(40)]
+    table = list(enumerate(chains))
+    df = spark.createDataFrame(table, "doc_id long, text string").repartition(4)
+    assert rows(neardup.near_report(df, 3, 85), "doc_id", "n_shingles", "component_id") == near_plain(table, 3, 85)
+
+
+def test_near_duplicates_without_ids(spark):
+    r = random.Random(6)
+    base = [f"b{i}" for i in range(100)]
+    table = []
+    for i in range(300):
+        w = base[:]
+        w[r.randrange(100)] = f"e{r.randrange(60)}"
+        table.append((None, " ".join(w)))
+    table += [(5, table[0][1]), (None, "quite another text"), (None, None), (None, table[1][1])]
+    df = spark.createDataFrame(table, "doc_id long, text string").repartition(4)
+    assert rows(neardup.near_report(df, 3, 85), "doc_id", "n_shingles", "component_id") == near_plain(table, 3, 85)
+
+
+def test_components_of_a_hub(spark):
+    pairs = [(0, i) for i in range(1, 3000)] + [(i, i + 1) for i in range(4000, 4020)] + [(2999, 4000)]
+    got = {x["node"]: x["root"] for x in graph.components(spark.createDataFrame(pairs, "a long, b long")).collect()}
+    assert len(got) == 3021 and set(got.values()) == {0}
+
+
 def test_near_duplicates_keep_one_row_each(odd):
     left = neardup.without_near_duplicates(odd, 5, 80)
     assert left.columns == odd.columns
