@@ -35,9 +35,11 @@ def components(edges: DataFrame, label: str = "components") -> DataFrame:
     before = edges.select(mark.alias("x")).first()["x"]
     while before["n"]:
         size = 2 * before["n"]
-        later = durable(_star(_star(edges, True, size), False, size), label)
-        discard(edges)
-        edges, now = later, later.select(mark.alias("x")).first()["x"]
+        for large in (True, False):  # each written, as a star reads its edges several times
+            later = durable(_star(edges, large, size), label)
+            discard(edges)
+            edges = later
+        now = edges.select(mark.alias("x")).first()["x"]
         if now == before:
             break
         before = now
