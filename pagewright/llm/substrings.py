@@ -1,20 +1,29 @@
 """Substring dedup by a compacted de Bruijn graph of token k-mers.
 
-The edges of the graph are k-mers of WINDOW words, named by two independent 64-bit hashes. An edge
-can only repeat if its minimizer does (the least hash of its ANCHOR-word parts, the same wherever
-the edge stands), so a first pass names only minimizers, about one word in sixteen, and a second
-one only the edges whose minimizer occurs in two documents. Each repeated edge gets its source: the
-least document and place where it starts. Edges that follow each other in a document and in their
-source have one way in and one way out there: such nonbranching paths are compacted to spans with
-source coordinates, first within a task and then across them. The spans' words are removed.
-
-Texts whose whole word sequence is that of a smaller document are settled by a digest beforehand,
-and a task that holds an edge several times sends its first occurrence on alone, so that copies and
-passages that very many documents share do not gather under one key.
+The edges of the graph are k-mers of WINDOW words, from the node of their first WINDOW - 1 words to
+that of their last; nodes are named by 64-bit hashes, so an edge has 128 bits. An edge can only
+repeat if its minimizer does (the least hash of its ANCHOR-word parts, the same wherever the edge
+stands), so a first pass names only minimizers, about one word in sixteen, and a second one only the
+edges whose minimizer occurs in two documents.
+
+Each edge that two documents have gets its source: the least document and place where it starts,
+which also identify it from then on. Counts of the edges into and out of a node give its degrees.
+Where a node has one edge in and one out, and the two follow each other in their source, a join on
+the node compacts them into one path; paths are cut every PATH places of the source, so that no task
+holds a long document. A join of all places on their edge threads documents through the paths, and
+gives spans with source coordinates. Those are then verified: the words of the source's text at
+its coordinates must be those of the span, by a digest of both. The verified spans' words go.
+
+Texts whose whole word sequence is that of a smaller document are settled by a digest beforehand.
+A task that holds an edge several times sends its first occurrence on alone: later documents there
+become spans at once, and an edge that a document repeats refers back to its place before. So
+copies, passages that very many documents share, and loops do not gather under one key: an edge has
+at most one row for each CHUNK_EDGES edges.
 
 Defined cases: null and blank texts have no words; rows with a null doc_id are no source and keep
 all words; rows that repeat a doc_id, whatever their texts, do not remove words from each other;
-an empty table gives an empty result; further columns have no influence; texts are read whole.
+an empty table gives an empty result; further columns have no influence; texts are read whole. If
+two different edges had one hash, their spans fail the verification and their words stay.
 """
 
 from __future__ import annotations
@@ -25,24 +34,26 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import durable, pick, small_batches, texts
+from .common import HOT_ROWS, HOT_SHARE, discard, durable, pick, salted_join, small_batches, texts
 from .neardup import Hashes, _mixed
 
 WINDOW, ANCHOR = 50, 20
 #: Edges that a task holds at once to find those that it has several times.
 CHUNK_EDGES = 1_500_000
+#: Places of a path in its source, at most.
+PATH = 4096
 #: Words that are hashed at once; with the place of a minimizer in 24 bits.
 STRETCH = 1 << 22
 #: Several texts under one doc_id are told apart by the high bits of places.
 PART = 1 << 40
 
-# Odd multipliers of the two rolling hashes, and their inverses.
-BASE = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
-INVERSE = tuple(pow(b, -1, 1 << 64) for b in BASE)
+# Fixed value: an odd multiplier of the rolling hash, and its inverse.
+BASE = 0xD6E8FEB86659FD93
+INVERSE = pow(BASE, -1, 1 << 64)
 
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
@@ -50,8 +61,8 @@ EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 class Rolling:
     """Hashes of all windows of a sequence, from prefix sums modulo 2^64."""
 
-    def __init__(self, which: int) -> None:
-        self.base, self.inverse = np.uint64(BASE[which]), np.uint64(INVERSE[which])
+    def __init__(self) -> None:
+        self.base, self.inverse = np.uint64(BASE), np.uint64(INVERSE)
         self.up = self.down = np.ones(1, np.uint64)
 
     def _powers(self, n: int) -> None:
@@ -71,7 +82,7 @@ class Rolling:
 
 class Sketcher:
     def __init__(self) -> None:
-        self.hashes, self.one, self.two = Hashes(), Rolling(0), Rolling(1)
+        self.hashes, self.rolling = Hashes(), Rolling()
 
     def words(self, text: bytes | None) -> tuple[list[bytes], np.ndarray]:
         words = (text or b"").split()
@@ -80,7 +91,7 @@ class Sketcher:
     def minimizers(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For the windows of h (at most STRETCH words): the place of each one's minimizer, and the
         hashes of the anchors at all places."""
-        anchor = self.one.windows(self.one.sums(h), ANCHOR)
+        anchor = self.rolling.windows(self.rolling.sums(h), ANCHOR)
         packed = (anchor & np.uint64(0xFFFFFFFFFF000000)) | np.arange(len(anchor), dtype=np.uint64)
         span, width = WINDOW - ANCHOR + 1, 1
         while 2 * width <= span:
@@ -100,16 +111,15 @@ class Sketcher:
         return np.unique(np.concatenate(found)).view(np.int64) if found else np.empty(0, np.int64)
 
     def edges(self, h: np.ndarray, repeated: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """Two hashes and the place of each window whose minimizer is among repeated (sorted)."""
+        """The two nodes and the place of each edge whose minimizer is among repeated (sorted)."""
         for begin, part in self.stretches(h):
             least, anchor = self.minimizers(part)
             mine = anchor[least].view(np.int64)
             at = np.searchsorted(repeated, mine)
             hit = np.flatnonzero(repeated[np.minimum(at, len(repeated) - 1)] == mine)
             if len(hit):
-                one = self.one.windows(self.one.sums(part), WINDOW)[hit]
-                two = self.two.windows(self.two.sums(_mixed(part ^ np.uint64(0x5851F42D4C957F2D))), WINDOW)[hit]
-                yield one, two, hit + begin
+                nodes = self.rolling.windows(self.rolling.sums(part), WINDOW - 1)
+                yield nodes[hit], nodes[hit + 1], hit + begin
 
 
 def _digest(words: list[bytes]) -> tuple[bytes, str]:
@@ -117,7 +127,7 @@ def _digest(words: list[bytes]) -> tuple[bytes, str]:
     return xxhash.xxh3_128_digest(joined), hashlib.sha256(joined).hexdigest()
 
 
-META = "doc_id long, n_words long, digest binary, sha string, anchors array<long>"
+META = "doc_id long, n_words long, digest binary, sha string, anchors array<long>, n_anchors int"
 
 
 def _meta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,17 +136,19 @@ def _meta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         for text in texts(batch, "text"):
             words, h = sketcher.words(text)
-            rows.append((len(words), *_digest(words), sketcher.anchors(h)))
-        n, digest, sha, anchors = zip(*rows, strict=True) if rows else ((), (), (), ())
+            found = sketcher.anchors(h)
+            rows.append((len(words), *_digest(words), found, len(found)))
+        n, digest, sha, anchors, counts = zip(*rows, strict=True) if rows else ((), (), (), (), ())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sha, pa.string()), pa.array(anchors, pa.list_(pa.int64()))],
-            names=["doc_id", "n_words", "digest", "sha", "anchors"],
+            [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sha, pa.string()), pa.array(anchors, pa.list_(pa.int64())), pa.array(counts, pa.int32())],
+            names=["doc_id", "n_words", "digest", "sha", "anchors", "n_anchors"],
         )
 
 
-#: A span of length places of doc_id from at on, whose words also start at source_at in source; or,
-#: with one and two, an edge whose source is to be found.
-SPANS = "one long, two long, doc_id long, at long, length long, source long, source_at long"
+#: A span of length places of doc_id from at on, whose words also start at source_at in source, or,
+#: where source is doc_id, whose edges were there before; or, with tail and head, an edge whose source
+#: is to be found.
+SPANS = "tail long, head long, doc_id long, at long, length long, source long, source_at long"
 
 
 def compacted(doc: np.ndarray, at: np.ndarray, source: np.ndarray, source_at: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -150,17 +162,23 @@ def compacted(doc: np.ndarray, at: np.ndarray, source: np.ndarray, source_at: np
     return doc[begin], at[begin], length, source[begin], source_at[begin]
 
 
-def _resolve(one: np.ndarray, two: np.ndarray, doc: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
-    """Settles edges that have a smaller document here; the first ones stay open."""
-    order = np.lexsort((at, doc, two, one))
-    one, two, doc, at = one[order], two[order], doc[order], at[order]
-    new = np.ones(len(one), bool)
-    new[1:] = (one[1:] != one[:-1]) | (two[1:] != two[:-1])
-    begin = np.flatnonzero(new)
-    first = begin[np.cumsum(new) - 1]
-    later = doc > doc[first]
-    d, a, n, s, sa = compacted(doc[later], at[later], doc[first][later], at[first][later])
-    still = ~later
+def _resolve(tail: np.ndarray, head: np.ndarray, doc: np.ndarray, at: np.ndarray) -> pa.RecordBatch:
+    """Settles edges that were here before; the first ones stay open."""
+    order = np.lexsort((at, doc, head, tail))
+    tail, head, doc, at = tail[order], head[order], doc[order], at[order]
+    first = np.ones(len(tail), bool)
+    first[1:] = (tail[1:] != tail[:-1]) | (head[1:] != head[:-1])
+    source = np.flatnonzero(first)[np.cumsum(first) - 1]
+    same = ~first  # the text of the row before, and where at is too, a row that repeats
+    same[1:] &= (doc[1:] == doc[:-1]) & (at[1:] // PART == at[:-1] // PART)
+    again = same.copy()
+    again[1:] &= at[1:] != at[:-1]
+    later = ~same & (doc > doc[source])
+    still = ~same & ~later
+    before = np.flatnonzero(again) - 1
+    shared = compacted(doc[later], at[later], doc[source][later], at[source][later])
+    back = compacted(doc[again], at[again], doc[again], at[before])
+    d, a, n, s, sa = (np.concatenate(x) for x in zip(shared, back, strict=True))
     k, m = int(still.sum()), len(d)
 
     def column(open_part: np.ndarray | None, span_part: np.ndarray | None) -> pa.Array:
@@ -170,15 +188,15 @@ def _resolve(one: np.ndarray, two: np.ndarray, doc: np.ndarray, at: np.ndarray)
 
     return pa.RecordBatch.from_arrays(
         [
-            column(one[still].view(np.int64), None),
-            column(two[still].view(np.int64), None),
+            column(tail[still].view(np.int64), None),
+            column(head[still].view(np.int64), None),
             column(doc[still], d),
             column(at[still], a),
             column(np.ones(k, np.int64), n.astype(np.int64)),
             column(None, s),
             column(None, sa),
         ],
-        names=["one", "two", "doc_id", "at", "length", "source", "source_at"],
+        names=["tail", "head", "doc_id", "at", "length", "source", "source_at"],
     )
 
 
@@ -191,8 +209,8 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, h = sketcher.words(text)
             if xxhash.xxh3_128_digest(b" ".join(words)) != digests[k]:
                 continue  # another text under the same doc_id
-            for one, two, at in sketcher.edges(h, np.sort(repeated[k].values.to_numpy())):
-                held.append((one, two, np.full(len(at), ids[k], np.int64), at + parts[k] * PART))
+            for tail, head, at in sketcher.edges(h, np.sort(repeated[k].values.to_numpy())):
+                held.append((tail, head, np.full(len(at), ids[k], np.int64), at + parts[k] * PART))
                 count += len(at)
                 if count >= CHUNK_EDGES:
                     yield _resolve(*(np.concatenate(x) for x in zip(*held, strict=True)))
@@ -201,9 +219,49 @@ def _edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _resolve(*(np.concatenate(x) for x in zip(*held, strict=True)))
 
 
+def _passage(words: list[bytes], at: int, length: int) -> bytes:
+    return xxhash.xxh3_128_digest(b" ".join(words[at : at + length + WINDOW - 1]))
+
+
+PASSAGES = "source long, source_digest binary, source_at long, length long, passage binary"
+
+
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Digests of the words at the places of sources that spans tell of."""
+    for batch in batches:
+        ids, digests, out = batch.column(0).to_pylist(), batch.column(2).to_pylist(), []
+        for k, text in enumerate(texts(batch, "text")):
+            words = (text or b"").split()
+            if xxhash.xxh3_128_digest(b" ".join(words)) == digests[k]:  # else another text under the same doc_id
+                wanted = batch.column(3)[k].values
+                for at, length in zip(wanted.field(0).to_pylist(), wanted.field(1).to_pylist(), strict=True):
+                    out.append((ids[k], digests[k], at, length, _passage(words, at, length)))
+        columns = list(zip(*out, strict=True)) if out else [()] * 5
+        kinds = (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names=["source", "source_digest", "source_at", "length", "passage"])
+
+
 KEPT = "doc_id long, digest binary, n_removed long, kept string"
 
 
+def covered(words: list[bytes], spans: list[tuple[int, int, int | None, bytes | None]]) -> np.ndarray:
+    """Which words go. A span (at, length, back, passage) has the words of a smaller document if they
+    are those of the passage; with back, its edges go if those from back on do."""
+    edges = np.zeros(len(words), bool)
+    for at, length, back, passage in spans:
+        if back is None and _passage(words, at, length) == passage:
+            edges[at : at + length] = True
+    for at, length, back, _ in sorted((s for s in spans if s[2] is not None), key=lambda s: s[0]):
+        for i in range(0, length, at - back):
+            n = min(at - back, length - i)
+            edges[at + i : at + i + n] |= edges[back + i : back + i + n]
+    step = np.zeros(len(words) + WINDOW, np.int64)
+    starts = np.flatnonzero(edges)
+    step[starts] += 1
+    step[starts + WINDOW] -= 1
+    return np.cumsum(step)[: len(words)] > 0
+
+
 def _kept(whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,11 +271,7 @@ def _kept(whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
                 if xxhash.xxh3_128_digest(b" ".join(words)) != digests[k]:
                     continue
                 spans = batch.column(3)[k].values
-                begin = spans.field(0).to_numpy()
-                step = np.zeros(len(words) + 1, np.int64)
-                np.add.at(step, begin, 1)
-                np.add.at(step, begin + spans.field(1).to_numpy() + WINDOW - 1, -1)
-                gone = np.cumsum(step[:-1]) > 0
+                gone = covered(words, list(zip(*[spans.field(i).to_pylist() for i in range(4)], strict=True)))
                 left = b" ".join([words[i] for i in np.flatnonzero(~gone).tolist()])
                 out.append((ids[k], digests[k], int(gone.sum()), left.decode() if whole else hashlib.sha256(left).hexdigest()))
             doc, digest, n, kept = zip(*out, strict=True) if out else ((), (), (), ())
@@ -226,37 +280,89 @@ def _kept(whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Recor
     return each
 
 
+def paths_of(known: DataFrame) -> DataFrame:
+    """The distinct edges of known by their source coordinates, each with path_at, the place in the
+    source where its path begins."""
+    edges = known.filter("doc_id = source and at = source_at").select("tail", "head", "source", "source_at").distinct()
+    into = edges.groupBy(F.col("head").alias("node")).agg(F.count("*").alias("ways_in"), F.min(F.struct("source", "source_at")).alias("edge_in"))
+    out = edges.groupBy(F.col("tail").alias("node")).agg(F.count("*").alias("ways_out"))
+    nodes = into.join(out, "node")
+    linked = salted_join(edges.withColumnRenamed("tail", "node"), nodes, ["node"], F.xxhash64("head"))
+    follows = (F.col("ways_in") == 1) & (F.col("ways_out") == 1) & (F.col("edge_in.source") == F.col("source")) & (F.col("edge_in.source_at") + 1 == F.col("source_at"))
+    along = Window.partitionBy("source", F.floor(F.col("source_at") / PATH)).orderBy("source_at")
+    begin = F.when(~F.coalesce(follows, F.lit(False)), F.col("source_at"))
+    return linked.select("source", "source_at", F.coalesce(F.max(begin).over(along), F.min("source_at").over(along)).alias("path_at"))
+
+
+def _runs(places: Column) -> Column:
+    """Sorted places as an array of runs of consecutive ones (at, length)."""
+    start = F.struct(F.expr("cast(array() as array<struct<at:bigint,length:bigint>>)").alias("done"), F.lit(None).cast("long").alias("at"), F.lit(0).cast("long").alias("length"))
+
+    def add(acc: Column, place: Column) -> Column:
+        goes_on = acc["at"] + acc["length"] == place
+        closed = F.when(acc["at"].isNull() | goes_on, acc["done"]).otherwise(F.concat(acc["done"], F.array(F.struct(acc["at"].alias("at"), acc["length"].alias("length")))))
+        return F.struct(closed.alias("done"), F.when(goes_on, acc["at"]).otherwise(place).alias("at"), F.when(goes_on, acc["length"] + 1).otherwise(F.lit(1).cast("long")).alias("length"))
+
+    return F.aggregate(places, start, add, lambda acc: F.concat(acc["done"], F.array(F.struct(acc["at"].alias("at"), acc["length"].alias("length")))))
+
+
+def threaded(known: DataFrame) -> DataFrame:
+    """Spans (doc_id, at, length, source, source_at) of the documents along the paths."""
+    places = known.filter("doc_id > source").select("doc_id", "at", "source", "source_at")
+    on_path = places.join(paths_of(known), ["source", "source_at"]).withColumn("shift", F.col("at") - F.col("source_at"))
+    # a path's places in a document, of which PATH bounds the number; rows that repeat count once
+    of_path = on_path.groupBy("doc_id", "source", "path_at", "shift").agg(F.array_sort(F.collect_set("at")).alias("places"))
+    runs = of_path.select("doc_id", "source", "shift", F.explode(_runs(F.col("places"))).alias("run"))
+    return runs.select("doc_id", "run.at", "run.length", "source", (F.col("run.at") - F.col("shift")).alias("source_at"))
+
+
 def repeated_spans(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The meta table of rows (doc_id, text), with first (the least doc_id of the same words) and
-    part; and spans: doc_id, part, at, length, source, source_at."""
+    """The meta table of rows (doc_id, text), with first (the least doc_id of the same words); and
+    spans: doc_id, digest, at, length, and either source, source_digest and source_at, or back."""
     small_batches(rows.sparkSession)
     meta = durable(rows.mapInArrow(_meta, META), "substring-meta")
-    same = meta.filter("doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("first"))
-    leaders = meta.filter(f"n_words >= {WINDOW}").join(same, "digest").filter("doc_id = first").select("doc_id", "digest", "anchors")
+    same = durable(meta.filter("doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("first")), "substring-firsts")
+    slim = salted_join(meta.drop("anchors"), same, ["digest"], F.xxhash64("doc_id"))
     part = F.row_number().over(Window.partitionBy("doc_id").orderBy("digest")) - 1
-    leaders = leaders.groupBy("doc_id", "digest").agg(F.first("anchors").alias("anchors")).withColumn("part", part)
+    leaders = salted_join(meta.filter(f"n_words >= {WINDOW}"), same, ["digest"], F.xxhash64("doc_id"), "inner").filter("doc_id = first")
+    leaders = durable(leaders.groupBy("doc_id", "digest").agg(F.first("anchors").alias("anchors")).withColumn("part", part), "substring-leaders")
     anchored = leaders.select("doc_id", "digest", "part", F.explode("anchors").alias("anchor"))
-    shared = anchored.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("anchor")
-    work = anchored.join(shared, "anchor").groupBy("doc_id", "digest", "part").agg(F.collect_list("anchor").alias("repeated"))
+    shared = anchored.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).filter("low < high")
+    least = max((meta.agg(F.sum("n_anchors")).first()[0] or 0) * HOT_SHARE, HOT_ROWS)
+    work = salted_join(anchored, shared.select("anchor"), ["anchor"], F.xxhash64("doc_id"), "inner", shared.filter(F.col("n") >= least).select("anchor"))
+    work = work.groupBy("doc_id", "digest", "part").agg(F.collect_list("anchor").alias("repeated"))
     given = rows.join(work, "doc_id").select("doc_id", "text", "digest", "part", "repeated")
     found = durable(given.mapInArrow(_edges, SPANS), "substring-edges")
-    edge = Window.partitionBy("one", "two")
-    source = F.min(F.struct("doc_id", "at")).over(edge)
-    sourced = found.filter("one is not null").withColumn("s", source).filter("doc_id > s.doc_id").select("doc_id", "at", F.col("s.doc_id").alias("source"), F.col("s.at").alias("source_at"))
-    # edges with one way on, in the document as in the source, are numbered alike along a path; an
-    # edge that repeated rows bring several times counts once
-    path = Window.partitionBy("doc_id", "source", "shift").orderBy("at")
-    ways = sourced.withColumn("shift", F.col("at") - F.col("source_at")).withColumn("island", F.col("at") - F.dense_rank().over(path))
-    paths = ways.groupBy("doc_id", "source", "shift", "island").agg(F.min("at").alias("at"), (F.max("at") - F.min("at") + 1).alias("length")).withColumn("source_at", F.col("at") - F.col("shift"))
-    spans = found.filter("one is null").select("doc_id", "at", "length", "source", "source_at").unionByName(paths.select("doc_id", "at", "length", "source", "source_at"))
-    spans = spans.select("doc_id", F.floor(F.col("at") / PART).cast("int").alias("part"), (F.col("at") % PART).alias("at"), "length", "source", (F.col("source_at") % PART).alias("source_at"))
+    edge = Window.partitionBy("tail", "head")
+    known = found.filter("tail is not null").select("tail", "head", "doc_id", "at").withColumns({"s": F.min(F.struct("doc_id", "at")).over(edge), "last": F.max("doc_id").over(edge)})
+    known = durable(known.filter("last > s.doc_id").select("tail", "head", "doc_id", "at", F.col("s.doc_id").alias("source"), F.col("s.at").alias("source_at")), "substring-known")
+    spans = found.filter("tail is null").select("doc_id", "at", "length", "source", "source_at").unionByName(threaded(known))
+    within = [F.floor(F.col(c) / PART).cast("int").alias(p) for c, p in (("at", "part"), ("source_at", "source_part"))]
+    spans = spans.select("doc_id", (F.col("at") % PART).alias("at"), "length", "source", (F.col("source_at") % PART).alias("source_at"), *within)
     named = leaders.select("doc_id", "digest", "part")
-    return meta.join(same, "digest", "left"), spans.join(named, ["doc_id", "part"])
+    spans = durable(spans.join(named, ["doc_id", "part"]).drop("part"), "substring-spans")
+    discard(found)
+    discard(known)
+    origin = named.select(F.col("doc_id").alias("source"), F.col("digest").alias("source_digest"), F.col("part").alias("source_part"))
+    of_source = spans.filter("source < doc_id")
+    told = salted_join(of_source, origin, ["source", "source_part"], F.xxhash64("doc_id", "at"), "inner").drop("source_part")
+    back = spans.filter("source = doc_id").select("doc_id", "digest", "at", "length", F.col("source_at").alias("back"))
+    return slim, told.unionByName(back, allowMissingColumns=True)
+
+
+def verified(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """spans with passage, the digest of the source's words at the span's source coordinates."""
+    passage = ["source", "source_digest", "source_at", "length"]
+    told = durable(spans.filter("back is null").drop("back"), "substring-told")
+    wanted = told.select(*passage).distinct().groupBy(F.col("source").alias("doc_id"), F.col("source_digest").alias("digest")).agg(F.collect_list(F.struct("source_at", "length")).alias("wanted"))
+    read = rows.join(wanted, "doc_id").select("doc_id", "text", "digest", "wanted").mapInArrow(_passages, PASSAGES).dropDuplicates(passage)
+    checked = salted_join(told, read, passage, F.xxhash64("doc_id", "at"), "inner").select("doc_id", "digest", "at", "length", "passage")
+    return checked.unionByName(spans.filter("back is not null").select("doc_id", "digest", "at", "length", "back"), allowMissingColumns=True)
 
 
 def _cleaned(rows: DataFrame, whole: bool) -> DataFrame:
     meta, spans = repeated_spans(rows)
-    lists = spans.groupBy("doc_id", "digest").agg(F.collect_list(F.struct("at", "length")).alias("spans"))
+    lists = verified(rows, spans).groupBy("doc_id", "digest").agg(F.collect_list(F.struct("at", "length", "back", "passage")).alias("spans"))
     cut = rows.join(lists, "doc_id").select("doc_id", "text", "digest", "spans").mapInArrow(_kept(whole), KEPT)
     cut = cut.dropDuplicates(["doc_id", "digest"])
     copy = (F.col("doc_id") > F.col("first")) & (F.col("n_words") >= WINDOW)

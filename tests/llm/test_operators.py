@@ -188,6 +188,28 @@ def test_substrings_repeated_rows_of_a_changed_copy(spark):
     assert rows(substrings.substring_report(df), "doc_id", "n_words", "n_removed", "kept_sha256") == removed(table)
 
 
+def test_substrings_long_paths_and_branches(spark, monkeypatch):
+    monkeypatch.setattr(substrings, "PATH", 64)
+    r = random.Random(8)
+    parts = [[f"q{k}x{i}" for i in range(n)] for k, n in enumerate((300, 90, 55, 49, 200))]
+    table = []
+    for i in range(40):
+        words = [f"own{i}"]
+        for _ in range(4):
+            words += parts[r.randrange(5)][r.randrange(30) :] + [f"t{r.randrange(3)}"] * r.randrange(2)
+        table.append((i, " ".join(words)))
+    df = spark.createDataFrame(spark.sparkContext.parallelize(table, 6), "doc_id long, text string")
+    assert rows(substrings.substring_report(df), "doc_id", "n_words", "n_removed", "kept_sha256") == removed(table)
+
+
+def test_substrings_are_verified():
+    words = [f"w{i}".encode() for i in range(120)]
+    passage = substrings._passage(words, 10, 5)
+    assert substrings.covered(words, [(10, 5, None, passage)]).sum() == 54
+    assert substrings.covered(words, [(10, 5, None, b"other")]).sum() == 0
+    assert substrings.covered(words, [(10, 5, None, passage), (15, 12, 10, None)]).sum() == 66
+
+
 def test_substrings_texts(spark):
     words = " ".join(f"z{i}" for i in range(60))
     df = spark.createDataFrame([(1, words), (2, "start " + words + " end")], "doc_id long, text string")
