@@ -48,10 +48,14 @@ def clean_alt(alt: Column) -> Column:
     return F.concat(F.upper(F.substring(text, 1, 1)), F.substring(text, 2, 1 << 30))
 
 
-def token_estimate(text: Column) -> Column:
-    """A quarter of the characters, at least 1; 0 for empty text."""
+# Fixed value: the tokens that an image adds to a call.
+IMAGE_TOKENS = 1000
+
+
+def token_estimate(text: Column, images: Column | int = 0) -> Column:
+    """A quarter of the characters, at least 1, 0 for empty text; and IMAGE_TOKENS for each image."""
     n = F.length(F.coalesce(text, F.lit("")))
-    return F.when(n > 0, F.greatest(F.lit(1), F.floor(n / 4).cast("int"))).otherwise(0)
+    return F.when(n > 0, F.greatest(F.lit(1), F.floor(n / 4).cast("int"))).otherwise(0) + IMAGE_TOKENS * (F.lit(images) if isinstance(images, int) else images)
 
 
 def header_key(text: Column) -> Column:
@@ -63,8 +67,11 @@ def header_id(text: Column, index: Column) -> Column:
     return F.when(slug.rlike("^[a-z]"), F.concat(F.lit("th-"), slug)).otherwise(F.concat(F.lit("header-"), index.cast("string")))
 
 
-def scope_of(in_head: Column, row: Column, column: Column) -> Column:
-    return F.when(in_head, "col").when(row == 0, "col").when(column == 0, "row").otherwise("col")
+def scope_of(in_head: Column, row: Column, column: Column, attrs: Column | None = None) -> Column:
+    """col or row, by the cell's place, else by what its role and classes say, else col."""
+    role, classes = (F.lower(F.coalesce(attrs[k], F.lit(""))) if attrs is not None else F.lit("") for k in ("role", "class"))
+    told = F.when(role.contains("rowheader") | classes.rlike("row-?header"), "row")
+    return F.when(in_head, "col").when(row == 0, "col").when(column == 0, "row").otherwise(F.coalesce(told, F.lit("col")))
 
 
 def domain(url: Column) -> Column:
@@ -78,9 +85,79 @@ def safe_name(name: Column) -> Column:
     return F.when(text == "", "document").otherwise(text)
 
 
-def natural_number(name: Column) -> Column:
-    """The first digit run as a number, for sorting."""
-    return F.regexp_extract(name, r"(\d+)", 1).try_cast("long")
+def natural_key(name: Column) -> Column:
+    """An array to sort by: the parts of a name, its digit runs as numbers, the others as they are."""
+    parts = F.regexp_extract_all(name, F.lit(r"(\d+|\D+)"), F.lit(1))
+    return F.transform(parts, lambda x: F.struct(F.when(x.rlike(r"^\d"), x.try_cast("decimal(38,0)")).alias("number"), F.when(x.rlike(r"^\D"), x).alias("letters")))
+
+
+def common_prefix(least: Column, most: Column) -> Column:
+    """What all names of a group begin with, from its least and its greatest lower-case name, which
+    begin alike only as far as all do; empty unless longer than 3 characters."""
+    shared = F.filter(F.sequence(F.lit(1), F.greatest(F.least(F.length(least), F.length(most)), F.lit(1))), lambda n: F.substring(least, F.lit(1), n) == F.substring(most, F.lit(1), n))
+    n = F.coalesce(F.array_max(shared), F.lit(0))
+    return F.when(n > 3, F.substring(least, F.lit(1), n)).otherwise("")
+
+
+def object_key(stage: Column, name: Column, extension: Column) -> Column:
+    """stage/base.extension, base being the name without folder and extension."""
+    base = F.regexp_replace(F.regexp_extract(name, "([^/]*)$", 1), r"\.[^.]*$", "")
+    return F.concat(stage, F.lit("/"), base, F.lit("."), F.regexp_replace(extension, r"^\.", ""))
+
+
+def selector(tag: Column, attrs: Column, nth: Column | None = None) -> Column:
+    """A CSS selector: by id, else by classes, else by the first data attribute, else by an image's
+    file, else by its place among its like (from the second on)."""
+    data = F.filter(F.map_entries(attrs), lambda x: x["key"].startswith("data-"))
+    classes = F.array_join(F.filter(F.split(F.coalesce(attrs["class"], F.lit("")), r"\s+"), lambda c: c != ""), ".")
+    source = F.regexp_extract(F.coalesce(attrs["src"], F.lit("")), "([^/]*)$", 1)
+    place = F.lit(None).cast("string") if nth is None else F.when(nth > 1, F.concat(tag, F.lit(":nth-of-type("), nth.cast("string"), F.lit(")")))
+    return F.coalesce(
+        F.when(F.coalesce(attrs["id"], F.lit("")) != "", F.concat(tag, F.lit("#"), attrs["id"])),
+        F.when(classes != "", F.concat(tag, F.lit("."), classes)),
+        F.when(F.size(data) > 0, F.concat(tag, F.lit("["), F.get(data, F.lit(0))["key"], F.lit("='"), F.get(data, F.lit(0))["value"], F.lit("']"))),
+        F.when((tag == "img") & (F.coalesce(attrs["src"], F.lit("")) != ""), F.concat(tag, F.lit("[src$='"), source, F.lit("']"))),
+        place,
+        tag,
+    )
+
+
+def payload_lines(payload: Column) -> Column:
+    """The lines "Key: value" of a payload as a map, and the last other line under Status."""
+    lines = F.filter(F.transform(F.split(payload, "\n", -1), strip), lambda x: x != "")
+    pairs, others = F.filter(lines, lambda x: x.contains(": ")), F.filter(lines, lambda x: ~x.contains(": "))
+    entries = F.transform(pairs, lambda x: F.struct(F.trim(F.regexp_extract(x, "^(.*?): ", 1)).alias("key"), F.trim(F.regexp_replace(x, "^.*?: ", "")).alias("value")))
+    told = F.when(F.size(others) > 0, F.array(F.struct(F.lit("Status").alias("key"), F.element_at(others, -1).alias("value")))).otherwise(F.slice(entries, 1, 0))
+    # the last line of a key counts
+    every = F.concat(entries, told)
+    return F.map_from_entries(F.filter(every, lambda x, i: ~F.exists(F.slice(every, i + 2, F.size(every)), lambda y: y["key"] == x["key"])))
+
+
+# Symbols that stand for glyphs without a letter.
+SYMBOLS = "□●αβ\ufffd"
+
+
+def needs_encoding_repair(text: Column) -> Column:
+    """True for a text with such a symbol, or a short one with a letter between colons."""
+    bare = strip(F.coalesce(text, F.lit("")))
+    return bare.rlike(f"[{SYMBOLS}]") | ((F.length(bare) <= 40) & bare.rlike(":[A-Za-z]:"))
+
+
+# What stands in a list step, and how it is spoken, in this order.
+SPOKEN_STEPS = (
+    (r"(?i)Cl\s*-\s*", "chloride, Cl minus, "), ("(?i)Cl/", "chloride, Cl minus, "), (r"(?i)HCO\s*3\s*-\s*", "bicarbonate, H C O 3 minus, "), (r"(?i)HCO\s*3/", "bicarbonate, H C O 3 minus, "),
+    (r"\[", "open bracket "), (r"\]", "close bracket "), ("!", "increased "), (r"\(\s*", "open parenthesis "), (r"\s*\)", " close parenthesis"),
+)
+
+
+def spoken_step(text: Column) -> Column:
+    """A list step in words: its number, ions, brackets."""
+    bare = strip(F.regexp_replace(text, r"\s+", " "))
+    # fixed value: the minus of some fonts, as an escape or a character
+    bare = F.regexp_replace(bare, r"\\320|\u00D0", " minus ")
+    bare = F.regexp_replace(bare, r"^(\d+)\s*\)\s*", "Step $1. ")
+    words = reduce(lambda c, k: F.regexp_replace(c, k[0], k[1]), SPOKEN_STEPS, bare)
+    return F.regexp_replace(F.regexp_replace(words, r"\s+", " "), "^[ ,]+|[ ,]+$", "")
 
 
 def page_number(path: Column) -> Column:
@@ -117,6 +194,7 @@ def title_source(first: Column, first_three: Column, pages: Column) -> Column:
     return strip(F.when((n >= 50) | (pages == 1), first).otherwise(first_three))
 
 
+# Fixed values in glyph_pairs: the keywords of character maps.
 def glyph_pairs(data: Column) -> Column:
     """(src, dst) of the lines "<src> <dst>" of a character map outside its code-space ranges."""
     body = F.regexp_replace(data, r"(?s)begincodespacerange.*?endcodespacerange", "")
@@ -128,7 +206,8 @@ def glyph_pairs(data: Column) -> Column:
 # Ions as they are spoken.
 SPOKEN = (("Cl-", "chloride, Cl minus"), ("HCO3-", "bicarbonate, H C O 3 minus"), (r"Na\+", "sodium, N a plus"), (r"K\+", "potassium, K plus"), (r"Ca2\+", "calcium, C a 2 plus"), ("/", " divided by "), ("-", " minus"), (r"\+", " plus"))
 SPOKEN_ALONE = (("cl", "chloride, Cl"), ("hco3", "bicarbonate, H C O 3"), ("na", "sodium, N a"), ("k", "potassium, K"), ("ca", "calcium, C a"), ("glucose", "glucose"))
-TRANSPORT = r"(?i)^(?:(.*?)\s+)??([A-Za-z0-9+\-]+)-/([A-Za-z0-9+\-]+)-\s+(Antiporter|Symporter|Uniporter|Transporter|Pump|Porter)\.?$"
+# Fixed value: a transporter's caption; something must stand before the two ions.
+TRANSPORT = r"(?i)^(.+?)\s+([A-Za-z0-9+\-]+)-/([A-Za-z0-9+\-]+)-\s+(Antiporter|Symporter|Uniporter|Transporter|Pump|Porter)\.?$"
 
 
 def spoken_formula(caption: Column) -> Column:
@@ -153,6 +232,25 @@ def prose_headers(alt: Column) -> Column:
     return F.regexp_extract_all(part, F.lit("'([^']+)'"), F.lit(1))
 
 
+# The three ways in which rows of such tables are told, each with three cells.
+ORDINAL = "(?:the )?(?:first|second|third|fourth|fifth) row"
+ROW_QUOTED = rf"(?is){ORDINAL} contains\s+'([^']*)'\s+under 'Transporter',\s+'([^']*)'\s+under 'Tissue Expression',\s+and\s+'([^']*)'\s+under 'Biological Role'"
+ROW_UNDER = rf"(?is){ORDINAL}[^.]*?under 'Transporter'(?: is blank| says '([^']*)')[^.]*?under 'Tissue Expression'(?: it)? says '([^']*)'[^.]*?under 'Biological Role'(?: it)? says '([^']*)'"
+ROW_FREE = rf"(?is)(?:another row includes|rows include|{ORDINAL} contains)\s+'?(GLUT\d+)'?\s+with tissue expression in\s+(.+?)\s+and biological role of\s+(.+?)(?=\.\s*(?:another row|$)|\.$|$)"
+
+
+def prose_rows(alt: Column) -> Column:
+    """The rows, arrays of three cells, of a table told in prose: of the first way that gives any."""
+
+    def told(pattern: str, last: str = "") -> Column:
+        cells = [F.regexp_extract_all(alt, F.lit(pattern), F.lit(k)) for k in (1, 2, 3)]
+        rows = F.arrays_zip(*[c.alias(n) for c, n in zip(cells, "abc", strict=True)])
+        return F.transform(rows, lambda x: F.array(strip(F.coalesce(x["a"], F.lit(""))), strip(x["b"]), F.regexp_replace(strip(x["c"]), last, "") if last else strip(x["c"])))
+
+    quoted, under, free = told(ROW_QUOTED), told(ROW_UNDER), told(ROW_FREE, r"\.+$")
+    return F.when(F.size(quoted) > 0, quoted).when(F.size(under) > 0, under).otherwise(free)
+
+
 @F.pandas_udf(StringType())
 def nearest_header(wanted: pd.Series, headers: pd.Series) -> pd.Series:
     """The header that equals wanted when normalised, else the most alike (ratio 0.6 or more)."""

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -126,20 +128,42 @@ def file_rollup(files: DataFrame) -> DataFrame:
 
 
 def to_files(issues: DataFrame, files: DataFrame) -> DataFrame:
-    """The file of each issue: by path, else by base name, else by page, else the first file. issues
-    has issue_id, file_path, page_number; files has file, page_number, file_no (0: the first)."""
+    """The file of each issue, of those of its job: by path, else by base name, else by page, else the
+    job's first file. issues has job_id, issue_id, file_path, page_number; files has job_id, file,
+    page_number, file_no (0: the first)."""
     base = F.regexp_extract
     i = issues.withColumn("base", base(F.coalesce("file_path", F.lit("")), "([^/]*)$", 1))
     f = files.withColumn("base", base("file", "([^/]*)$", 1))
     pairs = [
-        i.join(f.select("file", "file_no"), i["file_path"] == F.col("file")).select("issue_id", "file", "file_no", F.lit(0).alias("way")),
-        i.filter("base <> ''").join(f.select("file", "file_no", "base"), "base").select("issue_id", "file", "file_no", F.lit(1).alias("way")),
-        i.join(f.select("file", "file_no", "page_number"), "page_number").select("issue_id", "file", "file_no", F.lit(2).alias("way")),
+        i.join(f.select("job_id", F.col("file").alias("file_path"), "file", "file_no"), ["job_id", "file_path"]).withColumn("way", F.lit(0)),
+        i.filter("base <> ''").join(f.select("job_id", "file", "file_no", "base"), ["job_id", "base"]).withColumn("way", F.lit(1)),
+        i.join(f.select("job_id", "file", "file_no", "page_number"), ["job_id", "page_number"]).withColumn("way", F.lit(2)),
     ]
-    ways = pairs[0].unionByName(pairs[1]).unionByName(pairs[2])
-    best = ways.groupBy("issue_id").agg(F.min_by(F.struct("file", "way"), F.struct("way", "file_no")).alias("b"))
-    first = F.broadcast(files.filter("file_no = 0").limit(1).select(F.col("file").alias("first_file")))
-    return issues.join(best, "issue_id", "left").join(first, how="left").select("issue_id", F.coalesce("b.file", "first_file").alias("file"), F.coalesce("b.way", F.lit(3)).alias("way"))
+    ways = reduce(DataFrame.unionByName, [p.select("job_id", "issue_id", "file", "file_no", "way") for p in pairs])
+    best = ways.groupBy("job_id", "issue_id").agg(F.min_by(F.struct("file", "way"), F.struct("way", "file_no")).alias("b"))
+    first = files.filter("file_no = 0").select("job_id", F.col("file").alias("first_file"))
+    joined = issues.join(best, ["job_id", "issue_id"], "left").join(first, "job_id", "left")
+    return joined.select("job_id", "issue_id", F.coalesce("b.file", "first_file").alias("file"), F.coalesce("b.way", F.lit(3)).alias("way"))
+
+
+def failed_report(reports: DataFrame, failures: DataFrame) -> DataFrame:
+    """Reports (doc_id, total_issues, ... , severity_counts) together with those of documents that
+    could not be read (doc_id, error), which have no findings and no severity counts."""
+    none = failures.select("doc_id", F.lit(0).cast("long").alias("total_issues"), "error")
+    return reports.unionByName(none, allowMissingColumns=True)
+
+
+def types_by(kinds: DataFrame, wcag: str | None = None, severity: str | None = None, element: str | None = None) -> DataFrame:
+    """The finding types of kinds (type, wcag, severity, elements) that a criterion, a severity and an
+    element tag each select, where given."""
+    rows = kinds
+    if wcag is not None:
+        rows = rows.filter(F.col("wcag") == wcag)
+    if severity is not None:
+        rows = rows.filter(F.col("severity") == severity)
+    if element is not None:
+        rows = rows.filter(F.array_contains("elements", element))
+    return rows
 
 
 def duplicate_blocks(blocks: DataFrame) -> DataFrame:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from pagewright.functions.text import payload_lines
 
 CHUNK_PAGES = 200
 
@@ -38,7 +39,7 @@ def image_only(pages: DataFrame) -> DataFrame:
 
 def latest_status(log: DataFrame, key: str = "file", at: str = "ts", tie: str = "event_id") -> DataFrame:
     """The last status of each file of an append-only log."""
-    return log.groupBy(key).agg(F.max_by("status", F.struct(at, tie)).alias("status")).orderBy(key)
+    return log.groupBy(key).agg(F.max_by("status", F.struct(at, tie)).alias("status"))
 
 
 def job_record(log: DataFrame) -> DataFrame:
@@ -73,19 +74,42 @@ def progress(chapters: DataFrame) -> DataFrame:
 
 def usage_rollup(calls: DataFrame) -> DataFrame:
     """Calls and tokens in all, by model and by purpose, as grouping sets."""
-    calls.createOrReplaceTempView("pagewright_calls")
-    return calls.sparkSession.sql(
-        """SELECT model, purpose, CAST(grouping_id(model, purpose) AS INT) AS level, count(*) AS calls,
-                  sum(input_tokens) AS input_tokens, sum(output_tokens) AS output_tokens, sum(processing_ms) AS processing_ms
-           FROM pagewright_calls GROUP BY GROUPING SETS ((), (model), (purpose))"""
-    )
+    sums = [F.sum(c).alias(c) for c in ("input_tokens", "output_tokens", "processing_ms")]
+    model, purpose = F.col("model"), F.col("purpose")
+    rows = calls.groupingSets([[], [model], [purpose]], model, purpose).agg(F.grouping_id().cast("int").alias("level"), F.count("*").alias("calls"), *sums)
+    return rows.select("model", "purpose", "level", "calls", *[c for c in ("input_tokens", "output_tokens", "processing_ms")])
+
+
+def processed_totals(pages: DataFrame) -> DataFrame:
+    """One row: documents and pages processed of (doc_id, status), a row per page."""
+    done = F.col("status") == "COMPLETED"
+    return pages.agg(F.count_distinct("doc_id").alias("documents"), F.count("*").alias("pages"), F.count_distinct(F.when(done, F.col("doc_id"))).alias("documents_processed"), F.count_if(done).alias("pages_processed"))
+
+
+def dominant_language(scores: DataFrame) -> DataFrame:
+    """Per document of (doc_id, lang, score) the language of the highest score; the first by name in a tie."""
+    best = F.min_by("lang", F.struct((-F.col("score")).alias("s"), "lang"))
+    return scores.groupBy("doc_id").agg(best.alias("lang"))
+
+
+def payload_status(rows: DataFrame, column: str = "payload") -> DataFrame:
+    """rows with the map of their payload's lines."""
+    return rows.withColumn("fields", payload_lines(F.col(column)))
+
+
+EVENT = "struct<Records:array<struct<eventName:string,body:string,s3:struct<bucket:struct<name:string>,object:struct<key:string>>>>>"
 
 
 def parse_events(raw: DataFrame, column: str = "body") -> DataFrame:
-    """event_name, bucket and key of each record of notifications; a body that isn't JSON is kept as raw_body."""
-    schema = "struct<Records:array<struct<eventName:string,s3:struct<bucket:struct<name:string>,object:struct<key:string>>>>>"
-    parsed = raw.withColumn("r", F.from_json(column, schema)).withColumn("rec", F.explode_outer("r.Records"))
-    return parsed.select("event_id", F.col("rec.eventName").alias("event_name"), F.col("rec.s3.bucket.name").alias("bucket"), F.url_decode("rec.s3.object.key").alias("key"), F.when(F.col("rec").isNull(), F.col(column)).alias("raw_body"))
+    """event_name, bucket and key of each record of notifications; those that a queue delivers are
+    inside its records' bodies. A body that isn't JSON is kept as raw_body."""
+    outer = raw.withColumn("r", F.explode_outer(F.from_json(column, EVENT)["Records"]))
+    inner = F.when(F.col("r.body").isNotNull(), F.from_json("r.body", EVENT)["Records"])
+    records = F.when(F.col("r").isNull(), None).when(F.size(inner) > 0, inner).otherwise(F.array(F.col("r")))
+    text = F.when(F.col("r").isNull(), F.col(column)).when(F.col("r.body").isNotNull() & inner.isNull(), F.col("r.body"))
+    parsed = outer.select("event_id", text.alias("raw_body"), F.explode_outer(records).alias("rec"))
+    known = parsed["raw_body"].isNull()
+    return parsed.select("event_id", F.col("rec.eventName").alias("event_name"), F.col("rec.s3.bucket.name").alias("bucket"), F.url_decode("rec.s3.object.key").alias("key"), F.when(~known, F.col("raw_body")).alias("raw_body"))
 
 
 def wanted_uploads(events: DataFrame, outputs: DataFrame) -> DataFrame:
@@ -101,8 +125,41 @@ def topics_of(courses: DataFrame) -> DataFrame:
 
 
 def irregular_tables(rows: DataFrame) -> DataFrame:
-    """Tables of (table_id, row, cells) with more than one row width."""
-    return rows.groupBy("table_id").agg(F.count_distinct("cells").alias("widths")).withColumn("irregular", F.col("widths") > 1)
+    """Tables of (table_id, row, cells) with more than one row width, or with no row at all (row is
+    null); not such of two rows of which the second's width is a multiple of the first's."""
+    widths = F.count_distinct(F.when(F.col("row").isNotNull(), F.col("cells")))
+    facts = rows.groupBy("table_id").agg(widths.alias("widths"), F.count("row").alias("n_rows"), F.min_by("cells", "row").alias("first"), F.max_by("cells", "row").alias("last"))
+    two = (F.col("n_rows") == 2) & (F.col("first") > 0) & (F.col("last") > F.col("first")) & (F.col("last") % F.col("first") == 0)
+    return facts.select("table_id", "widths", ((F.col("n_rows") == 0) | ((F.col("widths") > 1) & ~F.coalesce(two, F.lit(False)))).alias("irregular"))
+
+
+def layout_tables(tables: DataFrame) -> DataFrame:
+    """tables (table_id, rows, cells, summary) with is_layout: small ones without a summary of more
+    than 40 characters."""
+    told = F.length(F.trim(F.coalesce("summary", F.lit("")))) > 40
+    small = ((F.col("rows") == 1) & (F.col("cells") == 1)) | ((F.col("rows") <= 2) & (F.col("cells") <= 4))
+    return tables.withColumn("is_layout", ~told & small)
+
+
+def unsuppressed(suspicious: DataFrame, actions: DataFrame) -> DataFrame:
+    """Suspicious figures (doc_id, figure) but those into which actions (doc_id, action) put a text."""
+    told = actions.select("doc_id", F.regexp_extract("action", r"^figure(\d+): added /ActualText", 1).try_cast("long").alias("figure")).filter("figure is not null")
+    return suspicious.join(told.distinct(), ["doc_id", "figure"], "left_anti")
+
+
+def fix_status(elements: DataFrame, history: DataFrame) -> DataFrame:
+    """Per document of elements (doc_id, element_id): in all, fixed ones by the history (doc_id,
+    element_id, change_no, undone), and remaining. The history is appended to: undoing adds a row."""
+    now = history.groupBy("doc_id", "element_id").agg(F.max_by("undone", "change_no").alias("undone")).filter("not undone").withColumn("is_fixed", F.lit(True))
+    rows = elements.select("doc_id", "element_id").distinct().join(now, ["doc_id", "element_id"], "left").groupBy("doc_id")
+    return rows.agg(F.count("*").alias("total"), F.count("is_fixed").alias("fixed")).withColumn("remaining", F.col("total") - F.col("fixed"))
+
+
+def undo(history: DataFrame) -> DataFrame:
+    """Rows to append that undo each element's last change that stands: doc_id, element_id,
+    change_no, undone, html (what was there before)."""
+    last = history.groupBy("doc_id", "element_id").agg(F.max("change_no").alias("n"), F.max_by(F.struct("undone", "before"), "change_no").alias("c"))
+    return last.filter("not c.undone").select("doc_id", "element_id", (F.col("n") + 1).alias("change_no"), F.lit(True).alias("undone"), F.col("c.before").alias("html"))
 
 
 def ambiguous_glyphs(pairs: DataFrame) -> DataFrame:
@@ -128,8 +185,3 @@ def struct_audit(nodes: DataFrame) -> DataFrame:
 def grouped_names(controls: DataFrame) -> DataFrame:
     """Groups of controls (doc_id, name) with the same part before the first underscore, of two and more."""
     return controls.groupBy("doc_id", F.substring_index("name", "_", 1).alias("prefix")).agg(F.count("*").alias("n")).filter("n >= 2")
-
-
-def first_by_page(rows: DataFrame, n: int) -> DataFrame:
-    no = F.row_number().over(Window.partitionBy("doc_id").orderBy("ord"))
-    return rows.withColumn("no", no).filter(F.col("no") <= n).drop("no")

@@ -64,11 +64,37 @@ def positions(elements: DataFrame) -> DataFrame:
 
 
 def captions(elements: DataFrame) -> DataFrame:
-    """For each FIGURE the next TEXT in list order on its page that has "Figure" in it."""
-    page = Window.partitionBy("doc_id", "page").orderBy("list_no")
-    text = F.when((F.col("type") == "TEXT") & F.col("text").contains("Figure"), F.col("text"))
-    after = F.first(text, ignorenulls=True).over(page.rowsBetween(1, Window.unboundedFollowing))
-    return elements.withColumn("caption", after).filter("type = 'FIGURE'")
+    """For each FIGURE the first TEXT, in list order, of those on its page that are later in the
+    reading order and have "Figure" in them."""
+    is_text = (F.col("type") == "TEXT") & F.col("text").contains("Figure")
+    figures = elements.filter("type = 'FIGURE'")
+    texts = elements.filter(is_text).select("doc_id", "page", F.col("list_no").alias("t_list"), F.col("reading_order").alias("t_order"), F.col("text").alias("t"))
+    first = figures.select("doc_id", "page", "id", "reading_order").join(texts, ["doc_id", "page"]).filter("t_order > reading_order").groupBy("doc_id", "page", "id").agg(F.min_by("t", "t_list").alias("caption"))
+    return figures.join(first, ["doc_id", "page", "id"], "left")
+
+
+def issue_elements(issues: DataFrame, elements: DataFrame) -> DataFrame:
+    """issue_id, element_id, way: the layout element of issues (issue_id, doc_id, page, path, context,
+    type) among elements (doc_id, page, id, list_no, html).
+
+    By the place among the page's images that the path tells (0), else by the image source or alt
+    text of the context inside an element's markup (1), else the page's only element (2), else, for
+    long alt texts, an element with the context in it (3), the first image with alt text (4), or the
+    first image (5). Elements meet issues by page alone.
+    """
+    page = Window.partitionBy("doc_id", "page")
+    is_image = F.col("html").startswith("<img")
+    places = elements.withColumns({"n_on_page": F.count("*").over(page), "image": is_image, "image_no": F.sum(is_image.cast("int")).over(page.orderBy("list_no"))})
+    nth = F.regexp_extract(F.coalesce("path", F.lit("")), r":nth-of-type\((\d+)\)$", 1).try_cast("int")
+    context = F.coalesce("context", F.lit(""))
+    src, alt = (F.regexp_extract(context, rf"{k}=[\"'](.*?)[\"']", 1) for k in ("src", "alt"))
+    wanted = issues.withColumns({"nth": nth, "src": src, "alt": alt, "told": context})
+    both = wanted.join(places, ["doc_id", "page"])
+    long = F.col("type") == "long-alt-text"
+    way = F.when(F.col("image") & (F.col("image_no") == F.col("nth")), 0).when(((F.col("src") != "") & F.col("html").contains(F.col("src"))) | ((F.col("alt") != "") & F.col("html").contains(F.col("alt"))), 1)
+    way = way.when(F.col("n_on_page") == 1, 2).when(long & (F.col("told") != "") & F.col("html").contains(F.col("told")), 3).when(long & F.col("image") & F.col("html").contains("alt="), 4).when(long & F.col("image"), 5)
+    best = both.withColumn("way", way).filter("way is not null").groupBy("issue_id").agg(F.min_by(F.struct("id", "way"), F.struct("way", "list_no")).alias("b"))
+    return issues.select("issue_id").join(best, "issue_id", "left").select("issue_id", F.col("b.id").alias("element_id"), F.col("b.way").alias("way"))
 
 
 def table_of_contents(elements: DataFrame) -> DataFrame:

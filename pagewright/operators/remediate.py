@@ -15,7 +15,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagewright.sources.html_tree import VOID, Node, TreeBuilder
+from pagewright.functions.colour import COLOUR
+from pagewright.operators.rules import GENERIC_LINKS, TEXT_TAGS, URL_TEXT
+from pagewright.sources.html_tree import VOID, Comment, Node, TreeBuilder
 
 Provider = Callable[[str, str], str]
 RAW = ("script", "style")
@@ -27,9 +29,18 @@ def stub_provider(purpose: str, context: str) -> str:
     return {"alt": f"Figure: {words}" if words else "Figure", "link": words or "Link"}.get(purpose, words)
 
 
+class _End(str):
+    """An end tag on its way out."""
+
+    __slots__ = ()
+
+    def __new__(cls, tag: str) -> _End:
+        return super().__new__(cls, f"</{tag}>")
+
+
 class Document:
     def __init__(self, source: str) -> None:
-        builder = TreeBuilder()
+        builder = TreeBuilder(comments=True)
         builder.feed(source)
         self.root = builder.root
         self.doctype = (re.match(r"\s*<!doctype[^>]*>", source, re.I) or [""])[0]
@@ -48,8 +59,13 @@ class Document:
 
     def text(self, node: Node) -> str:
         out: list[str] = []
-        for k in node.kids:
-            out.append(k if isinstance(k, str) else self.text(k) if k.tag not in RAW else "")
+        stack: list[Node | Comment | str] = [*reversed(node.kids)]
+        while stack:
+            k = stack.pop()
+            if isinstance(k, str):
+                out.append(k)
+            elif isinstance(k, Node) and k.tag not in RAW:
+                stack += reversed(k.kids)
         return " ".join("".join(out).split())
 
     def make(self, tag: str, text: str = "", **attrs: str) -> Node:
@@ -75,15 +91,21 @@ class Document:
     def body(self) -> Node:
         return self.first("body") or self.first("html") or self.root
 
-    def written(self, node: Node | None = None) -> str:
-        node = node or self.root
-        inside = "".join(
-            (k if node.tag in RAW else entities.escape(k, quote=False)) if isinstance(k, str) else self.written(k) for k in node.kids
-        )
-        if node is self.root:
-            return self.doctype + inside
-        attributes = "".join(f' {k}="{entities.escape(v)}"' for k, v in node.attrs.items())
-        return f"<{node.tag}{attributes}>" + ("" if node.tag in VOID else f"{inside}</{node.tag}>")
+    def written(self) -> str:
+        out: list[str] = [self.doctype]
+        stack: list[tuple[Node | Comment | str, bool]] = [(k, False) for k in reversed(self.root.kids)]  # with: raw text
+        while stack:
+            k, raw = stack.pop()
+            if isinstance(k, str):
+                out.append(k if raw else entities.escape(k, quote=False))
+            elif isinstance(k, Comment):
+                out.append(f"<!--{k.data}-->")
+            else:
+                out.append(f"<{k.tag}" + "".join(f' {name}="{entities.escape(v)}"' for name, v in k.attrs.items()) + ">")
+                if k.tag not in VOID:
+                    stack.append((_End(k.tag), True))
+                    stack += [(x, k.tag in RAW) for x in reversed(k.kids)]
+        return "".join(out)
 
 
 HANDLERS: dict[str, Callable[[Document, Provider], bool]] = {}
@@ -269,13 +291,24 @@ def links(d: Document, ask: Provider) -> bool:
         text, href = d.text(a), a.attrs.get("href", "")
         if not text and d.first("img", under=a) or re.fullmatch("#+", href):
             continue
-        if not text or text.lower() in ("click here", "here", "read more", "more", "link", "this", "details") or re.match(r"https?://|www\.", text):
+        if not text or text.lower() in GENERIC_LINKS or re.search(URL_TEXT, text):
             site = re.match(r"https?://(?:www\.)?([^/]+)", href)
-            a.kids = [f"Visit {site[1]}" if site else ask("link", href.strip("/#").replace("/", " ").replace("-", " "))]
+            # a site's name is kept off the forms that count as an address
+            name = re.sub(r"\.(com|org|net|edu|gov|io)$", "", site[1]).replace(".", " ") if site else ""
+            told = name or ask("link", re.sub(r"[/#?=&._-]+", " ", href).strip()) or _around(d, a)
+            a.kids = [f"Link to {told}" if told.lower() not in GENERIC_LINKS else f"Link to the page {told}"]
             changed = True
     return changed
 
 
+def _around(d: Document, node: Node) -> str:
+    """The first words of the element around a node that has any."""
+    up = node.parent
+    while up is not None and not d.text(up):
+        up = up.parent
+    return " ".join(d.text(up).split()[:8]) if up is not None else ""
+
+
 @handles("new-window-link-no-warning")
 def new_window(d: Document, ask: Provider) -> bool:
     changed = False
@@ -401,17 +434,57 @@ def fieldset(d: Document, ask: Provider) -> bool:
     return changed
 
 
+_TEXT_COLOUR = re.compile(rf"color:\s*{COLOUR}")
+_BACKGROUND = re.compile(rf"background-color:\s*{COLOUR}")
+
+
+def _channels(colour: str) -> tuple[float, float, float]:
+    """The channels, from 0 to 1, of #RGB, #RRGGBB or rgb()."""
+    if colour.startswith("rgb"):
+        r, g, b = (min(255, int(x)) for x in re.findall(r"\d+", colour))
+    else:
+        digits = colour[1:] if len(colour) > 4 else "".join(c * 2 for c in colour[1:])
+        r, g, b = (int(digits.ljust(6, "0")[i : i + 2], 16) for i in (0, 2, 4))
+    return r / 255, g / 255, b / 255
+
+
+def _luminance(colour: str) -> float:
+    linear = [v / 12.92 if v <= 0.03928 else ((v + 0.055) / 1.055) ** 2.4 for v in _channels(colour)]
+    return sum(weight * v for weight, v in zip((0.2126, 0.7152, 0.0722), linear, strict=True))
+
+
+def _ratio(one: str, other: str) -> float:
+    low, high = sorted((_luminance(one), _luminance(other)))
+    return (high + 0.05) / (low + 0.05)
+
+
+def _size(n: Node, style: str) -> bool:
+    """Large text, which needs less contrast."""
+    m = re.search(r"font-size:\s*(\d+)(px|pt|em|rem)", style)
+    pixels = int(m[1]) * {"px": 1, "pt": 1.333, "em": 16, "rem": 16}[m[2]] if m else 0
+    bold = n.tag in ("b", "strong") or bool(re.search(r"font-weight:\s*(bold|700|800|900)", style))
+    return n.tag in ("h1", "h2", "h3") or pixels >= 24 or (pixels >= 18.67 and bold)
+
+
 @handles("insufficient-color-contrast")
 def contrast(d: Document, ask: Provider) -> bool:
+    """Text that is too near to the background it stands on, its own or that of the nearest element
+    around it, becomes black or white, whichever is farther from it; all other text stays."""
     changed = False
-    for n in d.all():
+    backgrounds: dict[int, str] = {}
+    for n in d.all():  # in page order, so what is around comes first
         style = n.attrs.get("style", "")
-        bg = re.search(r"background-color:\s*#([0-9a-fA-F]{6})", style)
-        if re.search(r"(?<!-)color:\s*", style):
-            r, g, b = (int(bg[1][i : i + 2], 16) for i in (0, 2, 4)) if bg else (255, 255, 255)
-            dark = (0.299 * r + 0.587 * g + 0.114 * b) / 255 < 0.5
-            n.attrs["style"] = re.sub(r"(?<!-)color:\s*[^;]+", f"color: {'#ffffff' if dark else '#000000'}", style)
-            changed = True
+        own = _BACKGROUND.search(style)
+        behind = backgrounds[id(n)] = own[1] if own else "#FFFFFF" if n.tag == "html" else backgrounds.get(id(n.parent), "#FFFFFF")
+        found = _TEXT_COLOUR.search(style)
+        now = found[1] if found else "#000000"
+        if n.tag not in TEXT_TAGS or not d.text(n) or _ratio(now, behind) >= (3.0 if _size(n, style) else 4.5):
+            continue
+        best = max(("#000000", "#ffffff"), key=lambda c: _ratio(c, behind))
+        kept = re.sub(r"(?<![-\w])color:[^;]*;?\s*", "", style).strip().rstrip(";")
+        # the colour stands before any background, as the rule reads the first that it finds
+        n.attrs["style"] = f"color: {best}" + (f"; {kept}" if kept else "")
+        changed = True
     return changed
 
 

@@ -13,7 +13,8 @@ from pagewright.operators import findings as fs
 from pagewright.operators import jobs, layout, remediate, rules
 from pagewright.operators.dims import severity_rank, wcag_rows
 from pagewright.sources import files
-from pagewright.sources.html_tree import elements
+from pagewright.sources.html_tree import COLUMNS, elements
+from pagewright.sources.tables import written
 
 from .golden import FAMILIES
 
@@ -33,10 +34,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
+    from . import more  # noqa: F401  registers its queries
+
     return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(ORACLES)
 
 
@@ -44,10 +48,14 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def parsed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Document ids and the element table, which is kept since every rule reads it."""
+#: What the rules read of the element table.
+RULE_COLUMNS = [c for c in COLUMNS if c not in ("css_path", "snippet", "depth", "nth_of_type", "page_number")]
+
+
+def parsed(spark: SparkSession, d: str, detailed: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Document ids and the element table, which is written once since every rule reads it."""
     pages = table(spark, d, "pages")
-    return pages.select(F.col("page_id").alias("doc_id")), elements(pages).persist()
+    return pages.select(F.col("page_id").alias("doc_id")), written(elements(pages, columns=None if detailed else RULE_COLUMNS), "elements")
 
 
 def audited(spark: SparkSession, d: str, *checks: str) -> DataFrame:
@@ -161,7 +169,7 @@ WCAG_OF = """CASE WHEN type LIKE '%title' OR type LIKE '%document-title' THEN '2
 @query("enriched_by_criterion", f"""{F_SQL}, w(criterion, name, level) AS (VALUES {WCAG_VALUES}), x AS (SELECT *, {WCAG_OF} AS wcag FROM f)
 SELECT wcag, name AS criterion_name, level AS criterion_level, count(*) AS n FROM x JOIN w ON w.criterion = x.wcag GROUP BY ALL""")
 def enriched_by_criterion(spark: SparkSession, d: str) -> DataFrame:
-    docs, e = parsed(spark, d)
+    docs, e = parsed(spark, d, detailed=True)
     return fs.enriched(rules.audit(docs, e), e, detailed=False).groupBy("wcag", "criterion_name", "criterion_level").agg(F.count("*").alias("n"))
 
 
@@ -174,7 +182,7 @@ def numbered_issues(spark: SparkSession, d: str) -> DataFrame:
 @query("scan_elements", r"""WITH t AS (SELECT regexp_replace(regexp_replace(html, '<!--.*?-->', '', 'gs'), '(?s)(<(?:script|style)>).*?</', '\1</', 'g') AS h FROM pages)
 SELECT tag, count(*) AS n FROM (SELECT lower(unnest(regexp_extract_all(h, '<([a-zA-Z][a-zA-Z0-9]*)', 1))) AS tag FROM t) GROUP BY tag""")
 def scan_elements(spark: SparkSession, d: str) -> DataFrame:
-    return elements(table(spark, d, "pages")).groupBy("tag").agg(F.count("*").alias("n"))
+    return elements(table(spark, d, "pages"), columns=["tag"]).groupBy("tag").agg(F.count("*").alias("n"))
 
 
 def _golden(family: str) -> None:
@@ -186,7 +194,7 @@ def _golden(family: str) -> None:
     def run(spark: SparkSession, d: str) -> DataFrame:
         snippets = F.array(*[F.lit(s) for s, _ in cases])
         pages = table(spark, d, "pages").select("page_id", F.element_at(snippets, (F.col("page_id") % len(cases) + 1).cast("int")).alias("html"))
-        e = elements(pages).persist()
+        e = written(elements(pages, columns=RULE_COLUMNS), "elements")
         return rules.audit(pages.select(F.col("page_id").alias("doc_id")), e, [check]).select("doc_id", "type")
 
 
@@ -221,10 +229,13 @@ def token_estimate(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", text.token_estimate(F.col("text")).cast("int").alias("tokens"))
 
 
-@query("title_text", r"""SELECT doc_id, CASE WHEN len(list_filter(regexp_split_to_array(text, '\s+'), lambda w: w <> '')) >= 50 THEN 'first' ELSE 'three' END AS source FROM documents""")
+@query("title_text", r"""WITH p AS (SELECT conv_id AS doc_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS page, text, count(*) OVER (PARTITION BY conv_id) AS pages FROM conversations),
+t AS (SELECT doc_id, max(pages) AS pages, max(text) FILTER (page = 1) AS one, string_agg(text, chr(10) || chr(10) ORDER BY page) FILTER (page <= 3) AS three FROM p GROUP BY doc_id)
+SELECT doc_id, md5(regexp_replace(CASE WHEN pages = 1 OR len(list_filter(regexp_split_to_array(one, '\s+'), lambda w: w <> '')) >= 50 THEN one ELSE three END, '^\s+|\s+$', '', 'g')) AS digest FROM t""")
 def title_text(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "documents")
-    return rows.select("doc_id", F.when(text.title_source(F.col("text"), F.lit("three pages"), F.lit(2)) == "three pages", "three").otherwise("first").alias("source"))
+    no = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    pages = table(spark, d, "conversations").select(F.col("conv_id").alias("doc_id"), no.alias("page"), "text")
+    return files.title_texts(pages).select("doc_id", F.md5("text").alias("digest"))
 
 
 HEX = "printf('#%06X', CAST((p_partkey * 2654435761) % 16777216 AS BIGINT))"
@@ -248,10 +259,11 @@ def page_numbers(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "pages").select("page_id", text.page_number(name).alias("page_number"))
 
 
-@query("page_sort", "SELECT page_id, row_number() OVER (ORDER BY CASE WHEN page_id % 3 = 0 THEN 999 ELSE page_id END, page_id) AS place FROM pages")
+@query("page_sort", "SELECT page_id, row_number() OVER (ORDER BY CASE WHEN page_id % 3 = 0 THEN 999 ELSE page_id END, 'out/' || CASE WHEN page_id % 3 = 0 THEN 'other' ELSE 'page-' END || page_id || '.html') AS place FROM pages")
 def page_sort(spark: SparkSession, d: str) -> DataFrame:
-    rows = table(spark, d, "pages").withColumn("n", F.when(F.col("page_id") % 3 == 0, None).otherwise(F.col("page_id")))
-    return rows.select("page_id", F.row_number().over(Window.orderBy(F.coalesce("n", F.lit(999)), "page_id")).cast("long").alias("place"))
+    name = F.concat(F.lit("out/"), F.when(F.col("page_id") % 3 == 0, "other").otherwise("page-"), F.col("page_id").cast("string"), F.lit(".html"))
+    rows = table(spark, d, "pages").select("page_id", name.alias("file"), text.page_number(name).alias("page_number"))
+    return files.placed(rows).select("page_id", "place")
 
 
 @query("url_domains", r"SELECT page_id, regexp_extract(url, 'https?://(?:www\.)?([^/]+)', 1) AS domain FROM pages")
@@ -288,18 +300,28 @@ def reply_repair(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", text.reply_map(reply)["id"].alias("answer"))
 
 
-@query("spoken_formulas", """SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'Membrane Antiporter exchanging chloride, Cl minus and bicarbonate, H C O 3 minus, written as Cl minus divided by HCO3 minus.'
+@query("spoken_formulas", """SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN split_part(p_name, ' ', 1) || ' Antiporter exchanging chloride, Cl minus and bicarbonate, H C O 3 minus, written as Cl minus divided by HCO3 minus.'
   WHEN 1 THEN 'sodium, N a plus divided by potassium, K plus' ELSE 'x equals y' END AS spoken FROM part""")
 def spoken_formulas(spark: SparkSession, d: str) -> DataFrame:
-    caption = F.when(F.col("p_partkey") % 3 == 0, "Membrane Cl-/HCO3- Antiporter").when(F.col("p_partkey") % 3 == 1, "Na+/K+").otherwise("x equals y")
+    caption = F.when(F.col("p_partkey") % 3 == 0, F.concat(F.substring_index("p_name", " ", 1), F.lit(" Cl-/HCO3- Antiporter"))).when(F.col("p_partkey") % 3 == 1, "Na+/K+").otherwise("x equals y")
     spoken = F.regexp_replace(text.spoken_formula(caption), r"\. Spoken formula.*$", "")
     return table(spark, d, "part").select("p_partkey", spoken.alias("spoken"))
 
 
-@query("prose_tables", "SELECT p_partkey, 'Name|Size ' || p_size AS headers FROM part")
+@query("prose_tables", r"""SELECT p_partkey, 'Transporter|Size ' || p_size AS headers, CASE p_partkey % 3 WHEN 0 THEN p_brand || '/' || p_type || '/' || p_name || ';' || p_brand || '/x/y' WHEN 1 THEN '/' || p_type || '/' || p_name
+  ELSE 'GLUT' || p_size || '/' || lower(p_type) || '/' || 'carrying ' || p_size END AS rows FROM part""")
 def prose_tables(spark: SparkSession, d: str) -> DataFrame:
-    prose = F.concat(F.lit("A table. Columns are labeled 'Name' and 'Size "), F.col("p_size").cast("string"), F.lit("'. The first row contains 'x'."))
-    return table(spark, d, "part").select("p_partkey", F.array_join(text.prose_headers(prose), "|").alias("headers"))
+    def row(nth: str, a: F.Column, b: F.Column, c: F.Column) -> F.Column:
+        return F.concat(F.lit(f" The {nth} row contains '"), a, F.lit("' under 'Transporter', '"), b, F.lit("' under 'Tissue Expression', and '"), c, F.lit("' under 'Biological Role'."))
+
+    brand, container, maker, size = F.col("p_brand"), F.col("p_type"), F.col("p_name"), F.col("p_size").cast("string")
+    quoted = F.concat(row("first", brand, container, maker), row("second", brand, F.lit("x"), F.lit("y")))
+    under = F.concat(F.lit(" The first row, under 'Transporter' is blank, under 'Tissue Expression' it says '"), container, F.lit("', under 'Biological Role' it says '"), maker, F.lit("'."))
+    free = F.concat(F.lit(" Another row includes 'GLUT"), size, F.lit("' with tissue expression in "), F.lower(container), F.lit(" and biological role of carrying "), size, F.lit("."))
+    rest = F.when(F.col("p_partkey") % 3 == 0, quoted).when(F.col("p_partkey") % 3 == 1, under).otherwise(free)
+    prose = F.concat(F.lit("A table. Columns are labeled 'Transporter' and 'Size "), size, F.lit("'."), rest)
+    cells = F.array_join(F.transform(text.prose_rows(prose), lambda r: F.array_join(r, "/")), ";")
+    return table(spark, d, "part").select("p_partkey", F.array_join(text.prose_headers(prose), "|").alias("headers"), cells.alias("rows"))
 
 
 @query("nearest_headers", "SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'Total amount' WHEN 1 THEN 'Year' ELSE NULL END AS header FROM part")
@@ -382,11 +404,19 @@ def job_latest_status(spark: SparkSession, d: str) -> DataFrame:
     return jobs.job_record(log).select("job_id", "status", "n_events", "history")
 
 
-@query("event_parse", "SELECT event_id, CASE WHEN event_id % 3 = 2 THEN NULL ELSE 'b' || user_id END AS bucket, CASE WHEN event_id % 3 = 2 THEN NULL ELSE 'uploads/a b.pdf' END AS key, CASE WHEN event_id % 3 = 2 THEN 'not json' END AS raw_body FROM events")
+@query("event_parse", """SELECT event_id, CASE WHEN event_id % 4 = 2 THEN NULL ELSE 'b' || user_id END AS bucket, CASE WHEN event_id % 4 = 2 THEN NULL ELSE 'uploads/a b' || n || '.pdf' END AS key, CASE WHEN event_id % 4 = 2 THEN 'not json' END AS raw_body
+FROM (SELECT *, unnest(CASE WHEN event_id % 4 = 3 THEN [1, 2] ELSE [1] END) AS n FROM events)""")
 def event_parse(spark: SparkSession, d: str) -> DataFrame:
-    record = F.concat(F.lit('{"Records":[{"eventName":"x","s3":{"bucket":{"name":"b'), F.col("user_id").cast("string"), F.lit('"},"object":{"key":"uploads/a+b.pdf"}}}]}'))
-    raw = table(spark, d, "events").select("event_id", F.when(F.col("event_id") % 3 == 2, "not json").otherwise(record).alias("body"))
-    return jobs.parse_events(raw).select("event_id", "bucket", "key", "raw_body")
+    """Plain notifications, such as a queue delivers, and bodies that aren't JSON."""
+    def record(n: int) -> F.Column:
+        return F.concat(F.lit('{"eventName":"x","s3":{"bucket":{"name":"b'), F.col("user_id").cast("string"), F.lit(f'"}},"object":{{"key":"uploads/a+b{n}.pdf"}}}}}}'))
+
+    def whole(*parts: F.Column) -> F.Column:
+        return F.concat(F.lit('{"Records":['), F.concat_ws(",", *parts), F.lit("]}"))
+
+    queued = F.concat(F.lit('{"Records":['), F.to_json(F.struct(whole(record(1), record(2)).alias("body"))), F.lit("]}"))
+    body = F.when(F.col("event_id") % 4 == 2, "not json").when(F.col("event_id") % 4 == 3, queued).otherwise(whole(record(1)))
+    return jobs.parse_events(table(spark, d, "events").select("event_id", body.alias("body"))).select("event_id", "bucket", "key", "raw_body")
 
 
 @query("progress_summary", """SELECT o_custkey AS course, count(*) AS total, count(*) FILTER (o_orderstatus = 'F') AS done, count(*) FILTER (o_orderstatus = 'P') AS failed,
@@ -443,13 +473,13 @@ def _lines(spark: SparkSession, d: str) -> DataFrame:
     return rows.agg(*[F.min(c).alias(c) for c in ("l_partkey", "l_suppkey", "l_quantity", "l_returnflag")])
 
 
-BOX = """SELECT l_orderkey % 50 AS file, l_orderkey * 10 + l_linenumber AS id, l_orderkey * 10 + l_linenumber AS no, CAST(l_partkey % 97 AS DOUBLE) AS x, CAST(l_suppkey % 89 AS DOUBLE) AS top,
-  l_quantity AS width, CAST(l_linenumber * 5 AS DOUBLE) AS height, l_returnflag FROM lineitem WHERE l_orderkey % 16 = 1"""
+BOX = """SELECT l_orderkey AS file, l_orderkey * 10 + l_linenumber AS id, l_orderkey * 10 + l_linenumber AS no, CAST(l_partkey % 97 AS DOUBLE) AS x, CAST(l_suppkey % 89 AS DOUBLE) AS top,
+  l_quantity AS width, CAST(l_linenumber * 5 AS DOUBLE) AS height, l_returnflag FROM lineitem"""
 
 
 def _boxes(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     rows = lines.select(
-        (F.col("l_orderkey") % 50).alias("file"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), (F.col("l_partkey") % 97).cast("double").alias("x"), (F.col("l_suppkey") % 89).cast("double").alias("top"),
+        F.col("l_orderkey").alias("file"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), (F.col("l_partkey") % 97).cast("double").alias("x"), (F.col("l_suppkey") % 89).cast("double").alias("top"),
         F.col("l_quantity").alias("width"), (F.col("l_linenumber") * 5).cast("double").alias("height"), "l_returnflag",
     )
     images = rows.filter("l_returnflag = 'R'").select("file", F.col("id").alias("image_id"), F.col("id").alias("image_no"), "x", "top", "width", "height")
@@ -459,11 +489,17 @@ def _boxes(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 @query("bbox_candidates", f"""WITH b AS ({BOX}) SELECT i.file, i.id AS image_id, o.id AS box_id FROM b i JOIN b o ON i.file = o.file AND i.l_returnflag = 'R' AND o.l_returnflag <> 'R'
   AND abs(i.x - o.x) <= 7 AND abs(i.top - o.top) <= 7 AND abs(round_even(i.width, 0) - round_even(o.width, 0)) <= 7 AND abs(i.height - o.height) <= 7""")
 def bbox_candidates(spark: SparkSession, d: str) -> DataFrame:
-    """The rows that BOX takes, one order in 16; bbox_match takes them all."""
-    return layout.box_candidates(*_boxes(table(spark, d, "lineitem").filter("l_orderkey % 16 = 1"))).select("file", "image_id", "box_id")
+    return layout.box_candidates(*_boxes(table(spark, d, "lineitem"))).select("file", "image_id", "box_id")
 
 
-@query("bbox_match")
+@query("bbox_match", f"""WITH RECURSIVE b AS ({BOX}), c AS (SELECT i.file, i.id AS image_id, o.id AS box_id FROM b i JOIN b o ON i.file = o.file AND i.l_returnflag = 'R' AND o.l_returnflag <> 'R'
+  AND abs(i.x - o.x) <= 7 AND abs(i.top - o.top) <= 7 AND abs(round_even(i.width, 0) - round_even(o.width, 0)) <= 7 AND abs(i.height - o.height) <= 7),
+p AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY image_id, box_id) AS n FROM c),
+r(file, n, images, boxes) AS (SELECT DISTINCT file, CAST(0 AS BIGINT), CAST([] AS BIGINT[]), CAST([] AS BIGINT[]) FROM p UNION ALL
+  SELECT p.file, p.n, CASE WHEN list_contains(images, image_id) OR list_contains(boxes, box_id) THEN images ELSE list_append(images, image_id) END,
+    CASE WHEN list_contains(images, image_id) OR list_contains(boxes, box_id) THEN boxes ELSE list_append(boxes, box_id) END FROM r JOIN p ON p.file = r.file AND p.n = r.n + 1),
+l AS (SELECT file, arg_max(images, n) AS images, arg_max(boxes, n) AS boxes FROM r GROUP BY file)
+SELECT file, unnest(images) AS image_id, unnest(boxes) AS box_id FROM l""")
 def bbox_match(spark: SparkSession, d: str) -> DataFrame:
     return layout.one_to_one(layout.box_candidates(*_boxes(table(spark, d, "lineitem"))))
 
@@ -503,9 +539,12 @@ def position_info(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", "id", "index", "issues_before", "remaining", "previous_issue", "next_issue")
 
 
-@query("figure_captions", f"""WITH {LAY} SELECT f.doc_id, f.id, (SELECT arg_min(t.text, t.id) FROM y t WHERE t.doc_id = f.doc_id AND t.page = f.page AND t.id > f.id AND t.type = 'TEXT' AND contains(t.text, 'Figure')) AS caption FROM y f WHERE f.type = 'FIGURE'""")
+@query("figure_captions", f"""WITH {LAY}, z AS (SELECT y.*, (id * 7 + page * 3 + issues) % 10 AS ro FROM y)
+SELECT f.doc_id, f.id, (SELECT arg_min(t.text, t.id) FROM z t WHERE t.doc_id = f.doc_id AND t.page = f.page AND t.ro > f.ro AND t.type = 'TEXT' AND contains(t.text, 'Figure')) AS caption FROM z f WHERE f.type = 'FIGURE'""")
 def figure_captions(spark: SparkSession, d: str) -> DataFrame:
-    return layout.captions(_layout_rows(spark, d)).select("doc_id", "id", "caption")
+    """The reading order differs from the order of the list."""
+    rows = _layout_rows(spark, d).withColumn("reading_order", (F.col("id") * 7 + F.col("page") * 3 + F.col("issues")) % 10)
+    return layout.captions(rows).select("doc_id", "id", "caption")
 
 
 @query("page_status", f"WITH {LAY} SELECT doc_id, page, count(*) AS elements, count(*) FILTER (issues > 0) AS with_issues, count(*) FILTER (remediated) AS remediated, count(*) FILTER (issues > 0 AND NOT remediated) AS remaining FROM y GROUP BY ALL")
@@ -519,15 +558,20 @@ def table_of_contents(spark: SparkSession, d: str) -> DataFrame:
     return layout.table_of_contents(table(spark, d, "documents").select("doc_id", (F.col("n_chars") % 5).alias("page"), path.alias("path"), "text"))
 
 
-@query("issue_files", """SELECT page_id AS issue_id, CASE page_id % 4 WHEN 0 THEN 'out/page-' || (page_id % 7) || '.html' WHEN 1 THEN 'out/page-' || (page_id % 7) || '.html' WHEN 2 THEN 'out/page-' || (page_id % 7) || '.html' ELSE 'out/page-0.html' END AS file,
-  CAST(page_id % 4 AS INT) AS way FROM pages""")
+@query("issue_files", """WITH i AS (SELECT o_custkey AS job_id, o_orderkey AS issue_id, o_orderkey % 5 AS way, o_orderkey % 7 AS n FROM orders),
+j AS (SELECT job_id, issue_id, way, n, n < 4 + job_id % 3 AS there FROM i)
+SELECT job_id, issue_id, CASE WHEN there AND way < 3 THEN 'out/' || job_id || '/page-' || n || '.html' ELSE 'out/' || job_id || '/page-0.html' END AS file, CAST(CASE WHEN there AND way < 3 THEN way ELSE 3 END AS INT) AS way FROM j""")
 def issue_files(spark: SparkSession, d: str) -> DataFrame:
-    n, way = (F.col("page_id") % 7), F.col("page_id") % 4
+    """Jobs with 4 to 6 pages each; pages of one name are in every job."""
+    n, way, job = F.col("o_orderkey") % 7, F.col("o_orderkey") % 5, F.col("o_custkey").cast("string")
     name = F.concat(F.lit("page-"), n.cast("string"), F.lit(".html"))
-    issues = table(spark, d, "pages").select(
-        F.col("page_id").alias("issue_id"), F.when(way == 0, F.concat(F.lit("out/"), name)).when(way == 1, F.concat(F.lit("tmp/"), name)).alias("file_path"), F.when(way == 2, n).otherwise(99).cast("int").alias("page_number")
-    )
-    pages = spark.range(7).select(F.concat(F.lit("out/page-"), F.col("id").cast("string"), F.lit(".html")).alias("file"), F.col("id").cast("int").alias("page_number"), F.col("id").alias("file_no"))
+    orders = table(spark, d, "orders")
+    issues = orders.select(
+        F.col("o_custkey").alias("job_id"), F.col("o_orderkey").alias("issue_id"), F.when(way == 0, F.concat(F.lit("out/"), job, F.lit("/"), name)).when(way == 1, F.concat(F.lit("tmp/"), name)).alias("file_path"),
+        F.when(way == 2, n).otherwise(99).cast("int").alias("page_number"),
+    )
+    jobs_ = orders.select(F.col("o_custkey").alias("job_id")).distinct().withColumn("no", F.explode(F.sequence(F.lit(0), (F.col("job_id") % 3 + 3).cast("int"))))
+    pages = jobs_.select("job_id", F.concat(F.lit("out/"), F.col("job_id").cast("string"), F.lit("/page-"), F.col("no").cast("string"), F.lit(".html")).alias("file"), F.col("no").alias("page_number"), F.col("no").cast("long").alias("file_no"))
     return fs.to_files(issues, pages)
 
 
@@ -559,9 +603,13 @@ def remediation_filters(spark: SparkSession, d: str) -> DataFrame:
     return fs.to_remediate(rows, ["F", "O"], "major", 5).select("doc_id", "emit_no")
 
 
-@query("irregular_tables", "SELECT l_orderkey AS table_id, count(DISTINCT l_partkey % 2) AS widths, count(DISTINCT l_partkey % 2) > 1 AS irregular FROM lineitem GROUP BY l_orderkey")
+@query("irregular_tables", """WITH t AS (SELECT l_orderkey AS k, l_linenumber AS r, min(l_partkey % 4 + 1) AS c FROM lineitem GROUP BY ALL),
+g AS (SELECT k, count(*) AS n, count(DISTINCT c) AS widths, arg_min(c, r) AS a, arg_max(c, r) AS z FROM t GROUP BY k)
+SELECT o_orderkey AS table_id, coalesce(widths, 0) AS widths, coalesce(widths > 1 AND NOT (n = 2 AND z > a AND z % a = 0), true) AS irregular FROM orders LEFT JOIN g ON k = o_orderkey""")
 def irregular_tables(spark: SparkSession, d: str) -> DataFrame:
-    return jobs.irregular_tables(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("table_id"), F.col("l_linenumber").alias("row"), (F.col("l_partkey") % 2).alias("cells")))
+    """Orders as tables, their lines as rows; some orders have none."""
+    rows = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("table_id"), F.col("l_linenumber").alias("row")).agg(F.min(F.col("l_partkey") % 4 + 1).alias("cells"))
+    return jobs.irregular_tables(table(spark, d, "orders").select(F.col("o_orderkey").alias("table_id")).join(rows, "table_id", "left"))
 
 
 @query("dup_glyphs", "SELECT l_orderkey AS font, count(*) - count(DISTINCT l_partkey % 5) AS ambiguous FROM lineitem GROUP BY l_orderkey")
@@ -595,16 +643,16 @@ def grouped_names(spark: SparkSession, d: str) -> DataFrame:
 # ---- reports and fixes -------------------------------------------------------------------------
 
 
-@query("report_csv", f"{F_SQL} SELECT doc_id, type, count(*) AS n FROM f GROUP BY ALL")
+@query("report_csv", f"{F_SQL} SELECT doc_id, type, severity, status, {WCAG_OF} AS wcag, count(*) AS n, count(*) AS ids FROM f GROUP BY ALL")
 def report_csv(spark: SparkSession, d: str) -> DataFrame:
-    docs, e = parsed(spark, d)
-    rows = fs.numbered(fs.enriched(rules.audit(docs, e), e))
-    return rows.select("doc_id", "type", files.report_rows(rows).columns[0]).groupBy("doc_id", "type").agg(F.count("issue_id").alias("n"))
+    docs, e = parsed(spark, d, detailed=True)
+    rows = files.report_rows(fs.numbered(fs.enriched(rules.audit(docs, e), e)), "doc_id")
+    return rows.groupBy("doc_id", "type", "severity", "status", "wcag").agg(F.count("*").alias("n"), F.count_distinct("issue_id").alias("ids"))
 
 
 @query("report_json")
 def report_json(spark: SparkSession, d: str) -> DataFrame:
-    docs, e = parsed(spark, d)
+    docs, e = parsed(spark, d, detailed=True)
     return files.json_rows(fs.numbered(fs.enriched(rules.audit(docs, e), e)))
 
 
@@ -622,8 +670,8 @@ def remediate_pages(spark: SparkSession, d: str) -> DataFrame:
 @query("remediated_findings", f"{F_SQL} SELECT DISTINCT doc_id, type FROM f WHERE status = 'needs_remediation' AND type NOT IN ('no-headings', 'no-h1', 'skipped-heading-level', 'empty-heading', 'missing-main-landmark', 'missing-navigation-landmark', 'missing-header-landmark', 'missing-footer-landmark', 'missing-skip-link', 'generic-link-text', 'empty-link-text', 'url-as-link-text')")
 def remediated_findings(spark: SparkSession, d: str) -> DataFrame:
     """What an audit still finds after the fixes."""
-    after = remediate_pages(spark, d).select("doc_id", "html").persist()
-    e = elements(after, "doc_id").persist()
+    after = written(remediate_pages(spark, d).select("doc_id", "html"), "fixed")
+    e = written(elements(after, "doc_id", columns=RULE_COLUMNS), "elements")
     return rules.audit(after.select("doc_id"), e).filter("status = 'needs_remediation'").select("doc_id", "type").distinct()
 
 

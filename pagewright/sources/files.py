@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagewright.functions.text import page_number
+from pyspark.sql.window import Window
+
+from pagewright.functions.text import page_number, title_source
 
 
 def html_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
@@ -22,6 +24,26 @@ def by_page(files: DataFrame) -> DataFrame:
     return files.orderBy(F.coalesce("page_number", F.lit(999)), "file")
 
 
+def placed(files: DataFrame) -> DataFrame:
+    """files with place, their number in that order from 1. Each range of the order is numbered in a
+    task of its own; of the ranges, only the counts are added up."""
+    number = F.coalesce("page_number", F.lit(999))
+    ranged = files.repartitionByRange(number, F.col("file")).withColumn("range_no", F.spark_partition_id())
+    within = F.row_number().over(Window.partitionBy("range_no").orderBy(number, "file"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = ranged.groupBy("range_no").agg(F.count("*").alias("n")).select("range_no", before.alias("before"))
+    rows = ranged.withColumn("within", within).join(F.broadcast(counts), "range_no")
+    return rows.withColumn("place", (F.col("within") + F.col("before")).cast("long")).drop("within", "before", "range_no")
+
+
+def title_texts(pages: DataFrame) -> DataFrame:
+    """Per document of (doc_id, page, text) what a title is made from: its first page, or first three."""
+    first = F.array_sort(F.collect_list(F.when(F.col("page") <= 3, F.struct("page", "text"))))
+    rows = pages.groupBy("doc_id").agg(F.count("*").cast("int").alias("pages"), first.alias("p"))
+    texts = F.transform("p", lambda x: F.coalesce(x["text"], F.lit("")))
+    return rows.select("doc_id", title_source(texts[0], F.array_join(texts, "\n\n"), F.col("pages")).alias("text"))
+
+
 def binary_files(spark: SparkSession, path: str, pattern: str = "*.pdf") -> DataFrame:
     return spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", True).load(path)
 
@@ -32,11 +54,18 @@ def combined(pages: DataFrame) -> DataFrame:
     return pages.groupBy("doc_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("page", part.alias("h")))), lambda x: x["h"]), "\n").alias("html"))
 
 
-def report_rows(findings: DataFrame) -> DataFrame:
-    """The flat columns of a CSV report; cells that a spreadsheet would run are quoted."""
+def report_rows(findings: DataFrame, *also: str) -> DataFrame:
+    """The flat columns of a CSV report, after also; cells that a spreadsheet would run are quoted."""
     names = ("issue_id", "type", "severity", "wcag", "status", "element", "location")
-    rows = findings.select("issue_id", "type", "severity", "wcag", "status", "element", F.col("location.path").alias("location"))
-    return rows.select(*[F.when(F.col(c).rlike(r"^[=+\-@\t\r]"), F.concat(F.lit("'"), F.col(c))).otherwise(F.col(c)).alias(c) for c in names])
+    rows = findings.select(*also, "issue_id", "type", "severity", "wcag", "status", "element", F.col("location.path").alias("location"))
+    return rows.select(*also, *[F.when(F.col(c).rlike(r"^[=+\-@\t\r]"), F.concat(F.lit("'"), F.col(c))).otherwise(F.col(c)).alias(c) for c in names])
+
+
+def remediation_rows(outcomes: DataFrame) -> DataFrame:
+    """The flat columns of a CSV report of fixes: one row for each kind of finding of a document
+    (doc_id, remediated, failed, skipped: arrays) and what became of it."""
+    told = [F.transform(c, lambda x, n=c: F.struct(x.alias("type"), F.lit(n).alias("outcome"))) for c in ("remediated", "failed", "skipped")]
+    return outcomes.select("doc_id", F.explode(F.concat(*told)).alias("x")).select("doc_id", "x.type", "x.outcome")
 
 
 def json_rows(findings: DataFrame) -> DataFrame:

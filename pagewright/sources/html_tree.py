@@ -6,18 +6,28 @@ import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 HIDDEN = {"script", "style", "template"}
 
-ELEMENT = (
-    "doc_id long, ord int, parent_ord int, end_ord int, depth int, tag string, attrs map<string,string>, classes array<string>, text string, "
-    "string string, nth_of_type int, css_path string, snippet string, bg_style string, page_number int, in_label int, in_fieldset boolean, "
-    "tables array<int>, forms array<int>, figures array<int>, links array<int>, near array<int>"
-)
+_INTS, _STRINGS = pa.list_(pa.int32()), pa.list_(pa.string())
+#: The columns of the element table, in order: Spark's type and Arrow's.
+COLUMNS: dict[str, tuple[str, pa.DataType]] = {
+    "doc_id": ("long", pa.int64()), "ord": ("int", pa.int32()), "parent_ord": ("int", pa.int32()), "end_ord": ("int", pa.int32()), "depth": ("int", pa.int32()), "tag": ("string", pa.string()),
+    "attrs": ("map<string,string>", pa.map_(pa.string(), pa.string())), "classes": ("array<string>", _STRINGS), "text": ("string", pa.string()), "string": ("string", pa.string()),
+    "nth_of_type": ("int", pa.int32()), "css_path": ("string", pa.string()), "snippet": ("string", pa.string()), "bg_style": ("string", pa.string()), "page_number": ("int", pa.int32()),
+    "in_label": ("int", pa.int32()), "in_fieldset": ("boolean", pa.bool_()), "tables": ("array<int>", _INTS), "forms": ("array<int>", _INTS), "figures": ("array<int>", _INTS), "links": ("array<int>", _INTS), "near": ("array<int>", _INTS),
+}
+
+#: Tags whose whole text the rules read; of all others' texts, TEXT_START characters are kept, as
+#: each element's text holds those of the elements in it.
+WHOLE_TEXTS = frozenset("h1 h2 h3 h4 h5 h6 title a label legend caption figcaption".split())
+TEXT_START = 2000
+#: Characters of texts and markup that an Arrow batch holds, about.
+BATCH_CHARS = 4_000_000
 
 
 class Node:
@@ -25,15 +35,23 @@ class Node:
 
     def __init__(self, ord_: int, tag: str, attrs: dict[str, str], parent: Node | None, begin: int) -> None:
         self.ord, self.tag, self.attrs, self.parent, self.begin, self.end = ord_, tag, attrs, parent, begin, ord_
-        self.kids: list[Node | str] = []
+        self.kids: list[Node | Comment | str] = []
+
+
+class Comment:
+    __slots__ = ("data",)
+
+    def __init__(self, data: str) -> None:
+        self.data = data
 
 
 class TreeBuilder(HTMLParser):
     """An end tag closes up to the nearest open element of its name; stray ones are ignored; nothing
-    is closed by implication, so unclosed paragraphs nest."""
+    is closed by implication, so unclosed paragraphs nest. Comments are left out unless asked for."""
 
-    def __init__(self) -> None:
+    def __init__(self, comments: bool = False) -> None:
         super().__init__(convert_charrefs=True)
+        self.comments = comments
         self.root = Node(-1, "[document]", {}, None, 0)
         self.open, self.nodes, self.spans = [self.root], [], {}
         self.lines: list[int] = [0]
@@ -65,6 +83,10 @@ class TreeBuilder(HTMLParser):
                 del self.open[k:]
                 return
 
+    def handle_comment(self, data: str) -> None:
+        if self.comments:
+            self.open[-1].kids.append(Comment(data))
+
     def handle_data(self, data: str) -> None:
         kids = self.open[-1].kids
         if kids and isinstance(kids[-1], str):
@@ -87,82 +109,127 @@ _BG = re.compile(r"background-color:\s*(#[0-9a-fA-F]{3,6}|rgb\(\s*\d+\s*,\s*\d+\
 _PAGE = re.compile(r"page[_-]?(\d+)")
 
 
-def element_rows(doc_id: int | None, html: str | None) -> Iterator[tuple]:
+def _pieces(root: Node) -> dict[int, tuple[list[str], int, int]]:
+    """For each element the list of stripped text pieces that holds its own, and where they begin and
+    end there. What is in a script, style or template is that element's own, in a list of its own."""
+    spans: dict[int, tuple[list[str], int, int]] = {}
+    stack: list[tuple[Node, Iterator, list[str], int]] = [(root, iter(root.kids), [], 0)]
+    while stack:
+        node, kids, held, begin = stack[-1]
+        for kid in kids:
+            if isinstance(kid, Node):
+                own = [] if kid.tag in HIDDEN else held
+                stack.append((kid, iter(kid.kids), own, len(own)))
+                break
+            if isinstance(kid, str) and kid.strip():
+                held.append(kid.strip())
+        else:
+            stack.pop()
+            spans[node.ord] = (held, begin, len(held))
+    return spans
+
+
+def _text(tag: str, span: tuple[list[str], int, int]) -> str:
+    held, begin, end = span
+    if tag in WHOLE_TEXTS:
+        return "".join(held[begin:end])
+    out, size = [], 0
+    for k in range(begin, end):
+        out.append(held[k])
+        size += len(held[k])
+        if size >= TEXT_START:
+            break
+    return "".join(out)[:TEXT_START]
+
+
+_CONTEXT = {"bg_style", "page_number", "in_label", "in_fieldset", "tables", "forms", "figures", "links", "near"}
+
+
+def element_rows(doc_id: int | None, html: str | None, columns: tuple[str, ...] = tuple(COLUMNS)) -> Iterator[tuple]:
+    """The elements of a document in page order; only what columns ask for is worked out."""
+    source, want = html or "", set(columns)
     builder = TreeBuilder()
-    builder.feed(html or "")
+    builder.feed(source)
     nodes = builder.nodes
-    texts: list[list[str]] = [[] for _ in nodes]
-    for node in reversed(nodes):
-        for kid in node.kids:
-            if not isinstance(kid, str):
-                node.end = max(node.end, kid.end)
-        for kid in node.kids:
-            if isinstance(kid, str):
-                if kid.strip():
-                    texts[node.ord].append(kid.strip())
-            elif kid.tag not in HIDDEN:
-                texts[node.ord] += texts[kid.ord]
+    if "end_ord" in want:
+        for node in reversed(nodes):
+            if node.parent is not None:
+                node.parent.end = max(node.parent.end, node.end)
+    pieces = _pieces(builder.root) if "text" in want else {}
+    with_context, with_paths = bool(want & _CONTEXT), "css_path" in want
     paths: list[str] = []
+    depths: list[int] = []
     context: list[tuple] = []
     seen: dict[tuple[int, str], int] = {}
     for node in nodes:
         parent = node.parent.ord if node.parent else -1
+        row: dict[str, object] = {"doc_id": doc_id, "ord": node.ord, "parent_ord": parent if parent >= 0 else None, "end_ord": node.end, "tag": node.tag, "attrs": list(node.attrs.items())}
+        depths.append(depths[parent] + 1 if parent >= 0 else 1)
         nth = seen[parent, node.tag] = seen.get((parent, node.tag), 0) + 1
         classes = node.attrs.get("class", "").split()
-        if node.attrs.get("id"):
-            part, above = f"{node.tag}#{node.attrs['id']}", None
-        else:
-            part = f"{node.tag}.{'.'.join(classes)}" if classes else f"{node.tag}:nth-of-type({nth})" if nth > 1 else node.tag
-            above = paths[parent] if parent >= 0 else "[document]"
-        paths.append(part if above is None else f"{above} > {part}")
-        up = context[parent] if parent >= 0 else (None, False, (), (), (), (), None, None, (-1,))
-        label, fieldset, tables, forms, figures, links, bg, page, above_ords = up
-        style = _BG.search(node.attrs.get("style", ""))
-        number = node.attrs.get("data-page-number", "")
-        found = int(number) if number.isdigit() else None
-        if found is None and "page" in " ".join(classes):
-            m = _PAGE.search(" ".join(classes)) or _PAGE.search(node.attrs.get("id", ""))
-            found = int(m[1]) if m else None
-        context.append(
-            (
-                node.ord if node.tag == "label" else label,
-                fieldset or node.tag == "fieldset",
-                (*tables, node.ord) if node.tag == "table" else tables,
-                (*forms, node.ord) if node.tag == "form" else forms,
-                (*figures, node.ord) if node.tag == "figure" else figures,
-                (*links, node.ord) if node.tag == "a" else links,
-                (style[1] if style else None if node.tag == "html" else bg),
-                found if found is not None else page,
-                (*above_ords, node.ord)[-3:],
+        row |= {"depth": depths[-1], "classes": classes, "nth_of_type": nth}
+        if "text" in want:
+            row["text"] = _text(node.tag, pieces[node.ord])
+        if "string" in want:
+            row["string"] = own_string(node)
+        if "snippet" in want:
+            row["snippet"] = source[node.begin : node.begin + 500]
+        if with_paths:
+            if node.attrs.get("id"):
+                paths.append(f"{node.tag}#{node.attrs['id']}")
+            else:
+                part = f"{node.tag}.{'.'.join(classes)}" if classes else f"{node.tag}:nth-of-type({nth})" if nth > 1 else node.tag
+                paths.append(f"{paths[parent] if parent >= 0 else '[document]'} > {part}")
+            row["css_path"] = paths[-1]
+        if with_context:
+            up = context[parent] if parent >= 0 else (None, False, (), (), (), (), None, None, (-1,))
+            label, fieldset, tables, forms, figures, links, bg, page, above_ords = up
+            style = _BG.search(node.attrs.get("style", ""))
+            number = node.attrs.get("data-page-number", "")
+            found = int(number) if number.isdigit() else None
+            if found is None and "page" in " ".join(classes):
+                m = _PAGE.search(" ".join(classes)) or _PAGE.search(node.attrs.get("id", ""))
+                found = int(m[1]) if m else None
+            own_bg = style[1] if style else None if node.tag == "html" else bg
+            context.append(
+                (
+                    node.ord if node.tag == "label" else label,
+                    fieldset or node.tag == "fieldset",
+                    (*tables, node.ord) if node.tag == "table" else tables,
+                    (*forms, node.ord) if node.tag == "form" else forms,
+                    (*figures, node.ord) if node.tag == "figure" else figures,
+                    (*links, node.ord) if node.tag == "a" else links,
+                    own_bg,
+                    found if found is not None else page,
+                    (*above_ords, node.ord)[-3:],
+                )
             )
-        )
-        own_bg = style[1] if style else None if node.tag == "html" else bg
-        yield (
-            doc_id, node.ord, parent if parent >= 0 else None, node.end, _depth(node), node.tag, node.attrs, classes,
-            "".join(texts[node.ord]), own_string(node), nth, paths[-1], (html or "")[node.begin : node.begin + 500], own_bg, found if found is not None else page,
-            label, fieldset, list(tables), list(forms), list(figures), list(links), list(above_ords),
-        )
-
-
-def _depth(node: Node) -> int:
-    n = 0
-    while node.parent is not None:
-        node, n = node.parent, n + 1
-    return n
-
-
-def _parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    names = [c.strip().split(" ")[0] for c in re.split(r",(?![^<]*>)", ELEMENT)]
-    for frame in frames:
-        for i in range(0, len(frame), 200):
-            part = frame.iloc[i : i + 200]
-            rows = [r for d, h in zip(part["doc_id"], part["html"], strict=True) for r in element_rows(None if pd.isna(d) else int(d), h)]
-            out = pd.DataFrame(rows, columns=names)
-            for c in ("parent_ord", "page_number", "in_label"):
-                out[c] = out[c].astype("Int32")
-            yield out
-
-
-def elements(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> DataFrame:
-    """One row per element of each document; a document's elements are numbered in page order."""
-    return pages.select(F.col(id_col).cast("long").alias("doc_id"), F.col(html_col).alias("html")).mapInPandas(_parse, ELEMENT)
+            row |= {"bg_style": own_bg, "page_number": context[-1][7], "in_label": label, "in_fieldset": fieldset, "tables": list(tables), "forms": list(forms), "figures": list(figures), "links": list(links), "near": list(above_ords)}
+        yield tuple(row[c] for c in columns)
+
+
+def elements(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", columns: list[str] | None = None) -> DataFrame:
+    """One row per element of each document; a document's elements are numbered in page order. Of
+    columns (all: None) only those asked for are worked out."""
+    names = tuple(c for c in COLUMNS if columns is None or c in columns)
+    kinds = [COLUMNS[c][1] for c in names]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=list(names))
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, size = [], 0
+        for batch in batches:
+            for d, h in zip(batch.column(0), batch.column(1), strict=True):
+                html = h.as_py()
+                for row in element_rows(d.as_py(), html, names):
+                    rows.append(row)
+                    size += 50 + sum(len(v) for v in row if isinstance(v, str))
+                    if size >= BATCH_CHARS:
+                        yield batch_of(rows)
+                        rows, size = [], 0
+        if rows:
+            yield batch_of(rows)
+
+    rows = pages.select(F.col(id_col).cast("long").alias("doc_id"), F.col(html_col).alias("html"))
+    return rows.mapInArrow(parse, ", ".join(f"{c} {COLUMNS[c][0]}" for c in names))

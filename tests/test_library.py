@@ -7,14 +7,15 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from pagewright import config
 from pagewright.functions import colour, text
 from pagewright.operators import findings as fs
-from pagewright.operators import jobs, layout, remediate, rules
+from pagewright.operators import images, jobs, layout, remediate, rules
 from pagewright.operators.dims import wcag_rows
 from pagewright.plans import catalog
 from pagewright.plans.golden import FAMILIES
 from pagewright.sources import files
-from pagewright.sources.html_tree import element_rows, elements
+from pagewright.sources.html_tree import COLUMNS, element_rows, elements
 from pagewright.streaming import status
 
 SF = "/root/testdata/sf0.001"
@@ -55,6 +56,26 @@ def test_parser_takes_anything(source):
     assert all(r[3] >= r[1] and (r[2] is None or r[2] < r[1]) for r in rows)
 
 
+def test_unclosed_elements_stay_linear():
+    source = "".join(f"<p>text {i}" for i in range(5000))
+    rows = list(element_rows(1, source, tuple(c for c in COLUMNS if c not in ("css_path", "snippet"))))
+    assert len(rows) == 5000 and max(len(r[8]) for r in rows) <= 2000 and rows[0][3] == 4999
+    fixed = remediate.fixed(f"<!-- kept -->{source}<a href='/x-y'>learn more</a>", ["missing-title", "generic-link-text"])
+    assert "<!-- kept -->" in fixed[0] and "text 4999" in fixed[0] and ">Link to x y</a>" in fixed[0]
+
+
+def test_contrast_fix_reads_the_background_around():
+    source = '<div style="background-color:#000000"><p style="color:#222222">a</p><p style="color: #ffffff">b</p></div><p style="color:#333333">c</p><p style="background-color:#FFFF00;color:#ffffff">d</p>'
+    out, done, _, _ = remediate.fixed(source, ["insufficient-color-contrast"])
+    assert done and out.count("#ffffff") == 3 and 'color:#333333' in out and 'style="color: #000000; background-color:#FFFF00"' in out
+
+
+@pytest.mark.parametrize("phrase", rules.GENERIC_LINKS)
+def test_link_fix_knows_all_phrases(phrase):
+    out, done, _, _ = remediate.fixed(f'<a href="https://www.site.com/a">{phrase}</a><a href="/{phrase}">see example.com</a>', ["generic-link-text"])
+    assert done and ">Link to site</a>" in out and "example.com</a>" not in out
+
+
 def test_contrast_is_symmetric(spark):
     df = spark.createDataFrame([("#FFFFFF", "#000000"), ("#777777", "#FFFFFF"), ("#123456", "#123456")], "a string, b string")
     got = df.select(colour.contrast(F.col("a"), F.col("b")), colour.contrast(F.col("b"), F.col("a")), colour.normalised(F.lit("rgb( 1, 20,255)")), colour.normalised(F.lit("#abc"))).collect()
@@ -99,7 +120,7 @@ def test_bbox_match_takes_the_whole_table(spark):
     for r in spark.read.parquet(f"{SF}/lineitem.parquet").collect():
         box = (r["l_partkey"] % 97, r["l_suppkey"] % 89, round(r["l_quantity"]), r["l_linenumber"] * 5)
         kind = images if r["l_returnflag"] == "R" else boxes
-        kind.setdefault(r["l_orderkey"] % 50, []).append((r["l_orderkey"] * 10 + r["l_linenumber"], box))
+        kind.setdefault(r["l_orderkey"], []).append((r["l_orderkey"] * 10 + r["l_linenumber"], box))
     expected = set()
     for file, some in images.items():
         near = sorted({(i, o) for i, a in some for o, b in boxes.get(file, []) if all(abs(x - y) <= layout.TOLERANCE for x, y in zip(a, b, strict=True))})
@@ -152,6 +173,42 @@ def test_stream_equals_batch(spark, tmp_path):
     assert {tuple(r) for r in spark.table("latest_files").select("file", "status").collect()} == {tuple(r) for r in jobs.latest_status(log).collect()}
 
 
+def test_image_places(spark):
+    files_ = spark.createDataFrame([("out/assets/a.png",), ("out/page/x/a.png",), ("out/page/b-1.JPG",), ("else/c.png",)], "path string")
+    wanted = spark.createDataFrame([("a.png",), ("b.png",), ("c.png",), ("a.png",)], "name string")
+    bases = spark.createDataFrame([("out/page", 0)], "base string, base_no int")
+    assert {tuple(r) for r in images.resolved(wanted, bases, files_).collect()} == {("a.png", "out/assets/a.png"), ("b.png", "out/page/b-1.JPG"), ("c.png", None)}
+
+
+def test_layout_matches_by_page_alone(spark):
+    elements_ = spark.createDataFrame([(1, 0, 7, 0, "<img src='x.png'>"), (1, 0, 8, 1, "<p>t</p>"), (1, 1, 9, 0, "<p>only</p>"), (2, 0, 5, 0, "<img src='x.png'>")], "doc_id int, page int, id int, list_no int, html string")
+    issues = spark.createDataFrame([(1, 1, 0, "p > img:nth-of-type(1)", None, "t"), (2, 1, 1, None, None, "t"), (3, 1, 0, None, "src='x.png'", "t"), (4, 1, 0, None, "none", "t"), (5, 1, 0, None, "none", "long-alt-text")], "issue_id int, doc_id int, page int, path string, context string, type string")
+    assert {tuple(r) for r in layout.issue_elements(issues, elements_).collect()} == {(1, 7, 0), (2, 9, 2), (3, 7, 1), (4, None, None), (5, 7, 5)}
+
+
+def test_captions_come_later_in_the_reading_order(spark):
+    rows = spark.createDataFrame([(1, 0, 1, 0, 5, "FIGURE", ""), (1, 0, 2, 1, 2, "TEXT", "Figure 1"), (1, 0, 3, 2, 9, "TEXT", "Figure 2"), (1, 0, 4, 3, 6, "TEXT", "Figure 3")], "doc_id int, page int, id int, list_no int, reading_order int, type string, text string")
+    assert layout.captions(rows).first()["caption"] == "Figure 2"
+
+
+def test_steps_and_cells(spark):
+    row = spark.range(1).select(
+        text.spoken_step(F.lit("2) [Cl-] ! (x )")).alias("step"), text.prose_rows(F.lit("The first row contains 'A' under 'Transporter', 'b' under 'Tissue Expression', and 'c' under 'Biological Role'.")).alias("rows"),
+        text.spoken_formula(F.lit("Cl-/HCO3- Antiporter")).alias("bare"), text.needs_encoding_repair(F.lit(None).cast("string")).alias("none"),
+    ).first()
+    assert row["step"] == "Step 2. open bracket chloride, Cl minus, close bracket increased open parenthesis x close parenthesis"
+    assert row["rows"] == [["A", "b", "c"]] and "exchanging" not in row["bare"] and row["none"] is False
+
+
+def test_settings_by_precedence(tmp_path, monkeypatch):
+    (tmp_path / "c.json").write_text('{"audit": {"level": "AA", "limit": 5}, "name": "file"}')
+    monkeypatch.setenv("DOC_ACCESS_AUDIT__LIMIT", "7")
+    got = config.settings({"audit": {"level": "A", "limit": 1, "deep": True}, "name": "x"}, str(tmp_path / "c.json"), {"name": "given"})
+    assert got == {"audit": {"level": "AA", "limit": 7, "deep": True}, "name": "given"}
+    assert config.problems(got, {"name": str}, {"audit": dict, "more": int}) == []
+    assert config.problems({"name": 3}, {"name": str, "path": str}, {}) == ["name: must be str, is int", "path: is missing"]
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 
