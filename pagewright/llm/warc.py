@@ -40,6 +40,8 @@ from .common import durable, pick, salted_join, shared_path, small_batches
 
 #: Compressed bytes of a block of records, at least (but the last of a task), and blocks of a file.
 BLOCK_BYTES, FILE_BLOCKS = 1 << 19, 64
+#: How hard records are compressed; a page is small and its members many.
+LEVEL = 2
 #: Bytes that are inflated at once, and bytes of payloads of a batch that is read.
 INFLATE_BYTES, BATCH_BYTES = 1 << 20, 1 << 23
 END = "\r\n"
@@ -136,7 +138,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
     for batch in batches:
         for record in batch.column(0):
-            held.append(gzip.compress(record.as_buffer(), compresslevel=6, mtime=0))
+            held.append(gzip.compress(record.as_buffer(), compresslevel=LEVEL, mtime=0))
             size += len(held[-1])
             if size >= BLOCK_BYTES:
                 yield pa.RecordBatch.from_arrays([pa.array([b"".join([*held, EMPTY_MEMBER[:-1]])], pa.binary())], names=["value"])
