@@ -581,6 +581,29 @@ def test_extraction_odd(spark):
     assert extraction.extract(df.limit(0)).count() == 0
 
 
+def test_extraction_of_long_pages_and_clashing_columns(spark):
+    body = "".join(f"<p>Sentence number {i}, with some words, as an article has them.</p>" for i in range(4000))
+    page = f"<html><body><nav><a href='/'>Home</a><a href='/b'>Blog</a></nav><article>{body}</article><footer>Copyright</footer></body></html>"
+    df = spark.createDataFrame([(1, "u", page, "x", 1, "y")], "page_id long, url string, html string, HTML string, n_chars int, text string")
+    got = extraction.extract(df).first()
+    assert got["text"].startswith("Sentence number 0, with") and got["text"].endswith("number 3999, with some words, as an article has them.")
+    assert got["n_chars"] == len(got["text"]) and "Home" not in got["text"] and "Copyright" not in got["text"]
+
+
+def test_extraction_of_another_shape():
+    """Recall and precision in words on a page that the training pages' author does not write: a
+    table for the layout, plain divisions for paragraphs. First measured: recall 458 of 509, below
+    the 0.9 aimed at, as one paragraph is lost; the floor here only guards that figure."""
+    r = random.Random(3)
+    story = [" ".join(r.choices("river stone light along morning people walked quiet road over hills under clouds".split(), k=r.randrange(25, 60))) + "." for _ in range(12)]
+    links = "".join(f"<div><a href='/t{i}'>Topic {i}</a></div>" for i in range(14))
+    page = f"<body><table><tr><td>{links}</td><td><div><h1>Walking home</h1>{''.join(f'<div>{p}</div>' for p in story)}</div></td></tr></table><div><a href='/x'>Privacy</a> <a href='/y'>Terms</a></div></body>"
+    found = Counter(extraction.main_texts([page], extraction.trained())[0].split())
+    wanted = Counter(" ".join(story).split())
+    both = sum((found & wanted).values())
+    assert both / sum(wanted.values()) > 0.85 and both / max(1, sum(found.values())) > 0.9
+
+
 def test_decoding_keeps_nothing_below_a_dropped_node():
     page = Page("<body><div><p>one two</p><p>three</p></div></body>")
     score = np.array([1.0, 1.0, -9.0, 1.0, 1.0])
