@@ -294,6 +294,8 @@ def joined_up(members: DataFrame, compare: Callable, most: int, label: str) -> D
     edges = _compared(members, F.when(F.col("block") == 0, first_block).otherwise(F.array(_pair(none, F.col("block")))), compare, label)
     found = durable(components(edges, label), label)
     apart = members.filter("blocks > 1 and block > 0").select("group", "node", "weight")
+    if apart.isEmpty():  # no group has a second block
+        return found
     rooted = durable(apart.join(found, "node", "left").withColumn("root", F.coalesce("root", "node")), label)
     core = rooted.groupBy("group", "root").agg(F.count("*").alias("n")).groupBy("group").agg(F.max(F.struct("n", "root")).alias("m")).select("group", F.col("m.root").alias("core"))
     sided = durable(salted_join(rooted, core, ["group"], F.xxhash64("node"), "inner").select("group", "node", "weight", (F.col("root") != F.col("core")).alias("outside")), label)
