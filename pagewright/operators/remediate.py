@@ -10,6 +10,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Callable, Iterator
+from os.path import commonprefix
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -92,8 +93,11 @@ class Document:
         return self.first("body") or self.first("html") or self.root
 
     def written(self) -> str:
-        out: list[str] = [self.doctype]
-        stack: list[tuple[Node | Comment | str, bool]] = [(k, False) for k in reversed(self.root.kids)]  # with: raw text
+        return self.doctype + self.markup(self.root.kids)
+
+    def markup(self, kids: list[Node | Comment | str]) -> str:
+        out: list[str] = []
+        stack: list[tuple[Node | Comment | str, bool]] = [(k, False) for k in reversed(kids)]  # with: raw text
         while stack:
             k, raw = stack.pop()
             if isinstance(k, str):
@@ -434,6 +438,51 @@ def fieldset(d: Document, ask: Provider) -> bool:
     return changed
 
 
+def _legend(d: Document, controls: list[Node]) -> str:
+    """What the labels of these controls begin with, if that is more than three characters."""
+    labels = {n.attrs["for"]: d.text(n) for n in reversed(d.all("label")) if n.attrs.get("for")}
+    told = [labels[c.attrs["id"]] for c in controls if c.attrs.get("id") in labels]
+    common = commonprefix(told)
+    return common.strip() if len(common) > 3 else ""
+
+
+@handles("form-related-controls-no-fieldset", "missing-fieldset")
+def group_controls(d: Document, ask: Provider) -> bool:
+    """In each form without a fieldset, what stands in a division with two controls or more goes into
+    one; of nested divisions the outermost counts. Without such divisions, controls whose names begin
+    alike (to the first underscore) make a group, and what is around its first one goes into a fieldset."""
+    changed = False
+    controls = ("input", "select", "textarea")
+    for form in d.all("form"):
+        if d.first("fieldset", under=form):
+            continue
+        groups: list[tuple[Node, str]] = []
+        for div in d.all("div", under=form):
+            inside = d.all(*controls, under=div)
+            if len(inside) >= 2:
+                groups.append((div, _legend(d, inside)))
+        if not groups:
+            named: dict[str, list[Node]] = {}
+            for c in d.all(*controls, under=form):
+                if c.attrs.get("name"):
+                    named.setdefault(c.attrs["name"].split("_")[0], []).append(c)
+            groups = [(cs[0].parent, prefix.capitalize()) for prefix, cs in named.items() if len(cs) >= 2]
+        wrapped: set[int] = set()
+        for parent, legend in groups:
+            up = parent
+            while up is not form and id(up) not in wrapped:
+                up = up.parent
+            if id(up) in wrapped:  # it is in a fieldset already
+                continue
+            wrapped.add(id(parent))
+            box = d.make("fieldset")
+            d.wrap(parent, list(parent.kids), box)
+            if legend:
+                d.insert(box, 0, d.make("legend", legend))
+            changed = True
+    return changed
+
+
 _TEXT_COLOUR = re.compile(rf"color:\s*{COLOUR}")
 _BACKGROUND = re.compile(rf"background-color:\s*{COLOUR}")
 

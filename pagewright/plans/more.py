@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pagewright.functions import colour, text
 from pagewright.operators import findings as fs
-from pagewright.operators import images, jobs, layout, optional_rules
+from pagewright.operators import edits, images, jobs, layout, optional_rules, remediate
 from pagewright.sources.html_tree import elements
 from pagewright.sources.tables import written
 
@@ -353,3 +353,78 @@ def types_by(spark: SparkSession, d: str) -> DataFrame:
 def open_findings(spark: SparkSession, d: str) -> DataFrame:
     status = F.element_at(F.array(*map(F.lit, ("compliant", "remediated", "auto_remediated", "needs_remediation"))), (F.col("o_orderkey") % 4 + 1).cast("int"))
     return fs.without_remediated(table(spark, d, "orders").select("o_orderkey", status.alias("status"))).select("o_orderkey")
+
+# ---- edits at a place, over pages made of orders -----------------------------------------------
+
+
+def _order_pages(spark: SparkSession, d: str, *parts: Column | str) -> DataFrame:
+    """page_id, html: a page for each order, of texts and columns in turn."""
+    html = F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("page_id"), html.alias("html"))
+
+
+def _order_columns() -> tuple[Column, Column, Column]:
+    return F.col("o_orderkey"), F.col("o_orderstatus"), F.concat(F.lit("c"), F.col("o_custkey"))
+
+
+@query("selector_edits", """SELECT o_orderkey AS doc_id, '<div id="o' || o_orderkey || '" lang="en"><b>' || o_orderstatus || '</b> x<i>' || 'c' || o_custkey || '</i></div>' AS html, '1,2,3' AS applied, '4,5' AS failed FROM orders""")
+def selector_edits(spark: SparkSession, d: str) -> DataFrame:
+    key, status, clerk = _order_columns()
+    pages = _order_pages(spark, d, '<div id="o', key, '"><p class="s t">', status, '</p><p class="s">', clerk, "</p></div>")
+    orders = table(spark, d, "orders")
+    none = F.lit(None).cast("string")
+    todo = [
+        ("attribute", F.concat(F.lit("#o"), key), F.lit("lang"), F.lit("en")),
+        ("content", F.lit("div > p.s:first-child"), none, F.concat(F.lit("<b>"), status, F.lit("</b> x"))),
+        ("replace", F.lit("table, b ~ p[class^='s']"), none, F.concat(F.lit("<i>"), clerk, F.lit("</i><u>left out</u>"))),
+        ("replace", F.lit("p"), none, F.lit("<p>nothing to replace</p>")),
+        ("attribute", F.lit("div["), F.lit("lang"), F.lit("de")),
+    ]
+    rows = [F.struct(F.lit(k + 1).alias("edit_no"), F.lit(a).alias("action"), s.alias("selector"), n.alias("name"), v.alias("value")) for k, (a, s, n, v) in enumerate(todo)]
+    work = orders.select(key.alias("doc_id"), F.explode(F.array(*rows)).alias("e")).select("doc_id", "e.*")
+    out = edits.edited(pages, work)
+    return out.select("doc_id", "html", F.array_join("applied", ",").alias("applied"), F.array_join("failed", ",").alias("failed"))
+
+
+@query("prepared_tables", f"""SELECT o_orderkey AS doc_id, '<table style="; {edits.TABLE_BORDER}">' || CASE WHEN o_orderstatus = 'O'
+  THEN '<thead><tr style="; {edits.CELL_BORDER}"><th scope="col" style="; {edits.CELL_BORDER}"><b>' || o_orderkey || '</b></th></tr></thead><tbody>'
+  ELSE '<tr style="; {edits.CELL_BORDER}"><td style="; {edits.CELL_BORDER}"><i>' || o_orderkey || '</i></td></tr>' END
+  || '<tr style="; {edits.CELL_BORDER}"><td style="border:0">' || 'c' || o_custkey || '</td></tr>' || CASE WHEN o_orderstatus = 'O' THEN '</tbody>' ELSE '' END || '</table>' AS html FROM orders""")
+def prepared_tables(spark: SparkSession, d: str) -> DataFrame:
+    key, status, clerk = _order_columns()
+    tag = F.when(status == "O", "b").otherwise("i")
+    pages = _order_pages(spark, d, "<table><tr><td><", tag, ">", key, "</", tag, '></td></tr><tr><td style="border:0">', clerk, "</td></tr></table>")
+    return edits.of_pages(pages, edits.prepared_tables)
+
+
+@query("grouped_controls", """SELECT o_orderkey AS doc_id, CASE o_orderstatus
+  WHEN 'O' THEN '<form><fieldset><legend>A' || o_orderkey || '</legend><input name="a' || o_orderkey || '_x"><input name="a' || o_orderkey || '_y"></fieldset></form>'
+  WHEN 'F' THEN '<form><div><fieldset><legend>Road</legend><label for="a">Road 1</label><input id="a"><label for="b">Road</label><input id="b"></fieldset></div></form>'
+  ELSE '<form><input name="a"><input name="b"></form>' END AS html FROM orders""")
+def grouped_controls(spark: SparkSession, d: str) -> DataFrame:
+    key, status, _ = _order_columns()
+    name = F.concat(F.lit("a"), key)
+    named = F.concat(F.lit('<input name="'), name, F.lit('_x"><input name="'), name, F.lit('_y">'))
+    inside = F.when(status == "O", named).when(status == "F", '<div><label for="a">Road 1</label><input id="a"><label for="b">Road</label><input id="b"></div>').otherwise('<input name="a"><input name="b">')
+    pages = _order_pages(spark, d, "<form>", inside, "</form>")
+    return edits.of_pages(pages, lambda source: remediate.fixed(source, ["form-related-controls-no-fieldset"])[0])
+
+
+@query("located_tables", """SELECT o_orderkey AS doc_id, CAST(u.n AS INT) AS finding_no, CAST(CASE u.n WHEN 1 THEN 2 WHEN 2 THEN 1 WHEN 3 THEN o_orderkey % 3 WHEN 4 THEN 1 WHEN 5 THEN 0 WHEN 6 THEN 0 WHEN 7 THEN NULL END AS INT) AS place
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5, 6, 7]) AS n) u""")
+def located_tables(spark: SparkSession, d: str) -> DataFrame:
+    key, _, clerk = _order_columns()
+    pages = _order_pages(spark, d, "<table><tr><td>a</td></tr></table><table><tr><th>", clerk, '</th></tr></table><table id="t', key, '"><tr><td>', key, "</td></tr></table>")
+    blank, none = F.lit(""), F.lit(None).cast("int")
+    told = [
+        ("", F.concat(F.lit("#t"), key), blank, blank, none),
+        ("", F.lit("p"), F.lit("table"), clerk, none),
+        ("", blank, F.lit("table"), blank, (key % 3).cast("int")),
+        ("table-missing-scope", blank, blank, blank, none),
+        ("table-missing-headers", F.lit("["), F.lit("<table><tr><td>other</td></tr></table>"), blank, none),
+        ("table-else", blank, blank, blank, none),
+        ("else", blank, F.lit("td"), blank, none),
+    ]
+    rows = [F.struct(F.lit(k + 1).alias("finding_no"), F.lit(t).alias("type"), s.alias("selector"), e.alias("element"), x.alias("text"), i.alias("index")) for k, (t, s, e, x, i) in enumerate(told)]
+    findings = table(spark, d, "orders").select(key.alias("doc_id"), F.explode(F.array(*rows)).alias("f")).select("doc_id", "f.*")
+    return edits.tables_of(pages, findings)

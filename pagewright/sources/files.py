@@ -19,6 +19,13 @@ def html_files(spark: SparkSession, path: str, recursive: bool = False) -> DataF
     return rows.withColumn("page_number", page_number(F.col("file")))
 
 
+def html_folder(spark: SparkSession, path: str) -> DataFrame:
+    """html_files of a folder's extracted_html, if there is such a folder in it, else of the folder itself."""
+    inner = spark._jvm.org.apache.hadoop.fs.Path(path, "extracted_html")
+    fs = inner.getFileSystem(spark._jsc.hadoopConfiguration())
+    return html_files(spark, inner.toString() if fs.exists(inner) and fs.getFileStatus(inner).isDirectory() else path)
+
+
 def by_page(files: DataFrame) -> DataFrame:
     """In the order of page numbers; files without one come at 999."""
     return files.orderBy(F.coalesce("page_number", F.lit(999)), "file")
