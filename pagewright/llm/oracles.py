@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from .exact import OP4_SQL
+from .licences import OP12_SQL
+from .merkle import OP11_SQL
+from .negatives import OP13_SQL
 from .quality import STOP_WORDS, THRESHOLDS
 from .warc import OP6_SQL
 
@@ -109,4 +112,7 @@ ORACLES = {
     "op6_warc": OP6_SQL,
     "op7_minhash_near_dedup": OP7_SQL,
     "op8_quality_rules": OP8_SQL,
+    "op11_merkle_manifest": OP11_SQL,
+    "op12_license_scan": OP12_SQL,
+    "op13_hard_negatives": OP13_SQL,
 }

@@ -8,7 +8,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, exact, extraction, mixing, neardup, quality, secret_scan, sharding, substrings, warc
+from . import bpe, exact, extraction, licences, merkle, mixing, neardup, negatives, quality, secret_scan, sharding, substrings, warc
 from .oracles import ORACLES
 
 
@@ -35,6 +35,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_quality_rules": lambda spark, d: quality.quality_report(table(spark, d, "documents")),
         "op9_html_extraction": lambda spark, d: extraction.extract(table(spark, d, "pages")),
         "op10_mixing": lambda spark, d: mixing.mix_report(table(spark, d, "documents")),
+        "op11_merkle_manifest": lambda spark, d: merkle.merkle_report(table(spark, d, "documents")),
+        "op12_license_scan": lambda spark, d: licences.licence_report(table(spark, d, "documents")),
+        "op13_hard_negatives": lambda spark, d: negatives.hard_negatives(table(spark, d, "embeddings")),
     }
 
 
