@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Colours as they are written.
 RGB = r"rgb\(\s*(\d+)\s*,\s*(\d+)\s*,\s*(\d+)\s*\)"
 COLOUR = r"(#[0-9a-fA-F]{3,6}|rgb\(\s*\d+\s*,\s*\d+\s*,\s*\d+\s*\))"
 
@@ -41,6 +42,7 @@ def is_dark(colour: Column) -> Column:
     """By perceived brightness; colours that aren't #RRGGBB count as light unless named dark."""
     v = [F.conv(F.substring(colour, s, 2), 16, 10).cast("double") for s in (2, 4, 6)]
     bright = (v[0] * 0.299 + v[1] * 0.587 + v[2] * 0.114) / 255
+    # fixed values: names of dark colours
     named = F.lower(colour).isin("black", "navy", "darkblue", "darkgreen", "darkred", "purple", "maroon")
     return F.when(colour.rlike("^#[0-9a-fA-F]{6}$"), bright < 0.5).otherwise(named)
 

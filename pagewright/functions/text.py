@@ -9,7 +9,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import DoubleType, StringType
 
 # What the alt-text rules look for.
 TRUNCATED_LIST = r"(?i)(?:stages?|steps?|phases?|parts?|points?|items?|types?|examples?|diagrams?)\s*:\s*\d+\s*$"
@@ -179,13 +179,19 @@ def job_id(bucket: Column, key: Column, at: Column) -> Column:
     return F.substring(F.md5(F.concat_ws(":", bucket, key, at)), 1, 12)
 
 
-def reply_map(reply: Column) -> Column:
+def reply_map(reply: Column, key: Column | None = None) -> Column:
     """A model's reply as a map: the JSON without its fence, else what stands between the outer
-    braces, else null."""
+    braces, else, where the key that was asked for is given, the text after that key, else null."""
     kind = "map<string,string>"
     bare = strip(F.regexp_replace(F.regexp_replace(strip(reply), r"^```[a-zA-Z]*\s*", ""), r"\s*```$", ""))
     inner = F.regexp_extract(bare, r"(?s)(\{.*\})", 1)
-    return F.coalesce(F.from_json(F.when(bare.startswith("{"), bare), kind), F.from_json(F.when(inner != "", inner), kind))
+    found = F.coalesce(F.from_json(F.when(bare.startswith("{"), bare), kind), F.from_json(F.when(inner != "", inner), kind))
+    if key is None:
+        return found
+    pattern = F.concat(F.lit('"\\Q'), key, F.lit("\\E" + r'"\s*:\s*"((?:[^"\\]|\\.)*)"'))
+    told = F.call_function("regexp_extract", bare, pattern, F.lit(1))
+    there = F.call_function("rlike", bare, pattern)
+    return F.coalesce(found, F.when(there, F.create_map(key, F.replace(told, F.lit('\\"'), F.lit('"')))))
 
 
 def title_source(first: Column, first_three: Column, pages: Column) -> Column:
@@ -251,6 +257,50 @@ def prose_rows(alt: Column) -> Column:
     return F.when(F.size(quoted) > 0, quoted).when(F.size(under) > 0, under).otherwise(free)
 
 
+# Fixed value: what a normalised header is made of.
+HEADER_SIGNS = "abcdefghijklmnopqrstuvwxyz0123456789 "
+
+
+def letter_counts(key: Column) -> Column:
+    return F.array(*[F.length(key) - F.length(F.replace(key, F.lit(c), F.lit(""))) for c in HEADER_SIGNS])
+
+
+def likeness_bound(counts: Column, other: Column, lengths: Column) -> Column:
+    """Above what the ratio of two keys can't lie: twice the letters that both have, by their lengths
+    together. Matching blocks are letters in common, in order; this leaves the order out."""
+    common = F.aggregate(F.zip_with(counts, other, lambda a, b: F.least(a, b)), F.lit(0), lambda s, x: s + x)
+    return F.when(lengths > 0, 2.0 * common / lengths).otherwise(1.0)
+
+
+@F.pandas_udf(DoubleType())
+def likeness(one: pd.Series, other: pd.Series) -> pd.Series:
+    return pd.Series([difflib.SequenceMatcher(None, a, b).ratio() for a, b in zip(one, other, strict=True)], dtype=float)
+
+
+#: How alike a header must be.
+LIKE = 0.6
+
+
+def header_pairs(wanted: DataFrame, headers: DataFrame, key: list[str], of: list[str]) -> DataFrame:
+    """The pairs of wanted (key, of, wanted) and headers (of, header_no, header) that may be alike: with
+    same, and bound of the ratio LIKE or more. All of it is in built-in functions."""
+    w = wanted.select(*dict.fromkeys([*key, *of]), header_key(F.col("wanted")).alias("w")).withColumn("w_counts", letter_counts(F.col("w")))
+    h = headers.select(*of, "header_no", "header", header_key(F.col("header")).alias("h")).withColumn("h_counts", letter_counts(F.col("h")))
+    both = w.join(h, of).withColumn("same", F.col("w") == F.col("h"))
+    return both.filter(F.col("same") | (likeness_bound(F.col("w_counts"), F.col("h_counts"), F.length("w") + F.length("h")) >= LIKE)).drop("w_counts", "h_counts")
+
+
+def matched_headers(wanted: DataFrame, headers: DataFrame, key: list[str], of: list[str]) -> DataFrame:
+    """For each of wanted (key, of, wanted) the header among headers (of, header_no, header) of the same
+    table that equals it when normalised, the first one, else the most alike, of equals the first; null
+    if none is alike. Only pairs that letters in common allow are compared in Python."""
+    pairs = header_pairs(wanted, headers, key, of)
+    same = pairs.filter("same").withColumn("ratio", F.lit(2.0))
+    rest = pairs.filter("not same").join(same.select(*key).distinct(), key, "left_anti").withColumn("ratio", likeness("w", "h")).filter(F.col("ratio") >= LIKE)
+    best = same.unionByName(rest).groupBy(*key).agg(F.max_by("header", F.struct("ratio", -F.col("header_no"))).alias("header"))
+    return wanted.select(*key).join(best, key, "left")
+
+
 @F.pandas_udf(StringType())
 def nearest_header(wanted: pd.Series, headers: pd.Series) -> pd.Series:
     """The header that equals wanted when normalised, else the most alike (ratio 0.6 or more)."""

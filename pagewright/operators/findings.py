@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .dims import SEVERITY, STATUSES, severity_rank, wcag
+from .structure import with_text
 
 
 def enriched(findings: DataFrame, e: DataFrame, detailed: bool = True) -> DataFrame:
@@ -17,28 +18,16 @@ def enriched(findings: DataFrame, e: DataFrame, detailed: bool = True) -> DataFr
     spark = findings.sparkSession
     named = findings.join(F.broadcast(wcag(spark)), findings["wcag"] == F.col("criterion"), "left").drop("criterion")
     named = named.withColumns({"criterion_name": F.coalesce("criterion_name", F.lit("")), "criterion_level": F.coalesce("criterion_level", F.lit(""))})
+    place = e.select("doc_id", "ord", F.col("tag").alias("element"), F.struct(F.col("css_path").alias("path"), "page_number").alias("location"))
+    if not detailed:
+        return named.join(place, ["doc_id", "ord"], "left")
+    # the texts of elements that have findings alone are read
     same = Window.partitionBy("doc_id", "tag")
-    where = e.select(
-        "doc_id",
-        "ord",
-        F.col("tag").alias("element"),
-        F.struct(F.col("css_path").alias("path"), "page_number").alias("location"),
-        *(
-            [
-                F.struct(
-                    F.col("tag").alias("element_name"),
-                    F.col("attrs").alias("attributes"),
-                    F.col("text").alias("text_content"),
-                    F.col("snippet").alias("html_snippet"),
-                    (F.row_number().over(same.orderBy("ord")) - 1).alias("position"),
-                    F.count("*").over(same).alias("total"),
-                ).alias("context")
-            ]
-            if detailed
-            else []
-        ),
-    )
-    return named.join(where, ["doc_id", "ord"], "left")
+    told = named.filter("ord is not null").select("doc_id", "ord").distinct()
+    numbers = e.select("doc_id", "ord", (F.row_number().over(same.orderBy("ord")) - 1).alias("position"), F.count("*").over(same).alias("total"))
+    chosen = with_text(e.drop("text", "page_text", "own_text").join(told, ["doc_id", "ord"]), e).join(numbers, ["doc_id", "ord"])
+    context = F.struct(F.col("tag").alias("element_name"), F.col("attrs").alias("attributes"), F.col("text").alias("text_content"), F.col("snippet").alias("html_snippet"), "position", "total")
+    return named.join(place, ["doc_id", "ord"], "left").join(chosen.select("doc_id", "ord", context.alias("context")), ["doc_id", "ord"], "left")
 
 
 def numbered(findings: DataFrame) -> DataFrame:
@@ -122,6 +111,24 @@ def remediation_summary(results: DataFrame) -> DataFrame:
     )
 
 
+def summary_cascade(issues: DataFrame, reports: DataFrame, files: DataFrame) -> DataFrame:
+    """Per job of issues (job_id, status): issues_processed, remediated, failed. What a report (job_id,
+    processed, remediated, failed; one row per job) says of the processed counts before the issues if
+    above 0, and the sums of its files (job_id, processed, remediated, failed) before both if any was
+    processed; remediated and failed that are 0 are then taken from the report, if it tells them."""
+    own = issues.groupBy("job_id").agg(F.count("*").alias("n"), F.count_if(F.col("status") == "remediated").alias("fixed"), F.count_if(~F.coalesce(F.col("status") == "remediated", F.lit(False))).alias("lost"))
+    of_files = files.groupBy("job_id").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(f"file_{c}") for c in ("processed", "remediated", "failed")])
+    rows = own.join(reports.select("job_id", *[F.col(c).alias(f"told_{c}") for c in ("processed", "remediated", "failed")]), "job_id", "left").join(of_files, "job_id", "left")
+    by_file = F.coalesce(F.col("file_processed") > 0, F.lit(False))
+    processed = F.when(by_file, F.col("file_processed")).when(F.col("told_processed") > 0, F.col("told_processed")).otherwise(F.col("n"))
+
+    def told(name: str, counted: str) -> Column:
+        first = F.when(by_file, F.col(f"file_{name}")).otherwise(F.col(counted))
+        return F.when(first == 0, F.coalesce(f"told_{name}", F.lit(0))).otherwise(first).cast("long").alias(name)
+
+    return rows.select("job_id", processed.cast("long").alias("issues_processed"), told("remediated", "fixed"), told("failed", "lost"))
+
+
 def file_rollup(files: DataFrame) -> DataFrame:
     """Per job of (job_id, ok, issues): files processed, succeeded and failed, and their findings."""
     return files.groupBy("job_id").agg(F.count("*").alias("processed"), F.count_if("ok").alias("succeeded"), F.count_if(~F.col("ok")).alias("failed"), F.coalesce(F.sum(F.when(F.col("ok"), F.col("issues"))), F.lit(0)).alias("issues"))
@@ -167,9 +174,12 @@ def types_by(kinds: DataFrame, wcag: str | None = None, severity: str | None = N
 
 
 def duplicate_blocks(blocks: DataFrame) -> DataFrame:
-    """Which of blocks (doc_id, ord, tag, text) repeat an earlier one of the same document: by tag and
-    stripped text, digested where long."""
-    text = F.regexp_replace("text", r"^\s+|\s+$", "")
-    sign = F.concat("tag", F.lit(":"), F.when(F.length(text) > 100, F.md5(text)).otherwise(text))
+    """Which of blocks (doc_id, ord, tag, and text, or of the element table text_length and text_digest)
+    repeat an earlier one of the same document: by tag and whole stripped text, digested where long."""
+    if "text_digest" in blocks.columns:
+        sign, has_text = F.concat_ws(":", "tag", "text_length", "text_digest"), F.col("text_length") > 0
+    else:
+        text = F.regexp_replace("text", r"^\s+|\s+$", "")
+        sign, has_text = F.concat("tag", F.lit(":"), F.when(F.length(text) > 100, F.md5(text)).otherwise(text)), text != ""
     no = F.row_number().over(Window.partitionBy("doc_id", sign).orderBy("ord"))
-    return blocks.filter(text != "").select("doc_id", "ord", "tag", (no > 1).alias("is_duplicate"))
+    return blocks.filter(has_text).select("doc_id", "ord", "tag", (no > 1).alias("is_duplicate"))

@@ -89,12 +89,28 @@ def rewritten(pages: DataFrame, mapping: DataFrame) -> DataFrame:
 
 
 def figure_sources(figures: DataFrame, images: DataFrame) -> DataFrame:
-    """doc_id, element_id, expected: for the images (doc_id, element_id, src) of layout figures
-    (doc_id, id, type, sub_type, crop_images) the file that should be their source, where it is not."""
+    """doc_id, element_id, expected: for the images (doc_id, element_id, src, and if it is told, html) of
+    layout figures (doc_id, id, type, sub_type, crop_images, and html) the file that should be their
+    source, where it is not. A figure whose id no image has is found by its first element's markup,
+    identical but for what stands between the elements in it."""
     wanted = figures.filter("type = 'FIGURE' and sub_type in ('IMAGE', 'DIAGRAM') and size(crop_images) > 0")
     stem = F.regexp_replace(base_name(F.col("crop_images")[0]), r"\.[^.]*$", "")
-    expected = wanted.select("doc_id", F.col("id").alias("element_id"), F.concat(stem, F.lit(".png")).alias("expected"))
-    return images.join(expected, ["doc_id", "element_id"]).filter(base_name(F.col("src")) != F.col("expected")).select("doc_id", "element_id", "expected")
+    markup = [same_markup(F.col("html")).alias("markup")] if "html" in figures.columns else []
+    expected = wanted.select("doc_id", F.col("id").alias("element_id"), F.concat(stem, F.lit(".png")).alias("expected"), *markup)
+    found = images.join(expected.drop("markup"), ["doc_id", "element_id"])
+    if markup and "html" in images.columns:
+        lost = expected.join(images.select("doc_id", "element_id"), ["doc_id", "element_id"], "left_anti").filter("markup <> ''")
+        alike = images.drop("element_id").withColumn("markup", same_markup(F.col("html"))).join(lost, ["doc_id", "markup"])
+        found = found.unionByName(alike.select(*found.columns))
+    return found.filter(base_name(F.col("src")) != F.col("expected")).select("doc_id", "element_id", "expected")
+
+
+def same_markup(html: Column) -> Column:
+    """Markup in a form in which quotes, the case of tag names, and white space in and between tags make
+    no difference."""
+    bare = F.regexp_replace(F.trim(html), r"\s+", " ")
+    bare = F.regexp_replace(F.regexp_replace(bare, r"> <", "><"), r"\s*/?>", ">")
+    return F.replace(bare, F.lit("'"), F.lit('"'))
 
 
 def copied_pages(copies: DataFrame) -> DataFrame:

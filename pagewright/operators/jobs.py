@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from pagewright.functions.text import payload_lines
 
 CHUNK_PAGES = 200
 
 # Stages and statuses of a job.
-STAGES = ("pdf2html", "audit", "remediate", "report")
+STAGES = ("PDF_TO_HTML", "AUDIT", "REMEDIATION", "COMPLETE")
 STATES = ("PENDING", "PROCESSING", "COMPLETED", "FAILED")
 
 
@@ -42,6 +43,16 @@ def latest_status(log: DataFrame, key: str = "file", at: str = "ts", tie: str =
     return log.groupBy(key).agg(F.max_by("status", F.struct(at, tie)).alias("status"))
 
 
+# Fixed value: how a log line names its file and status.
+LOG_LINE = r"File: (.*?), Status: (.*)"
+
+
+def parsed_log(lines: DataFrame, column: str = "message") -> DataFrame:
+    """lines with file and status of messages that have them; others are left out."""
+    rows = lines.filter(F.col(column).rlike(LOG_LINE))
+    return rows.withColumns({"file": F.trim(F.regexp_extract(column, LOG_LINE, 1)), "status": F.trim(F.regexp_extract(column, LOG_LINE, 2))})
+
+
 def job_record(log: DataFrame) -> DataFrame:
     """Per job: current stage and status, when it began and changed, and its history in order."""
     step = F.struct("ts", "event_id", "stage", "status")
@@ -155,11 +166,30 @@ def fix_status(elements: DataFrame, history: DataFrame) -> DataFrame:
     return rows.agg(F.count("*").alias("total"), F.count("is_fixed").alias("fixed")).withColumn("remaining", F.col("total") - F.col("fixed"))
 
 
-def undo(history: DataFrame) -> DataFrame:
-    """Rows to append that undo each element's last change that stands: doc_id, element_id,
-    change_no, undone, html (what was there before)."""
-    last = history.groupBy("doc_id", "element_id").agg(F.max("change_no").alias("n"), F.max_by(F.struct("undone", "before"), "change_no").alias("c"))
-    return last.filter("not c.undone").select("doc_id", "element_id", (F.col("n") + 1).alias("change_no"), F.lit(True).alias("undone"), F.col("c.before").alias("html"))
+def standing(history: DataFrame) -> DataFrame:
+    """The fixes of the history (doc_id, element_id, change_no, undone, before) that stand, each with
+    place: 1 for the one that the next undo takes back.
+
+    Fixes and undos match as last in, first out: how many fixes stand after a change is a running sum,
+    which undos without a fix to take back do not lower below zero; a fix stands if that number never
+    falls below its own again."""
+    element = Window.partitionBy("doc_id", "element_id").orderBy("change_no")
+    so_far = element.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = history.withColumn("sum", F.sum(F.when(F.col("undone"), -1).otherwise(1)).over(so_far))
+    rows = rows.withColumn("depth", F.col("sum") - F.least(F.min("sum").over(so_far), F.lit(0)))
+    later = F.min("depth").over(element.rowsBetween(1, Window.unboundedFollowing))
+    kept = rows.withColumn("later", later).filter(~F.col("undone") & (F.col("later").isNull() | (F.col("later") >= F.col("depth"))))
+    top = F.max("depth").over(Window.partitionBy("doc_id", "element_id"))
+    return kept.withColumn("place", (top - F.col("depth") + 1).cast("int")).drop("sum", "depth", "later")
+
+
+def undo(history: DataFrame, times: int = 1) -> DataFrame:
+    """Rows to append that undo each element's last changes that stand, as many as times: doc_id,
+    element_id, change_no, undone, html (what was there before that change). The last of them has the
+    text before the times-th last change."""
+    last = history.groupBy("doc_id", "element_id").agg(F.max("change_no").alias("n"))
+    back = standing(history).filter(F.col("place") <= times).join(last, ["doc_id", "element_id"])
+    return back.select("doc_id", "element_id", (F.col("n") + F.col("place")).alias("change_no"), F.lit(True).alias("undone"), F.col("before").alias("html"))
 
 
 def ambiguous_glyphs(pairs: DataFrame) -> DataFrame:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from pagewright.sources.tables import written
+
 # The layout extractor's result, for from_json.
 LAYOUT = (
     "struct<pages:array<struct<id:string,page_index:int,representation:struct<html:string>>>,"
@@ -21,6 +22,12 @@ def parse_layout(texts: DataFrame, column: str = "value") -> DataFrame:
     return parsed.select("doc_id", F.posexplode("r.elements").alias("list_no", "x")).select("doc_id", "list_no", "x.*")
 
 
+def layout_pages(texts: DataFrame, column: str = "value") -> DataFrame:
+    """doc_id and the pages of each layout result: list_no, id, page_index and html."""
+    parsed = texts.select("doc_id", F.from_json(column, LAYOUT).alias("r"))
+    return parsed.select("doc_id", F.posexplode("r.pages").alias("list_no", "x")).select("doc_id", "list_no", "x.id", "x.page_index", F.col("x.representation.html").alias("html"))
+
+
 def reading_order(elements: DataFrame) -> DataFrame:
     """elements (doc_id, id, page_indices, top, left) numbered by first page, top and left; what lacks counts as 0."""
     page = F.coalesce(F.array_min("page_indices"), F.lit(0))
@@ -74,27 +81,35 @@ def captions(elements: DataFrame) -> DataFrame:
 
 
 def issue_elements(issues: DataFrame, elements: DataFrame) -> DataFrame:
-    """issue_id, element_id, way: the layout element of issues (issue_id, doc_id, page, path, context,
-    type) among elements (doc_id, page, id, list_no, html).
+    """doc_id, issue_id, element_id, way: the layout element of issues (doc_id, issue_id, page, path,
+    context, type) among elements (doc_id, page, id, list_no, html). Issue ids are of a document.
 
     By the place among the page's images that the path tells (0), else by the image source or alt
     text of the context inside an element's markup (1), else the page's only element (2), else, for
     long alt texts, an element with the context in it (3), the first image with alt text (4), or the
-    first image (5). Elements meet issues by page alone.
+    first image (5). What a page says by itself, its only element and its first images, is one row per
+    page; markup meets only the issues of its page that no place has settled.
     """
-    page = Window.partitionBy("doc_id", "page")
+    key = ["doc_id", "issue_id"]
+    page = Window.partitionBy("doc_id", "page").orderBy("list_no")
     is_image = F.col("html").startswith("<img")
-    places = elements.withColumns({"n_on_page": F.count("*").over(page), "image": is_image, "image_no": F.sum(is_image.cast("int")).over(page.orderBy("list_no"))})
-    nth = F.regexp_extract(F.coalesce("path", F.lit("")), r":nth-of-type\((\d+)\)$", 1).try_cast("int")
+    images = elements.filter(is_image).select("doc_id", "page", "id", F.row_number().over(page).alias("nth"))
     context = F.coalesce("context", F.lit(""))
     src, alt = (F.regexp_extract(context, rf"{k}=[\"'](.*?)[\"']", 1) for k in ("src", "alt"))
-    wanted = issues.withColumns({"nth": nth, "src": src, "alt": alt, "told": context})
-    both = wanted.join(places, ["doc_id", "page"])
-    long = F.col("type") == "long-alt-text"
-    way = F.when(F.col("image") & (F.col("image_no") == F.col("nth")), 0).when(((F.col("src") != "") & F.col("html").contains(F.col("src"))) | ((F.col("alt") != "") & F.col("html").contains(F.col("alt"))), 1)
-    way = way.when(F.col("n_on_page") == 1, 2).when(long & (F.col("told") != "") & F.col("html").contains(F.col("told")), 3).when(long & F.col("image") & F.col("html").contains("alt="), 4).when(long & F.col("image"), 5)
-    best = both.withColumn("way", way).filter("way is not null").groupBy("issue_id").agg(F.min_by(F.struct("id", "way"), F.struct("way", "list_no")).alias("b"))
-    return issues.select("issue_id").join(best, "issue_id", "left").select("issue_id", F.col("b.id").alias("element_id"), F.col("b.way").alias("way"))
+    nth = F.regexp_extract(F.coalesce("path", F.lit("")), r":nth-of-type\((\d+)\)$", 1).try_cast("int")
+    wanted = issues.select(*key, "page", nth.alias("nth"), src.alias("src"), alt.alias("alt"), context.alias("told"), (F.col("type") == "long-alt-text").alias("long"))
+    placed = wanted.join(images, ["doc_id", "page", "nth"], "left").withColumnRenamed("id", "by_place")
+    open_ = placed.filter("by_place is null and (src <> '' or alt <> '' or (long and told <> ''))")
+    both = open_.select(*key, "page", "src", "alt", "told", "long").join(elements.select("doc_id", "page", "id", "list_no", "html"), ["doc_id", "page"])
+    named = ((F.col("src") != "") & F.col("html").contains(F.col("src"))) | ((F.col("alt") != "") & F.col("html").contains(F.col("alt")))
+    way = F.when(named, 1).when(F.col("long") & (F.col("told") != "") & F.col("html").contains(F.col("told")), 3)
+    by_text = both.withColumn("way", way).filter("way is not null").groupBy(*key).agg(F.min_by(F.struct("id", "way"), F.struct("way", "list_no")).alias("text"))
+    first = [F.min_by(F.when(where, F.col("id")), F.when(where, F.col("list_no"))).alias(n) for n, where in (("with_alt", is_image & F.col("html").contains("alt=")), ("image", is_image))]
+    pages = elements.groupBy("doc_id", "page").agg(F.when(F.count("*") == 1, F.first("id")).alias("only"), *first)
+    rows = placed.join(by_text, key, "left").join(pages, ["doc_id", "page"], "left")
+    told = [(F.col("by_place"), 0), (F.when(F.col("text.way") == 1, F.col("text.id")), 1), (F.col("only"), 2), (F.col("text.id"), 3), (F.when(F.col("long"), F.col("with_alt")), 4), (F.when(F.col("long"), F.col("image")), 5)]
+    found = F.coalesce(*[F.when(c.isNotNull(), F.struct(c.alias("id"), F.lit(w).alias("way"))) for c, w in told])
+    return rows.select(*key, found["id"].alias("element_id"), found["way"].alias("way"))
 
 
 def table_of_contents(elements: DataFrame) -> DataFrame:
@@ -125,15 +140,20 @@ def box_candidates(images: DataFrame, boxes: DataFrame, tolerance: int = TOLERAN
 
 
 def one_to_one(candidates: DataFrame) -> DataFrame:
-    """Greedy by image, then box order within each file: the first free box wins."""
-
-    def greedy(pairs: pd.DataFrame) -> pd.DataFrame:
-        taken_images, taken_boxes, rows = set(), set(), []
-        for r in pairs.sort_values(["image_no", "box_no"]).itertuples(index=False):
-            if r.image_id not in taken_images and r.box_id not in taken_boxes:
-                taken_images.add(r.image_id)
-                taken_boxes.add(r.box_id)
-                rows.append((r.file, r.image_id, r.box_id))
-        return pd.DataFrame(rows, columns=["file", "image_id", "box_id"])
-
-    return candidates.groupBy("file").applyInPandas(greedy, "file long, image_id long, box_id long")
+    """Greedy by image, then box order within each file: the first free box wins.
+
+    In rounds: a pair that comes first among those of its image and of its box is one that the greedy
+    order takes, whatever else is there; it goes with all pairs of its image and box, and the next
+    round looks at what is left. So a file of any size is many groups, an image's or a box's pairs
+    each, and what remains falls fast; a chain of boxes, each near the next, takes a round per box.
+    Pairs are distinct, numbers (image_no, box_no) are unique in a file."""
+    left = written(candidates.select("file", "image_id", "image_no", "box_id", "box_no").distinct(), "pairs")
+    taken = None
+    while not left.isEmpty():
+        order = F.struct("image_no", "box_no", "image_id", "box_id")
+        first = [F.min(order).over(Window.partitionBy("file", c)).alias(f"{c}_first") for c in ("image_id", "box_id")]
+        won = written(left.select("*", order.alias("own"), *first).filter("own = image_id_first and own = box_id_first").select("file", "image_id", "box_id"), "pairs-won")
+        rest = left.join(won.select("file", "image_id"), ["file", "image_id"], "left_anti").join(won.select("file", "box_id"), ["file", "box_id"], "left_anti")
+        taken = won if taken is None else taken.unionByName(won)
+        left = written(rest.select(*left.columns), "pairs")
+    return taken if taken is not None else left.select("file", "image_id", "box_id")

@@ -7,8 +7,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from .rules import REGISTRY, _landmark, attr, found, headings_of, skip_link, union
+from .rules import REGISTRY, _landmark, _long, attr, found, headings_of, skip_link, union
+from .structure import first_inside, innermost, nearest, sums_inside, with_text
 
 # Link texts that say nothing, in the stricter set.
 STRICT_LINKS = ("click here", "click", "here", "this link", "more", "read more", "details", "learn more", "link", "this", "go", "go to")
@@ -43,21 +45,20 @@ def strict_landmarks(docs: DataFrame, e: DataFrame) -> DataFrame:
 
 def strict_tables(docs: DataFrame, e: DataFrame) -> DataFrame:
     """Headers, scopes and a caption of every table; cells' headers where there are many."""
-    parts = e.filter(F.col("tag").isin("th", "td", "tr", "caption")).select("doc_id", "ord", "tag", attr("scope").alias("scope"), attr("headers").alias("headers"), F.explode("tables").alias("table"))
+    parts = e.filter(F.col("tag").isin("th", "td", "tr", "caption")).select("doc_id", "ord", "tag", "attrs")
 
     def n(tag: str) -> Column:
-        return F.count_if(F.col("tag") == tag)
+        return (F.col("tag") == tag).cast("int")
 
-    counts = parts.groupBy("doc_id", F.col("table").alias("ord")).agg(
-        n("th").alias("ths"), n("tr").alias("trs"), n("td").alias("tds"), n("caption").alias("captions"), F.count_if((F.col("tag") == "td") & F.col("headers").isNotNull()).alias("told")
+    tables = sums_inside(
+        e.filter("tag = 'table'").select("doc_id", "ord", "end_ord"), parts, ths=n("th"), trs=n("tr"), tds=n("td"), captions=n("caption"), told=((F.col("tag") == "td") & attr("headers").isNotNull()).cast("int")
     )
-    tables = e.filter("tag = 'table'").select("doc_id", "ord").join(counts, ["doc_id", "ord"], "left").fillna(0, ["ths", "trs", "tds", "captions", "told"])
-    scopes = parts.filter("tag = 'th' and scope is null").select("doc_id", "ord", "table")
+    scopes = e.filter("tag = 'th'").filter(attr("scope").isNull()).select("doc_id", "ord", F.explode("tables").alias("table"))
     return union(
-        found(tables.filter("ths = 0"), "missing-table-headers", "1.3.1", "critical", emit=F.col("ord") * 10_000),
-        found(scopes, "missing-header-scope", "1.3.1", "major", emit=F.col("table") * 10_000 + F.col("ord")),
-        found(tables.filter("captions = 0"), "missing-table-caption", "1.3.1", "minor", emit=F.col("ord") * 10_000 + 9_998),
-        found(tables.filter("trs > 2 and ths > 2 and tds > 0 and told = 0"), "complex-table-no-ids", "1.3.1", "critical", emit=F.col("ord") * 10_000 + 9_999),
+        found(tables.filter("ths = 0"), "missing-table-headers", "1.3.1", "critical", emit=_long("ord") * 10_000),
+        found(scopes, "missing-header-scope", "1.3.1", "major", emit=_long("table") * 10_000 + F.col("ord")),
+        found(tables.filter("captions = 0"), "missing-table-caption", "1.3.1", "minor", emit=_long("ord") * 10_000 + 9_998),
+        found(tables.filter("trs > 2 and ths > 2 and tds > 0 and told = 0"), "complex-table-no-ids", "1.3.1", "critical", emit=_long("ord") * 10_000 + 9_999),
     )
 
 
@@ -72,19 +73,14 @@ def strict_forms(docs: DataFrame, e: DataFrame) -> DataFrame:
         own = own | F.coalesce(F.trim(attr(name)) != "", F.lit(False))
     bare = c.filter(~own).join(by_for, ["doc_id", "ord"], "left_anti")
     return union(
-        found(bare, "missing-form-label", "3.3.2", "critical", emit=F.col("ord") * 2),
-        found(c.filter(attr("required").isNotNull() & attr("aria-required").isNull()), "missing-aria-required", "3.3.2", "minor", emit=F.col("ord") * 2 + 1),
+        found(bare, "missing-form-label", "3.3.2", "critical", emit=_long("ord") * 2),
+        found(c.filter(attr("required").isNotNull() & attr("aria-required").isNull()), "missing-aria-required", "3.3.2", "minor", emit=_long("ord") * 2 + 1),
     )
 
 
-def _first_image(e: DataFrame) -> DataFrame:
-    images = e.filter("tag = 'img'").select("doc_id", F.col("ord").alias("i"), attr("alt").alias("alt"), F.explode("links").alias("ord"))
-    return images.groupBy("doc_id", "ord").agg(F.min_by(F.struct("alt"), "i").alias("img"))
-
-
 def strict_links(docs: DataFrame, e: DataFrame) -> DataFrame:
     """Links without content, with a text that says nothing, or with an image alone that has no alt text."""
-    links = e.filter("tag = 'a'").join(_first_image(e), ["doc_id", "ord"], "left")
+    links = first_inside(e.filter("tag = 'a'").select("doc_id", "ord", "end_ord", "text"), e.filter("tag = 'img'").select("doc_id", "ord", attr("alt").alias("alt")), ["alt"], "img")
     text = F.trim("text")
     blank_image = F.col("img").isNotNull() & (F.trim(F.coalesce("img.alt", F.lit(""))) == "")
     kind = F.when((text == "") & F.col("img").isNull(), "empty-link").when((text == "") & blank_image, "link-image-missing-alt").when(F.lower(text).isin(*STRICT_LINKS), "generic-link-text")
@@ -106,15 +102,18 @@ def is_decorative() -> Column:
 def images_with_context(e: DataFrame, id_attr: str = "data-element-id") -> DataFrame:
     """Images with figure (the nearest around them), captioned, and complex: such as need a
     description of their own. id_attr names the attribute with the extractor's element id."""
-    captions = e.filter("tag = 'figcaption'").select("doc_id", F.explode("figures").alias("figure")).distinct().withColumn("captioned", F.lit(True))
-    images = e.filter("tag = 'img'").withColumn("figure", F.element_at(F.when(F.size("figures") > 0, F.col("figures")), -1)).join(captions, ["doc_id", "figure"], "left")
-    paragraphs = e.filter("tag = 'p'").select("doc_id", F.col("ord").alias("p"), F.col("text").alias("p_text"))
-    after = images.select("doc_id", "ord").join(paragraphs, "doc_id").filter("p > ord").groupBy("doc_id", "ord").agg(F.min_by("p_text", "p").alias("next_p"))
+    figures = first_inside(e.filter("tag = 'figure'").select("doc_id", "ord", "end_ord"), e.filter("tag = 'figcaption'").select("doc_id", "ord"), ["ord"], "caption")
+    images = innermost(e.filter("tag = 'img'"), figures, ["ord", "caption"], "around")
+    images = images.withColumns({"figure": F.col("around.ord"), "captioned": F.when(F.col("around.caption").isNotNull(), True)}).drop("around")
+    # of paragraphs, only those after an image are read
+    images = nearest(images, e.filter("tag = 'p'"), ["ord", "text_in", "text_at", "text_length"], "p", after=True)
+    after = with_text(images.filter("p is not null").select("doc_id", "p.*").distinct(), e, "next_p").select("doc_id", F.col("ord").alias("next_ord"), "next_p")
+    images = images.withColumn("next_ord", F.col("p.ord")).drop("p").join(after, ["doc_id", "next_ord"], "left").drop("next_ord")
     width, height = _dimensions()
     told = (F.coalesce(attr(id_attr), F.lit("")) != "") & F.coalesce(F.col("next_p").rlike(r"Figure\s+\d+"), F.lit(False))
     named = F.coalesce(F.lower(attr("src")).rlike("|".join(COMPLEX_NAMES)), F.lit(False))
     big = F.coalesce((width > LARGE) & (height > LARGE), F.lit(False))
-    return images.join(after, ["doc_id", "ord"], "left").withColumn("complex", told | named | big)
+    return images.withColumn("complex", told | named | big)
 
 
 def image_texts(docs: DataFrame, e: DataFrame, made_attr: str = "data-generated-alt", id_attr: str = "data-element-id") -> DataFrame:
@@ -129,12 +128,12 @@ def image_texts(docs: DataFrame, e: DataFrame, made_attr: str = "data-generated-
     present = first == "alt-text-present"
 
     def judged(where: Column, status: str, kind: Column | str, severity: Column | str) -> DataFrame:
-        return found(images.filter(where), kind, "1.1.1", severity, emit=F.col("ord") * 3).withColumn("status", F.lit(status))
+        return found(images.filter(where), kind, "1.1.1", severity, emit=_long("ord") * 3).withColumn("status", F.lit(status))
 
     texts = (judged(~present, "needs_remediation", first, severity), judged(present & made, "auto_remediated", first, "info"), judged(present & ~made, "remediated", first, "info"))
-    again = found(images.filter(made & plain), "generic-alt-text", "1.1.1", "major", emit=F.col("ord") * 3 + 1)
-    bare = found(images.filter("figure is null and complex"), "improper-figure-structure", "1.1.1", "major", emit=F.col("ord") * 3 + 2)
-    uncaptioned = found(images.filter("figure is not null and captioned is null"), "missing-figcaption", "1.1.1", "major", F.col("figure"), F.col("ord") * 3 + 2)
+    again = found(images.filter(made & plain), "generic-alt-text", "1.1.1", "major", emit=_long("ord") * 3 + 1)
+    bare = found(images.filter("figure is null and complex"), "improper-figure-structure", "1.1.1", "major", emit=_long("ord") * 3 + 2)
+    uncaptioned = found(images.filter("figure is not null and captioned is null"), "missing-figcaption", "1.1.1", "major", F.col("figure"), _long("ord") * 3 + 2)
     return union(*texts, again, bare, uncaptioned)
 
 
@@ -154,23 +153,24 @@ def image_context(e: DataFrame) -> DataFrame:
     """For each image of (doc_id, ord) what stands around it, as lines: caption, the texts of the
     elements before and after it in its parent, the nearest heading before it, the paragraph around
     it, its alt text and its aria attributes."""
-    images = e.filter("tag = 'img'").select("doc_id", "ord", "parent_ord", "attrs", "figures")
-    caption = e.filter("tag = 'figcaption'").select("doc_id", F.col("ord").alias("c"), F.col("text").alias("caption"), F.explode("figures").alias("figure"))
-    caption = caption.groupBy("doc_id", "figure").agg(F.min_by("caption", "c").alias("caption"))
-    rows = images.withColumn("figure", F.element_at(F.when(F.size("figures") > 0, F.col("figures")), -1)).join(caption, ["doc_id", "figure"], "left")
-    beside = e.filter("tag <> 'img'").select("doc_id", "parent_ord", F.col("ord").alias("o"), F.col("text").alias("t"))
-    near = rows.select("doc_id", "ord", "parent_ord").join(beside, ["doc_id", "parent_ord"])
-
-    def side(where: Column, name: str) -> Column:
-        parts = F.array_sort(F.collect_list(F.when(where & (F.col("t") != ""), F.struct("o", "t"))))
-        return F.substring(F.array_join(F.transform(parts, lambda x: x["t"]), ""), 1, 200).alias(name)
-
-    near = near.groupBy("doc_id", "ord").agg(side(F.col("o") < F.col("ord"), "before"), side(F.col("o") > F.col("ord"), "after"))
-    heads = headings_of(e).select("doc_id", F.col("ord").alias("h"), F.col("text").alias("heading"))
-    heads = rows.select("doc_id", "ord").join(heads, "doc_id").filter("h < ord").groupBy("doc_id", "ord").agg(F.max_by("heading", "h").alias("heading"))
-    around = e.filter("tag = 'p'").select("doc_id", F.col("ord").alias("p"), F.col("end_ord").alias("p_end"), F.col("text").alias("paragraph"))
-    around = rows.select("doc_id", "ord").join(around, "doc_id").filter("p < ord and ord <= p_end").groupBy("doc_id", "ord").agg(F.max_by("paragraph", "p").alias("paragraph"))
-    rows = rows.join(near, ["doc_id", "ord"], "left").join(heads, ["doc_id", "ord"], "left").join(around, ["doc_id", "ord"], "left")
+    images = e.filter("tag = 'img'").select("doc_id", "ord", "parent_ord", "attrs")
+    captions = e.filter("tag = 'figcaption'").select("doc_id", "ord", "text")
+    figures = first_inside(e.filter("tag = 'figure'").select("doc_id", "ord", "end_ord"), captions, ["text"], "caption")
+    rows = innermost(images, figures, ["caption"], "figure").withColumn("caption", F.col("figure.caption.text")).drop("figure")
+    rows = nearest(rows, headings_of(e), ["text"], "head").withColumn("heading", F.col("head.text")).drop("head")
+    place = ["text_in", "text_at", "text_length"]
+    rows = innermost(rows, e.filter("tag = 'p'"), ["ord", *place], "p")
+    paragraphs = with_text(rows.filter("p is not null").select("doc_id", "p.*").distinct(), e, "paragraph").select("doc_id", F.col("ord").alias("p_ord"), "paragraph")
+    rows = rows.withColumn("p_ord", F.col("p.ord")).drop("p").join(paragraphs, ["doc_id", "p_ord"], "left")
+    # what stands beside is one text per parent, and a place in it for each image
+    parents = rows.select("doc_id", "parent_ord").distinct()
+    beside = with_text(e.filter("tag <> 'img'").select("doc_id", "parent_ord", "ord", *place).join(parents, ["doc_id", "parent_ord"]), e, "t")
+    whole = beside.groupBy("doc_id", "parent_ord").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "t"))), lambda x: x["t"]), "").alias("whole"))
+    both = rows.select("doc_id", "parent_ord", "ord", F.lit(0).alias("size"), F.lit(True).alias("image")).unionByName(beside.select("doc_id", "parent_ord", "ord", F.length("t").alias("size"), F.lit(False).alias("image")))
+    so_far = Window.partitionBy("doc_id", "parent_ord").orderBy("ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    places = both.withColumn("at", F.sum("size").over(so_far).cast("int")).filter("image").select("doc_id", "ord", "at")
+    rows = rows.join(places, ["doc_id", "ord"], "left").join(whole, ["doc_id", "parent_ord"], "left")
+    rows = rows.withColumns({"before": F.substring("whole", F.lit(1), F.least("at", F.lit(200))), "after": F.substring("whole", F.col("at") + 1, F.lit(200))})
 
     def line(name: str, value: Column) -> Column:
         return F.when(F.trim(F.coalesce(value, F.lit(""))) != "", F.concat(F.lit(f"{name}: "), F.trim(value)))

@@ -34,7 +34,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def queries() -> dict[str, Query]:
-    from . import more  # noqa: F401  registers its queries
+    from . import further, more  # noqa: F401  register their queries
 
     return dict(QUERIES)
 
@@ -48,18 +48,19 @@ def table(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-#: What the rules read of the element table.
-RULE_COLUMNS = [c for c in COLUMNS if c not in ("css_path", "snippet", "depth", "nth_of_type", "page_number")]
+#: What all rules, optional ones too, read of the element table.
+RULE_COLUMNS = [c for c in COLUMNS if c not in ("css_path", "snippet", "depth", "nth_of_type", "page_number", "text_digest")]
 
 
-def parsed(spark: SparkSession, d: str, detailed: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Document ids and the element table, which is written once since every rule reads it."""
+def parsed(spark: SparkSession, d: str, detailed: bool = False, checks: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Document ids and the element table, which is written once since every rule reads it; of its
+    columns those that the checks read, or with detailed all."""
     pages = table(spark, d, "pages")
-    return pages.select(F.col("page_id").alias("doc_id")), written(elements(pages, columns=None if detailed else RULE_COLUMNS), "elements")
+    return pages.select(F.col("page_id").alias("doc_id")), written(elements(pages, columns=None if detailed else rules.columns_of(checks)), "elements")
 
 
 def audited(spark: SparkSession, d: str, *checks: str) -> DataFrame:
-    docs, e = parsed(spark, d)
+    docs, e = parsed(spark, d, checks=list(checks) or None)
     return rules.audit(docs, e, list(checks) or None)
 
 
@@ -650,27 +651,32 @@ def report_csv(spark: SparkSession, d: str) -> DataFrame:
     return rows.groupBy("doc_id", "type", "severity", "status", "wcag").agg(F.count("*").alias("n"), F.count_distinct("issue_id").alias("ids"))
 
 
-@query("report_json")
-def report_json(spark: SparkSession, d: str) -> DataFrame:
-    docs, e = parsed(spark, d, detailed=True)
-    return files.json_rows(fs.numbered(fs.enriched(rules.audit(docs, e), e)))
+NO_FIX = "('generic-heading', 'duplicate-link-text-different-url', 'form-control-missing-name')"
 
 
-@query("report_text")
-def report_text(spark: SparkSession, d: str) -> DataFrame:
-    return files.text_rows(audited(spark, d))
+def _fixed(spark: SparkSession, d: str) -> DataFrame:
+    docs, e = parsed(spark, d)
+    return remediate.remediated(table(spark, d, "pages"), rules.audit(docs, e))
 
 
-@query("remediate_pages")
+@query("remediate_pages", f"""{F_SQL}, x AS (SELECT doc_id, CASE WHEN type IN {NO_FIX} THEN 'skipped' ELSE 'remediated' END AS outcome, type FROM f WHERE status = 'needs_remediation')
+SELECT page_id AS doc_id, count(type) AS processed, count(*) FILTER (outcome = 'remediated') AS remediated, CAST(0 AS BIGINT) AS failed, count(*) FILTER (outcome = 'skipped') AS skipped,
+  coalesce(string_agg(DISTINCT type, ',' ORDER BY type) FILTER (outcome <> 'remediated'), '') AS failed_types FROM pages LEFT JOIN x ON x.doc_id = page_id GROUP BY page_id""")
 def remediate_pages(spark: SparkSession, d: str) -> DataFrame:
-    docs, e = parsed(spark, d)
-    return remediate.remediated(table(spark, d, "pages"), rules.audit(docs, e))
+    rows = remediate.outcome_summary(_fixed(spark, d)).drop("changes_applied")
+    return rows.withColumn("failed_types", F.array_join("failed_types", ","))
+
+
+@query("fix_outcomes", f"{F_SQL} SELECT doc_id, type, CASE WHEN type IN {NO_FIX} THEN 'skipped' ELSE 'remediated' END AS outcome, count(*) AS n FROM f WHERE status = 'needs_remediation' GROUP BY ALL")
+def fix_outcomes(spark: SparkSession, d: str) -> DataFrame:
+    """What became of each finding, by its issue id."""
+    return remediate.outcome_rows(_fixed(spark, d)).groupBy("doc_id", "type", "outcome").agg(F.count_distinct("issue_id").alias("n"))
 
 
 @query("remediated_findings", f"{F_SQL} SELECT DISTINCT doc_id, type FROM f WHERE status = 'needs_remediation' AND type NOT IN ('no-headings', 'no-h1', 'skipped-heading-level', 'empty-heading', 'missing-main-landmark', 'missing-navigation-landmark', 'missing-header-landmark', 'missing-footer-landmark', 'missing-skip-link', 'generic-link-text', 'empty-link-text', 'url-as-link-text')")
 def remediated_findings(spark: SparkSession, d: str) -> DataFrame:
     """What an audit still finds after the fixes."""
-    after = written(remediate_pages(spark, d).select("doc_id", "html"), "fixed")
+    after = written(_fixed(spark, d).select("doc_id", "html"), "fixed")
     e = written(elements(after, "doc_id", columns=RULE_COLUMNS), "elements")
     return rules.audit(after.select("doc_id"), e).filter("status = 'needs_remediation'").select("doc_id", "type").distinct()
 

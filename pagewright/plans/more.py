@@ -272,18 +272,19 @@ def parsed_layout(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("issue_elements", """WITH l AS (SELECT l_orderkey AS o, l_linenumber AS n, min(l_partkey) AS p FROM lineitem GROUP BY ALL), c AS (SELECT o, count(*) AS k, min(n) AS f FROM l GROUP BY o)
-SELECT l.o * 10 + l.n AS issue_id, CASE p % 4 WHEN 0 THEN l.n WHEN 1 THEN l.n WHEN 2 THEN CASE WHEN k = 1 THEN l.n END ELSE CASE WHEN k = 1 THEN l.n ELSE f END END AS element_id,
+SELECT l.o AS doc_id, 'issue-' || l.n AS issue_id, CASE p % 4 WHEN 0 THEN l.n WHEN 1 THEN l.n WHEN 2 THEN CASE WHEN k = 1 THEN l.n END ELSE CASE WHEN k = 1 THEN l.n ELSE f END END AS element_id,
   CAST(CASE p % 4 WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN CASE WHEN k = 1 THEN 2 END ELSE CASE WHEN k = 1 THEN 2 ELSE 4 END END AS INT) AS way FROM l JOIN c ON c.o = l.o""")
 def issue_elements(spark: SparkSession, d: str) -> DataFrame:
-    """Orders as pages, lines as images and as issues: told by place, by source, by nothing, as long alt texts."""
+    """Orders as documents of a page, lines as images and as issues, whose ids begin anew in each: told
+    by place, by source, by nothing, as long alt texts."""
     lines = table(spark, d, "lineitem").groupBy("l_orderkey", "l_linenumber").agg(F.min("l_partkey").alias("p"))
     n, way = F.col("l_linenumber"), F.col("p") % 4
     place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy(n)).cast("string")
     there = lines.select(
-        F.lit(1).alias("doc_id"), F.col("l_orderkey").alias("page"), n.alias("id"), n.alias("list_no"), F.concat(F.lit("<img src='s"), n.cast("string"), F.lit(".png' alt='words'>")).alias("html")
+        F.col("l_orderkey").alias("doc_id"), F.lit(1).alias("page"), n.alias("id"), n.alias("list_no"), F.concat(F.lit("<img src='s"), n.cast("string"), F.lit(".png' alt='words'>")).alias("html")
     )
     issues = lines.select(
-        (F.col("l_orderkey") * 10 + n).alias("issue_id"), F.lit(1).alias("doc_id"), F.col("l_orderkey").alias("page"),
+        F.concat(F.lit("issue-"), n.cast("string")).alias("issue_id"), F.col("l_orderkey").alias("doc_id"), F.lit(1).alias("page"),
         F.when(way == 0, F.concat(F.lit("div > img:nth-of-type("), place, F.lit(")"))).alias("path"),
         F.when(way == 1, F.concat(F.lit('<img src="s'), n.cast("string"), F.lit('.png">'))).when(way == 3, "no such text").alias("context"), F.when(way == 3, "long-alt-text").otherwise("empty-alt-text").alias("type"),
     )
@@ -330,11 +331,34 @@ def fix_status(spark: SparkSession, d: str) -> DataFrame:
     return jobs.fix_status(parts, _history(spark, d))
 
 
-@query("undone_fixes", f"WITH {HISTORY} SELECT doc_id, element_id, n + 1 AS change_no, true AS undone, '<p>' || n AS html FROM l WHERE NOT undone")
+# each element's changes in turn, a list of those that stand being pushed to and popped from
+STACKS = """x AS (SELECT *, row_number() OVER (PARTITION BY doc_id, element_id ORDER BY change_no) AS k FROM h),
+r(doc_id, element_id, k, stack) AS (SELECT DISTINCT doc_id, element_id, CAST(0 AS BIGINT), CAST([] AS BIGINT[]) FROM x UNION ALL
+  SELECT x.doc_id, x.element_id, x.k, CASE WHEN NOT x.undone THEN list_append(stack, x.change_no) WHEN len(stack) > 0 THEN stack[:-2] ELSE stack END FROM r JOIN x ON x.doc_id = r.doc_id AND x.element_id = r.element_id AND x.k = r.k + 1),
+z AS (SELECT doc_id, element_id, arg_max(stack, k) AS stack FROM r GROUP BY ALL)"""
+
+
+def _undone(times: int) -> str:
+    """SQL of what as many undos as times append."""
+    return f"""WITH RECURSIVE {HISTORY}, {STACKS}
+SELECT z.doc_id, z.element_id, l.n + i AS change_no, true AS undone, '<p>' || stack[len(stack) - i + 1] AS html FROM z JOIN l ON l.doc_id = z.doc_id AND l.element_id = z.element_id, range(1, {times + 1}) t(i) WHERE i <= len(stack)"""
+
+
+@query("undone_fixes", _undone(1))
 def undone_fixes(spark: SparkSession, d: str) -> DataFrame:
     return jobs.undo(_history(spark, d))
 
 
+@query("undone_thrice", _undone(3))
+def undone_thrice(spark: SparkSession, d: str) -> DataFrame:
+    return jobs.undo(_history(spark, d), 3)
+
+
+@query("standing_fixes", f"WITH RECURSIVE {HISTORY}, {STACKS} SELECT doc_id, element_id, unnest(stack) AS change_no, CAST(len(stack) - generate_subscripts(stack, 1) + 1 AS INT) AS place FROM z")
+def standing_fixes(spark: SparkSession, d: str) -> DataFrame:
+    return jobs.standing(_history(spark, d)).select("doc_id", "element_id", "change_no", "place")
+
+
 @query("failed_reports", "SELECT conv_id AS doc_id, CASE WHEN conv_id % 5 = 0 THEN 0 ELSE count(*) END AS total_issues, CASE WHEN conv_id % 5 <> 0 THEN count(*) FILTER (role = 'user') END AS critical, CASE WHEN conv_id % 5 = 0 THEN 'unreadable' END AS error FROM conversations GROUP BY conv_id")
 def failed_reports(spark: SparkSession, d: str) -> DataFrame:
     turns = table(spark, d, "conversations").withColumnRenamed("conv_id", "doc_id")

@@ -68,11 +68,11 @@ def report_rows(findings: DataFrame, *also: str) -> DataFrame:
     return rows.select(*also, *[F.when(F.col(c).rlike(r"^[=+\-@\t\r]"), F.concat(F.lit("'"), F.col(c))).otherwise(F.col(c)).alias(c) for c in names])
 
 
-def remediation_rows(outcomes: DataFrame) -> DataFrame:
-    """The flat columns of a CSV report of fixes: one row for each kind of finding of a document
-    (doc_id, remediated, failed, skipped: arrays) and what became of it."""
-    told = [F.transform(c, lambda x, n=c: F.struct(x.alias("type"), F.lit(n).alias("outcome"))) for c in ("remediated", "failed", "skipped")]
-    return outcomes.select("doc_id", F.explode(F.concat(*told)).alias("x")).select("doc_id", "x.type", "x.outcome")
+def remediation_rows(fixes: DataFrame) -> DataFrame:
+    """The flat columns of a CSV report of fixes (doc_id, outcomes): one row for each finding and what
+    became of it; notes that a spreadsheet would run are quoted."""
+    note = F.when(F.col("note").rlike(r"^[=+\-@\t\r]"), F.concat(F.lit("'"), F.col("note"))).otherwise(F.col("note"))
+    return fixes.select("doc_id", F.inline("outcomes")).select("doc_id", "issue_id", "type", "outcome", note.alias("note"))
 
 
 def json_rows(findings: DataFrame) -> DataFrame:

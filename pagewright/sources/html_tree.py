@@ -20,12 +20,15 @@ COLUMNS: dict[str, tuple[str, pa.DataType]] = {
     "attrs": ("map<string,string>", pa.map_(pa.string(), pa.string())), "classes": ("array<string>", _STRINGS), "text": ("string", pa.string()), "string": ("string", pa.string()),
     "nth_of_type": ("int", pa.int32()), "css_path": ("string", pa.string()), "snippet": ("string", pa.string()), "bg_style": ("string", pa.string()), "page_number": ("int", pa.int32()),
     "in_label": ("int", pa.int32()), "in_fieldset": ("boolean", pa.bool_()), "tables": ("array<int>", _INTS), "forms": ("array<int>", _INTS), "figures": ("array<int>", _INTS), "links": ("array<int>", _INTS), "near": ("array<int>", _INTS),
+    "text_in": ("int", pa.int32()), "text_at": ("int", pa.int32()), "text_length": ("int", pa.int32()), "text_digest": ("string", pa.string()), "page_text": ("string", pa.string()), "own_text": ("string", pa.string()),
 }
 
-#: Tags whose whole text the rules read; of all others' texts, TEXT_START characters are kept, as
-#: each element's text holds those of the elements in it.
-WHOLE_TEXTS = frozenset("h1 h2 h3 h4 h5 h6 title a label legend caption figcaption".split())
-TEXT_START = 2000
+#: Tags whose text is a column of its own. Every element's text holds those of the elements in it, so
+#: that all others' are read from the page's buffer, where text_at and text_length say, which is kept
+#: once. text_digest stands for a text of any length.
+TEXT_TAGS = frozenset("h1 h2 h3 h4 h5 h6 title a label legend caption figcaption".split())
+# Fixed value: the largest prime below 2 ** 128, the modulus of digests.
+PRIME = (1 << 128) - 159
 #: Characters of texts and markup that an Arrow batch holds, about.
 BATCH_CHARS = 4_000_000
 
@@ -109,39 +112,51 @@ _BG = re.compile(r"background-color:\s*(#[0-9a-fA-F]{3,6}|rgb\(\s*\d+\s*,\s*\d+\
 _PAGE = re.compile(r"page[_-]?(\d+)")
 
 
-def _pieces(root: Node) -> dict[int, tuple[list[str], int, int]]:
-    """For each element the list of stripped text pieces that holds its own, and where they begin and
-    end there. What is in a script, style or template is that element's own, in a list of its own."""
-    spans: dict[int, tuple[list[str], int, int]] = {}
-    stack: list[tuple[Node, Iterator, list[str], int]] = [(root, iter(root.kids), [], 0)]
+class Buffer:
+    """Stripped text pieces in page order, with the places where they end; and, if asked for, their
+    prefixes as numbers in base 256 modulo a prime, so that a digest of any stretch is two of these."""
+
+    __slots__ = ("digests", "ends", "pieces", "prefixes", "sizes")
+
+    def __init__(self, digests: bool) -> None:
+        self.pieces: list[str] = []
+        self.digests, self.ends, self.sizes, self.prefixes = digests, [0], [0], [0]
+
+    def add(self, piece: str) -> None:
+        self.pieces.append(piece)
+        self.ends.append(self.ends[-1] + len(piece))
+        if self.digests:
+            data = piece.encode("utf-8", "surrogatepass")
+            self.sizes.append(self.sizes[-1] + len(data))
+            self.prefixes.append((self.prefixes[-1] * pow(256, len(data), PRIME) + int.from_bytes(data)) % PRIME)
+
+    def digest(self, begin: int, end: int) -> str:
+        before = self.prefixes[begin] * pow(256, self.sizes[end] - self.sizes[begin], PRIME)
+        return f"{(self.prefixes[end] - before) % PRIME:032x}"
+
+
+def _buffers(root: Node, digests: bool) -> dict[int, tuple[Buffer, int | None, int, int]]:
+    """For each element the buffer that holds its text, that buffer's element (None: the page) and where
+    its pieces begin and end there. What is in a script, style or template is in a buffer of its own."""
+    spans: dict[int, tuple[Buffer, int | None, int, int]] = {}
+    stack: list[tuple[Node, Iterator, Buffer, int | None, int]] = [(root, iter(root.kids), Buffer(digests), None, 0)]
     while stack:
-        node, kids, held, begin = stack[-1]
+        node, kids, held, of, begin = stack[-1]
         for kid in kids:
             if isinstance(kid, Node):
-                own = [] if kid.tag in HIDDEN else held
-                stack.append((kid, iter(kid.kids), own, len(own)))
+                hidden = kid.tag in HIDDEN
+                own = Buffer(digests) if hidden else held
+                stack.append((kid, iter(kid.kids), own, kid.ord if hidden else of, len(own.pieces)))
                 break
             if isinstance(kid, str) and kid.strip():
-                held.append(kid.strip())
+                held.add(kid.strip())
         else:
             stack.pop()
-            spans[node.ord] = (held, begin, len(held))
+            spans[node.ord] = (held, of, begin, len(held.pieces))
     return spans
 
 
-def _text(tag: str, span: tuple[list[str], int, int]) -> str:
-    held, begin, end = span
-    if tag in WHOLE_TEXTS:
-        return "".join(held[begin:end])
-    out, size = [], 0
-    for k in range(begin, end):
-        out.append(held[k])
-        size += len(held[k])
-        if size >= TEXT_START:
-            break
-    return "".join(out)[:TEXT_START]
-
-
+_TEXT = {"text", "text_in", "text_at", "text_length", "text_digest", "page_text", "own_text"}
 _CONTEXT = {"bg_style", "page_number", "in_label", "in_fieldset", "tables", "forms", "figures", "links", "near"}
 
 
@@ -155,7 +170,7 @@ def element_rows(doc_id: int | None, html: str | None, columns: tuple[str, ...]
         for node in reversed(nodes):
             if node.parent is not None:
                 node.parent.end = max(node.parent.end, node.end)
-    pieces = _pieces(builder.root) if "text" in want else {}
+    spans = _buffers(builder.root, "text_digest" in want) if want & _TEXT else {}
     with_context, with_paths = bool(want & _CONTEXT), "css_path" in want
     paths: list[str] = []
     depths: list[int] = []
@@ -168,8 +183,13 @@ def element_rows(doc_id: int | None, html: str | None, columns: tuple[str, ...]
         nth = seen[parent, node.tag] = seen.get((parent, node.tag), 0) + 1
         classes = node.attrs.get("class", "").split()
         row |= {"depth": depths[-1], "classes": classes, "nth_of_type": nth}
-        if "text" in want:
-            row["text"] = _text(node.tag, pieces[node.ord])
+        if spans:
+            held, of, begin, end = spans[node.ord]
+            row |= {"text_in": of, "text_at": held.ends[begin], "text_length": held.ends[end] - held.ends[begin]}
+            row["text"] = "".join(held.pieces[begin:end]) if node.tag in TEXT_TAGS else None
+            row["page_text"] = "".join(spans[-1][0].pieces) if node.ord == 0 else None
+            row["own_text"] = "".join(held.pieces) if of == node.ord else None
+            row["text_digest"] = held.digest(begin, end) if held.digests else None
         if "string" in want:
             row["string"] = own_string(node)
         if "snippet" in want:
