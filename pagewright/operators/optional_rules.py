@@ -153,7 +153,8 @@ def image_context(e: DataFrame) -> DataFrame:
     """For each image of (doc_id, ord) what stands around it, as lines: caption, the texts of the
     elements before and after it in its parent, the nearest heading before it, the paragraph around
     it, its alt text and its aria attributes."""
-    images = e.filter("tag = 'img'").select("doc_id", "ord", "parent_ord", "attrs")
+    parent = F.coalesce("parent_ord", F.lit(-1)).alias("parent_ord")  # the page itself
+    images = e.filter("tag = 'img'").select("doc_id", "ord", parent, "attrs")
     captions = e.filter("tag = 'figcaption'").select("doc_id", "ord", "text")
     figures = first_inside(e.filter("tag = 'figure'").select("doc_id", "ord", "end_ord"), captions, ["text"], "caption")
     rows = innermost(images, figures, ["caption"], "figure").withColumn("caption", F.col("figure.caption.text")).drop("figure")
@@ -164,7 +165,7 @@ def image_context(e: DataFrame) -> DataFrame:
     rows = rows.withColumn("p_ord", F.col("p.ord")).drop("p").join(paragraphs, ["doc_id", "p_ord"], "left")
     # what stands beside is one text per parent, and a place in it for each image
     parents = rows.select("doc_id", "parent_ord").distinct()
-    beside = with_text(e.filter("tag <> 'img'").select("doc_id", "parent_ord", "ord", *place).join(parents, ["doc_id", "parent_ord"]), e, "t")
+    beside = with_text(e.filter("tag <> 'img'").select("doc_id", parent, "ord", *place).join(parents, ["doc_id", "parent_ord"]), e, "t")
     whole = beside.groupBy("doc_id", "parent_ord").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ord", "t"))), lambda x: x["t"]), "").alias("whole"))
     both = rows.select("doc_id", "parent_ord", "ord", F.lit(0).alias("size"), F.lit(True).alias("image")).unionByName(beside.select("doc_id", "parent_ord", "ord", F.length("t").alias("size"), F.lit(False).alias("image")))
     so_far = Window.partitionBy("doc_id", "parent_ord").orderBy("ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)

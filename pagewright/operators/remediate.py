@@ -27,6 +27,7 @@ from pagewright.operators.findings import numbered
 from pagewright.operators.optional_rules import DECORATIVE_NAMES, SMALL
 from pagewright.operators.rules import GENERIC_ALTS, GENERIC_LINKS, ICON_CLASSES, NEW_WINDOW, READER_CLASSES, SKIPPED_INPUTS, TEXT_TAGS, URL_TEXT
 from pagewright.sources.html_tree import VOID, Comment, Node, TreeBuilder
+from pagewright.sources.tables import written
 
 Provider = Callable[[str, str], str]
 RAW = ("script", "style")
@@ -800,7 +801,8 @@ def remediated(pages: DataFrame, findings: DataFrame, ask: Provider = stub_provi
     told = findings if "issue_id" in findings.columns else numbered(findings)
     issue = F.struct("check_no", "emit_no", "type", "issue_id", "ord")
     work = told.filter("status = 'needs_remediation'").groupBy("doc_id").agg(F.array_sort(F.collect_list(issue)).alias("issues"))
-    rows = pages.select(F.col(id_col).cast("long").alias("doc_id"), F.col(html_col).alias("html")).join(work, "doc_id", "left")
+    # written, as an audit's plan is long and what is made of the fixed pages would hold it again
+    rows = pages.select(F.col(id_col).cast("long").alias("doc_id"), F.col(html_col).alias("html")).join(written(work, "findings"), "doc_id", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

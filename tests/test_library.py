@@ -41,11 +41,17 @@ def test_golden_snippets(spark, family):
         assert sorted(got.get((i, rules.REGISTRY[check].number), [])) == sorted(types), h
 
 
+def _place(rows, k):
+    """An element's text, from the page's buffer."""
+    at, length, page = list(COLUMNS).index("text_at"), list(COLUMNS).index("text_length"), list(COLUMNS).index("page_text")
+    return rows[0][page][rows[k][at] : rows[k][at] + rows[k][length]]
+
+
 def test_paths_and_context():
     rows = list(element_rows(1, '<html><body><div id="a"><p>x</p><p class="k page_7">y<b>z</b></p></div></body></html>'))
     paths = [r[11] for r in rows]
     assert paths[3] == "div#a > p" and paths[4] == "div#a > p.k.page_7"
-    assert rows[4][8] == "yz" and rows[4][14] == 7 and rows[5][14] == 7
+    assert _place(rows, 4) == "yz" and rows[4][14] == 7 and rows[5][14] == 7
 
 
 @settings(max_examples=40, deadline=None)
@@ -59,7 +65,12 @@ def test_parser_takes_anything(source):
 def test_unclosed_elements_stay_linear():
     source = "".join(f"<p>text {i}" for i in range(5000))
     rows = list(element_rows(1, source, tuple(c for c in COLUMNS if c not in ("css_path", "snippet"))))
-    assert len(rows) == 5000 and max(len(r[8]) for r in rows) <= 2000 and rows[0][3] == 4999
+    assert len(rows) == 5000 and rows[0][3] == 4999
+    # only the first row holds text, the page's; the others say where theirs stands in it
+    named = [dict(zip([c for c in COLUMNS if c not in ("css_path", "snippet")], r, strict=True)) for r in rows]
+    page = named[0]["page_text"]
+    assert page.startswith("text 0text 1") and all(r["text"] is None and (r["page_text"] is None) == (r["ord"] > 0) for r in named)
+    assert all(page[r["text_at"] : r["text_at"] + r["text_length"]] == "".join(f"text {i}" for i in range(r["ord"], 5000)) for r in named[::500])
     fixed = remediate.fixed(f"<!-- kept -->{source}<a href='/x-y'>learn more</a>", ["missing-title", "generic-link-text"])
     assert "<!-- kept -->" in fixed[0] and "text 4999" in fixed[0] and ">Link to x y</a>" in fixed[0]
 
@@ -183,7 +194,10 @@ def test_image_places(spark):
 def test_layout_matches_by_page_alone(spark):
     elements_ = spark.createDataFrame([(1, 0, 7, 0, "<img src='x.png'>"), (1, 0, 8, 1, "<p>t</p>"), (1, 1, 9, 0, "<p>only</p>"), (2, 0, 5, 0, "<img src='x.png'>")], "doc_id int, page int, id int, list_no int, html string")
     issues = spark.createDataFrame([(1, 1, 0, "p > img:nth-of-type(1)", None, "t"), (2, 1, 1, None, None, "t"), (3, 1, 0, None, "src='x.png'", "t"), (4, 1, 0, None, "none", "t"), (5, 1, 0, None, "none", "long-alt-text")], "issue_id int, doc_id int, page int, path string, context string, type string")
-    assert {tuple(r) for r in layout.issue_elements(issues, elements_).collect()} == {(1, 7, 0), (2, 9, 2), (3, 7, 1), (4, None, None), (5, 7, 5)}
+    assert {tuple(r) for r in layout.issue_elements(issues, elements_).collect()} == {(1, 1, 7, 0), (1, 2, 9, 2), (1, 3, 7, 1), (1, 4, None, None), (1, 5, 7, 5)}
+    # ids begin anew in each document
+    again = issues.filter("issue_id = 1").unionByName(spark.createDataFrame([(1, 2, 0, None, "src='x.png'", "t")], issues.schema))
+    assert {tuple(r) for r in layout.issue_elements(again, elements_).collect()} == {(1, 1, 7, 0), (2, 1, 5, 1)}
 
 
 def test_captions_come_later_in_the_reading_order(spark):
