@@ -25,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -111,12 +111,14 @@ def settle(chosen: np.ndarray, size: np.ndarray, words: float) -> np.ndarray:
     return p
 
 
-def _block(last: bool) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    def decide(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["order", "doc_id", "key"], kind="stable", na_position="last").reset_index(drop=True)
-        seed = int(pdf["order"].iloc[0]) & 0xFFFFFFFF
-        p = flight(pdf["p"].to_numpy(), pdf["size"].to_numpy(), seed)
-        return pdf.assign(p=landing(p, pdf["size"].to_numpy()) if last else p)
+def _block(last: bool) -> Callable[[pa.Table], pa.Table]:
+    """Decides a block; in Arrow, as ids of 64 bits beside a null one would not survive pandas."""
+
+    def decide(block: pa.Table) -> pa.Table:
+        block = block.sort_by([("order", "ascending"), ("doc_id", "ascending"), ("key", "ascending")])
+        size = block["size"].to_numpy()
+        p = flight(block["p"].to_numpy(), size, block["order"][0].as_py() & 0xFFFFFFFF)
+        return block.set_column(block.schema.get_field_index("p"), "p", pa.array(landing(p, size) if last else p, pa.float64()))
 
     return decide
 
@@ -187,7 +189,7 @@ def sample(units: DataFrame, weights: tuple[float, ...] = WEIGHTS, factor: float
         last = (counted.agg(F.max("open")).first()[0] or 0) <= BLOCK
         blocks = counted.select("source", F.ceil(F.col("open") / BLOCK).alias("blocks"))
         dealt = by_source(flying, blocks).withColumn("block", F.pmod(F.xxhash64("order", F.lit(level)), F.col("blocks")))
-        flown = durable(dealt.select(*names, "block").groupBy("source", "block").applyInPandas(_block(last), schema).select(*names), f"mix-{level}")
+        flown = durable(dealt.select(*names, "block").groupBy("source", "block").applyInArrow(_block(last), schema).select(*names), f"mix-{level}")
         if last:
             settled.append(flown)
             break

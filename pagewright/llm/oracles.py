@@ -6,7 +6,7 @@ from .exact import OP4_SQL
 from .licences import OP12_SQL
 from .merkle import OP11_SQL
 from .negatives import OP13_SQL
-from .quality import STOP_WORDS, THRESHOLDS
+from .quality import STOP_LANGS, STOP_WORDS, THRESHOLDS
 from .warc import OP6_SQL
 
 WORDS = r"list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -82,7 +82,7 @@ def _held() -> str:
 
 
 OP8_SQL = rf"""
-WITH w AS (SELECT doc_id, coalesce(text, '') AS t, {WORDS} AS ws,
+WITH w AS (SELECT doc_id, lang, coalesce(text, '') AS t, {WORDS} AS ws,
                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM documents),
 k AS (SELECT doc_id, i, array_to_string(ws[i:i + 7], ' ') AS g
       FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8)),
@@ -95,7 +95,7 @@ m AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_
              len(list_filter(ls, lambda x: regexp_matches(x, '(?:\.\.\.|…)[\x20\x09-\x0D]*$'))) AS dots,
              len(regexp_extract_all(t, '\p{{L}}+')) AS runs,
              CAST(len(list_intersect(ws, {list(dict.fromkeys(STOP_WORDS))})) AS INTEGER) AS stops,
-             CASE WHEN stops > 0 THEN stops WHEN 2 * len(regexp_extract_all(t, '[A-Za-z\x{{AA}}\x{{BA}}\x{{C0}}-\x{{D6}}\x{{D8}}-\x{{F6}}\x{{F8}}-\x{{24F}}]')) >= len(regexp_extract_all(t, '\p{{L}}')) THEN 0 END AS stop_words
+             CASE WHEN lower(regexp_extract(lang, '^[A-Za-z]*')) IN {STOP_LANGS} THEN stops END AS stop_words
       FROM w LEFT JOIN c ON c.doc_id = w.doc_id),
 r AS (SELECT *, word_chars / nw AS mean_word_chars, n_symbols / nw AS symbols_per_word, n_dup_lines / nl AS dup_line_share,
              bullets / nl AS bullet_line_share, dots / nl AS ellipsis_line_share, runs / nw AS letter_runs_per_word,

@@ -6,7 +6,8 @@ inside one map-only projection: no shuffle, no join, no user function. Repeated
 found within the row: word hashes are folded pairwise into 2-, 4- and 8-word hashes (64 bits), and
 only texts in which two windows agree sort them to count the words that they cover.
 
-Defined cases: null and blank texts have no words, fail the base rule and are rejected; rows that
+Defined cases: a table without a lang column, a null lang and any other language than the four leave
+the stop words out; null and blank texts have no words, fail the base rule and are rejected; rows that
 repeat are judged one by one; texts are read whole whatever their length; an empty table gives an
 empty result; further columns have no influence.
 """
@@ -28,8 +29,8 @@ STOP_WORDS = (
     " el los las y en que del se por con una su para es no lo"
 ).split()
 
-# Fixed value: letters of Latin script, as the stop words' languages use them.
-LATIN = r"[A-Za-z\u00AA\u00BA\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u024F]"
+# The codes of those languages.
+STOP_LANGS = ("en", "fr", "de", "es")
 
 WINDOW = 8
 
@@ -62,17 +63,16 @@ THRESHOLDS = (
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _stop_words() -> Column:
-    """Different stop words of the text; null for one without any whose letters are mostly of
-    another script, which these languages' words say nothing about."""
-    latin, letters = (F.regexp_count("q_text", F.lit(p)) for p in (LATIN, r"\p{L}"))
-    return F.when(F.col("q_stops") > 0, F.col("q_stops")).when(2 * latin >= letters, 0)
+def _stop_words(lang: Column) -> Column:
+    """Different stop words of the text; null where lang isn't one of their languages (its part before
+    the first hyphen or underscore counts)."""
+    return F.when(F.lower(F.regexp_extract(lang.cast("string"), "^[A-Za-z]*", 0)).isin(*STOP_LANGS), F.col("q_stops"))
 
 
-def measured(rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """keep and the measures of the text column. The selects are one projection when planned, or
+def measured(rows: DataFrame, text: str, lang: Column, keep: list[str]) -> DataFrame:
+    """keep and the measures of the text column, in the language lang. The selects are one projection when planned, or
     few where Spark avoids computing an expression twice."""
-    step = rows.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("q_text"))
+    step = rows.select(*keep, lang.alias("q_lang"), F.coalesce(F.col(text), F.lit("")).alias("q_text"))
     step = step.withColumns({"q_words": F.filter(F.split("q_text", WHITE, -1), lambda w: w != ""), "q_lines": F.filter(F.split("q_text", "\n", -1), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))})
     step = step.withColumn("q_stops", F.size(F.array_intersect("q_words", F.array(*map(F.lit, dict.fromkeys(STOP_WORDS))))))
     n = F.size("q_words")
@@ -87,7 +87,7 @@ def measured(rows: DataFrame, text: str, keep: list[str]) -> DataFrame:
         F.size(F.filter("q_lines", lambda x: x.rlike(r"^[\x20\x09-\x0D]*(?:[-*•‣▪◦]|[0-9]{1,3}[.)])[\x20\x09-\x0D]"))).alias("q_bullets"),
         F.when(dots, F.size(F.filter("q_lines", lambda x: x.rlike(r"(?:\.\.\.|…)[\x20\x09-\x0D]*$")))).otherwise(0).alias("q_ellipses"),
         F.regexp_count("q_text", F.lit(r"\p{L}+")).alias("q_letter_runs"),
-        _stop_words().alias("stop_words"),
+        _stop_words(F.col("q_lang")).alias("stop_words"),
         F.transform("q_words", lambda w: F.xxhash64(w)).alias("q_windows"),
     )
     fold, others = 1, [c for c in step.columns if c != "q_windows"]
@@ -142,17 +142,24 @@ def base_failed() -> Column:
     return (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
 
 
-def quality_report(docs: DataFrame, table: tuple[Threshold, ...] = THRESHOLDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _with_lang(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    if lang_col.lower() in (c.lower() for c in docs.columns):
+        return pick(docs, id_col, text_col, lang_col).toDF("doc_id", "text", "lang")
+    return pick(docs, id_col, text_col).toDF("doc_id", "text").withColumn("lang", F.lit(None).cast("string"))
+
+
+def quality_report(docs: DataFrame, table: tuple[Threshold, ...] = THRESHOLDS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, the base measures, base_failed, kept, and the table's ratios, for each row."""
-    rows = measured(pick(docs, id_col, text_col).toDF("doc_id", "text"), "text", ["doc_id"])
+    rows = measured(_with_lang(docs, id_col, text_col, lang_col), "text", F.col("lang"), ["doc_id"])
     ratios = [t.measure for t in table if t.measure not in BASE]
     return rows.select("doc_id", *BASE, base_failed().alias("base_failed"), (~base_failed() & compile_rules(table)).alias("kept"), *dict.fromkeys(ratios))
 
 
-def of_quality(docs: DataFrame, table: tuple[Threshold, ...] = THRESHOLDS, text_col: str = "text") -> DataFrame:
+def of_quality(docs: DataFrame, table: tuple[Threshold, ...] = THRESHOLDS, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of docs that the rules keep, with all their columns."""
     plain, names = numbered(docs)
-    rows = measured(plain, f"c{position(docs, text_col)}", names)
+    lang = F.col(f"c{position(docs, lang_col)}") if lang_col.lower() in (c.lower() for c in docs.columns) else F.lit(None).cast("string")
+    rows = measured(plain, f"c{position(docs, text_col)}", lang, names)
     # a row number that the filter reads keeps the optimizer from moving the filter below the folds,
     # where every array would be computed again for each use of it
     judged = rows.select(*names, (~base_failed() & compile_rules(table)).alias("q_kept"), F.monotonically_increasing_id().alias("q_row"))

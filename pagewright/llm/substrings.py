@@ -10,7 +10,8 @@ Each edge that two documents have gets its source: the least document and place
 which also identify it from then on. Counts of the edges into and out of a node give its degrees.
 Where a node has one edge in and one out, and the two follow each other in their source, a join on
 the node compacts them into one path; paths are cut every PATH places of the source, so that no task
-holds a long document. A join of all places on their edge threads documents through the paths, and
+holds a long document. A path only names what a task gathers: spans would be the same with any cut
+of the source. A join of all places on their edge threads documents through the paths, and
 gives spans with source coordinates. Those are then verified: the words of the source's text at
 its coordinates must be those of the span, by a digest of both. The verified spans' words go.
 
@@ -38,7 +39,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import HOT_ROWS, HOT_SHARE, discard, durable, pick, salted_join, small_batches, texts
+from .common import HOT_ROWS, HOT_SHARE, discard, durable, hot_keys, pick, salted_join, small_batches, texts
 from .neardup import Hashes, _mixed
 
 WINDOW, ANCHOR = 50, 20
@@ -127,7 +128,7 @@ def _digest(words: list[bytes]) -> tuple[bytes, str]:
     return xxhash.xxh3_128_digest(joined), hashlib.sha256(joined).hexdigest()
 
 
-META = "doc_id long, n_words long, digest binary, sha string, anchors array<long>, n_anchors int"
+META = "doc_id long, text_key long, n_words long, digest binary, sha string, anchors array<long>, n_anchors int"
 
 
 def _meta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,8 +141,8 @@ def _meta(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows.append((len(words), *_digest(words), found, len(found)))
         n, digest, sha, anchors, counts = zip(*rows, strict=True) if rows else ((), (), (), (), ())
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sha, pa.string()), pa.array(anchors, pa.list_(pa.int64())), pa.array(counts, pa.int32())],
-            names=["doc_id", "n_words", "digest", "sha", "anchors", "n_anchors"],
+            [batch.column(0), batch.column(batch.schema.get_field_index("text_key")), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sha, pa.string()), pa.array(anchors, pa.list_(pa.int64())), pa.array(counts, pa.int32())],
+            names=["doc_id", "text_key", "n_words", "digest", "sha", "anchors", "n_anchors"],
         )
 
 
@@ -309,61 +310,75 @@ def _runs(places: Column) -> Column:
 def threaded(known: DataFrame) -> DataFrame:
     """Spans (doc_id, at, length, source, source_at) of the documents along the paths."""
     places = known.filter("doc_id > source").select("doc_id", "at", "source", "source_at")
-    on_path = places.join(paths_of(known), ["source", "source_at"]).withColumn("shift", F.col("at") - F.col("source_at"))
+    on_path = salted_join(places, paths_of(known), ["source", "source_at"], F.xxhash64("doc_id", "at"), "inner").withColumn("shift", F.col("at") - F.col("source_at"))
     # a path's places in a document, of which PATH bounds the number; rows that repeat count once
     of_path = on_path.groupBy("doc_id", "source", "path_at", "shift").agg(F.array_sort(F.collect_set("at")).alias("places"))
     runs = of_path.select("doc_id", "source", "shift", F.explode(_runs(F.col("places"))).alias("run"))
     return runs.select("doc_id", "run.at", "run.length", "source", (F.col("run.at") - F.col("shift")).alias("source_at"))
 
 
-def repeated_spans(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The meta table of rows (doc_id, text), with first (the least doc_id of the same words); and
-    spans: doc_id, digest, at, length, and either source, source_digest and source_at, or back."""
+def _of_texts(rows: DataFrame, facts: DataFrame, hot: DataFrame, names: list[str]) -> DataFrame:
+    """facts (doc_id, text_key, names) with the texts they are about. An id with many texts sends each
+    text to its own facts alone; a row that repeats often, told by hot, is dealt to many tasks."""
+    return salted_join(rows, facts, ["doc_id", "text_key"], F.monotonically_increasing_id(), "inner", hot).select("doc_id", "text", *names)
+
+
+def repeated_spans(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The meta table of rows (doc_id, text, text_key), with first (the least doc_id of the same words);
+    and spans: doc_id, digest, text_key, at, length, and either source, source_digest, source_key and
+    source_at, or back; and the hot (doc_id, text_key)."""
     small_batches(rows.sparkSession)
     meta = durable(rows.mapInArrow(_meta, META), "substring-meta")
+    hot_texts = durable(hot_keys(meta, ["doc_id", "text_key"]), "substring-hot")
     same = durable(meta.filter("doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("first")), "substring-firsts")
     slim = salted_join(meta.drop("anchors"), same, ["digest"], F.xxhash64("doc_id"))
     part = F.row_number().over(Window.partitionBy("doc_id").orderBy("digest")) - 1
     leaders = salted_join(meta.filter(f"n_words >= {WINDOW}"), same, ["digest"], F.xxhash64("doc_id"), "inner").filter("doc_id = first")
-    leaders = durable(leaders.groupBy("doc_id", "digest").agg(F.first("anchors").alias("anchors")).withColumn("part", part), "substring-leaders")
-    anchored = leaders.select("doc_id", "digest", "part", F.explode("anchors").alias("anchor"))
+    one = F.min_by(F.struct("text_key", "anchors"), "text_key").alias("one")  # of texts that differ in white space
+    leaders = leaders.groupBy("doc_id", "digest").agg(one).select("doc_id", "digest", "one.text_key", "one.anchors")
+    leaders = durable(leaders.withColumn("part", part), "substring-leaders")
+    text = ["doc_id", "text_key", "digest", "part"]
+    anchored = leaders.select(*text, F.explode("anchors").alias("anchor"))
     shared = anchored.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).filter("low < high")
     least = max((meta.agg(F.sum("n_anchors")).first()[0] or 0) * HOT_SHARE, HOT_ROWS)
     work = salted_join(anchored, shared.select("anchor"), ["anchor"], F.xxhash64("doc_id"), "inner", shared.filter(F.col("n") >= least).select("anchor"))
-    work = work.groupBy("doc_id", "digest", "part").agg(F.collect_list("anchor").alias("repeated"))
-    given = rows.join(work, "doc_id").select("doc_id", "text", "digest", "part", "repeated")
-    found = durable(given.mapInArrow(_edges, SPANS), "substring-edges")
-    edge = Window.partitionBy("tail", "head")
-    known = found.filter("tail is not null").select("tail", "head", "doc_id", "at").withColumns({"s": F.min(F.struct("doc_id", "at")).over(edge), "last": F.max("doc_id").over(edge)})
-    known = durable(known.filter("last > s.doc_id").select("tail", "head", "doc_id", "at", F.col("s.doc_id").alias("source"), F.col("s.at").alias("source_at")), "substring-known")
+    work = work.groupBy(*text).agg(F.collect_list("anchor").alias("repeated"))
+    found = durable(_of_texts(rows, work, hot_texts, ["digest", "part", "repeated"]).mapInArrow(_edges, SPANS), "substring-edges")
+    edges = found.filter("tail is not null").select("tail", "head", "doc_id", "at")
+    sources = edges.groupBy("tail", "head").agg(F.min(F.struct("doc_id", "at")).alias("s"), F.max("doc_id").alias("last"), F.count("*").alias("n")).filter("last > s.doc_id")
+    sources = durable(sources.select("tail", "head", "n", F.col("s.doc_id").alias("source"), F.col("s.at").alias("source_at")), "substring-sources")
+    hot = sources.filter(F.col("n") >= max(edges.count() * HOT_SHARE, HOT_ROWS)).select("tail", "head")
+    known = durable(salted_join(edges, sources.drop("n"), ["tail", "head"], F.xxhash64("doc_id", "at"), "inner", hot), "substring-known")
     spans = found.filter("tail is null").select("doc_id", "at", "length", "source", "source_at").unionByName(threaded(known))
     within = [F.floor(F.col(c) / PART).cast("int").alias(p) for c, p in (("at", "part"), ("source_at", "source_part"))]
     spans = spans.select("doc_id", (F.col("at") % PART).alias("at"), "length", "source", (F.col("source_at") % PART).alias("source_at"), *within)
-    named = leaders.select("doc_id", "digest", "part")
+    named = leaders.select(*text)
     spans = durable(spans.join(named, ["doc_id", "part"]).drop("part"), "substring-spans")
     discard(found)
     discard(known)
-    origin = named.select(F.col("doc_id").alias("source"), F.col("digest").alias("source_digest"), F.col("part").alias("source_part"))
+    origin = named.select(F.col("doc_id").alias("source"), F.col("digest").alias("source_digest"), F.col("text_key").alias("source_key"), F.col("part").alias("source_part"))
     of_source = spans.filter("source < doc_id")
     told = salted_join(of_source, origin, ["source", "source_part"], F.xxhash64("doc_id", "at"), "inner").drop("source_part")
-    back = spans.filter("source = doc_id").select("doc_id", "digest", "at", "length", F.col("source_at").alias("back"))
-    return slim, told.unionByName(back, allowMissingColumns=True)
+    back = spans.filter("source = doc_id").select("doc_id", "digest", "text_key", "at", "length", F.col("source_at").alias("back"))
+    return slim, told.unionByName(back, allowMissingColumns=True), hot_texts
 
 
-def verified(rows: DataFrame, spans: DataFrame) -> DataFrame:
+def verified(rows: DataFrame, spans: DataFrame, hot: DataFrame) -> DataFrame:
     """spans with passage, the digest of the source's words at the span's source coordinates."""
-    passage = ["source", "source_digest", "source_at", "length"]
+    passage, text = ["source", "source_digest", "source_at", "length"], ["doc_id", "digest", "text_key", "at", "length"]
     told = durable(spans.filter("back is null").drop("back"), "substring-told")
-    wanted = told.select(*passage).distinct().groupBy(F.col("source").alias("doc_id"), F.col("source_digest").alias("digest")).agg(F.collect_list(F.struct("source_at", "length")).alias("wanted"))
-    read = rows.join(wanted, "doc_id").select("doc_id", "text", "digest", "wanted").mapInArrow(_passages, PASSAGES).dropDuplicates(passage)
-    checked = salted_join(told, read, passage, F.xxhash64("doc_id", "at"), "inner").select("doc_id", "digest", "at", "length", "passage")
-    return checked.unionByName(spans.filter("back is not null").select("doc_id", "digest", "at", "length", "back"), allowMissingColumns=True)
+    places = told.select(*passage, "source_key").distinct().groupBy(F.col("source").alias("doc_id"), F.col("source_key").alias("text_key"), F.col("source_digest").alias("digest"))
+    wanted = places.agg(F.collect_list(F.struct("source_at", "length")).alias("wanted"))
+    read = _of_texts(rows, wanted, hot, ["digest", "wanted"]).mapInArrow(_passages, PASSAGES).dropDuplicates(passage)
+    checked = salted_join(told, read, passage, F.xxhash64("doc_id", "at"), "inner").select(*text, "passage")
+    return checked.unionByName(spans.filter("back is not null").select(*text, "back"), allowMissingColumns=True)
 
 
 def _cleaned(rows: DataFrame, whole: bool) -> DataFrame:
-    meta, spans = repeated_spans(rows)
-    lists = verified(rows, spans).groupBy("doc_id", "digest").agg(F.collect_list(F.struct("at", "length", "back", "passage")).alias("spans"))
-    cut = rows.join(lists, "doc_id").select("doc_id", "text", "digest", "spans").mapInArrow(_kept(whole), KEPT)
+    rows = rows.withColumn("text_key", F.xxhash64("text"))
+    meta, spans, hot = repeated_spans(rows)
+    lists = verified(rows, spans, hot).groupBy("doc_id", "text_key", "digest").agg(F.collect_list(F.struct("at", "length", "back", "passage")).alias("spans"))
+    cut = _of_texts(rows, lists, hot, ["digest", "spans"]).mapInArrow(_kept(whole), KEPT)
     cut = cut.dropDuplicates(["doc_id", "digest"])
     copy = (F.col("doc_id") > F.col("first")) & (F.col("n_words") >= WINDOW)
     joined = meta.join(cut, ["doc_id", "digest"], "left")

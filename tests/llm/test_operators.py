@@ -202,6 +202,15 @@ def test_substrings_long_paths_and_branches(spark, monkeypatch):
     assert rows(substrings.substring_report(df), "doc_id", "n_words", "n_removed", "kept_sha256") == removed(table)
 
 
+def test_substrings_of_many_texts_under_one_id(spark):
+    r = random.Random(9)
+    shared = " ".join(f"s{i}" for i in range(70))
+    table = [(5, " ".join(f"w{r.randrange(90)}" for _ in range(60)) + f" {shared} " + f"t{k}") for k in range(120)]
+    table += [(9, shared + " tail"), (9, f" {shared}\ttail"), (None, shared), (5, table[0][1])] + [(11, shared + " again")] * 40
+    df = spark.createDataFrame(table, "doc_id long, text string").repartition(3)
+    assert rows(substrings.substring_report(df), "doc_id", "n_words", "n_removed", "kept_sha256") == removed(table)
+
+
 def test_substrings_are_verified():
     words = [f"w{i}".encode() for i in range(120)]
     passage = substrings._passage(words, 10, 5)
@@ -538,11 +547,24 @@ def test_quality_keeps_clean_and_drops_junk(spark, docs):
     assert left.columns == docs.columns and left.count() == quality.quality_report(docs).filter("kept").count()
 
 
-def test_quality_of_other_scripts(spark):
-    text = " ".join(f"слово{i} и ещё" for i in range(40))
+# plain prose of languages that the stop words say nothing about
+INDONESIAN = "Setiap pagi ibu pergi ke pasar untuk membeli sayuran segar dan ikan yang baru ditangkap oleh nelayan di pantai dekat rumah kami. "
+POLISH = "Rano babcia wychodzi na targ, aby kupić świeże warzywa oraz ryby, które rybacy złowili nocą niedaleko naszego starego drewnianego domu. "
+TURKISH = "Annem her sabah pazara giderek taze sebzeler ile balıkçıların gece evimizin yakınında tuttuğu balıkları satın alır ve akşam pişirir. "
+
+
+def test_quality_of_other_languages(spark):
+    cyrillic = " ".join(f"слово{i} и ещё" for i in range(40))
     junk = " ".join(f"qzx{i} vbn kjh" for i in range(40))
-    got = {r["doc_id"]: r for r in quality.quality_report(spark.createDataFrame([(1, text), (2, junk)], "doc_id long, text string")).collect()}
-    assert got[1]["kept"] and got[1]["stop_words"] is None and not got[2]["kept"]
+    prose = [" ".join(f"{w}{i}" if k % 5 == 0 else w for i in range(4) for k, w in enumerate(t.split())) for t in (INDONESIAN, POLISH, TURKISH)]
+    table = [(1, cyrillic, "ru"), (2, junk, "en"), (3, junk, "DE-at"), (4, prose[0], "id"), (5, prose[1], "pl"), (6, prose[2], None), (7, prose[0], "es_MX")]
+    df = spark.createDataFrame(table, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in quality.quality_report(df).collect()}
+    assert all(got[k]["n_words"] >= 60 and not got[k]["base_failed"] for k in got)
+    assert [got[k]["kept"] for k in range(1, 8)] == [True, False, False, True, True, True, False]
+    assert got[1]["stop_words"] is None and got[2]["stop_words"] == 0
+    assert {r["doc_id"] for r in quality.of_quality(df).collect()} == {1, 4, 5, 6}
+    assert quality.quality_report(df.drop("lang")).filter("kept").count() == 7
 
 
 def test_quality_keeps_a_long_clean_text(spark):
@@ -646,6 +668,19 @@ def test_mixing_meets_targets(docs):
     assert all(abs(taken[n] - target[n]) <= max(0.05 * target[n], 40) for n in names)
 
 
+def test_mixing_keeps_large_ids(spark):
+    table = [(None if i == 7 else 2**60 + 2 * i + 1, "w " * (i % 40 + 1), "a" if i % 3 else None) for i in range(120)]
+    df = spark.createDataFrame(table, "doc_id long, text string, source string")
+    got = mixing.mix_report(df).collect()
+    assert Counter(r["doc_id"] for r in got) == Counter(r[0] for r in table)
+    size = {r[0]: len(plain(r[1])) for r in table}
+    assert all(r["size"] == size[r["doc_id"]] and r["taken"] % r["size"] == 0 for r in got)
+    for whole in {r["source_size"] for r in got}:
+        of_source = [r for r in got if r["source_size"] == whole]
+        # the least that any choice of whole documents could miss the target by is below the smallest size
+        assert abs(sum(r["taken"] for r in of_source) - of_source[0]["target"]) <= min(r["size"] for r in of_source)
+
+
 def test_mixing_odd_and_empty(odd, none):
     got = mixing.mix_report(odd).collect()
     assert len(got) == len(ODD) and all(r["taken"] <= 2 * r["size"] for r in got)
