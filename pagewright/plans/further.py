@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pagewright.functions import table_functions, text
-from pagewright.operators import combine, findings as fs, images, jobs, layout, rules, structure
+from pagewright.operators import combine, images, jobs, layout, remediate, rules, structure
+from pagewright.operators import findings as fs
 from pagewright.sources import files
 from pagewright.sources.html_tree import elements
-from pagewright.sources.tables import shared_folder, written
+from pagewright.sources.tables import new_folder, written
 from pagewright.streaming import job_state, retries
 
-from .catalog import F_SQL, MAIN_SQL, WCAG_OF, WCAG_VALUES, audited, parsed, query, table
+from .catalog import F_SQL, MAIN_SQL, NO_FIX, WCAG_OF, WCAG_VALUES, audited, parsed, query, table
+
 
 # ---- structure of the pages' own markup --------------------------------------------------------
 
@@ -122,6 +124,34 @@ def report_text(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("doc_id", F.col("parts")[0].alias("headline"), F.array_join(lines, ";").alias("lines"))
 
 
+@query("report_html", f"{F_SQL} SELECT doc_id, count(*) AS findings, count(*) FILTER (status = 'needs_remediation') AS to_do FROM f GROUP BY doc_id")
+def report_html(spark: SparkSession, d: str) -> DataFrame:
+    """The HTML report's table, counted by its rows and their status cells."""
+    docs, e = parsed(spark, d, detailed=True)
+    rows = files.html_rows(fs.enriched(rules.audit(docs, e), e, detailed=False))
+    return rows.select("doc_id", F.regexp_count("value", F.lit("<tr><td>")).cast("long").alias("findings"), F.regexp_count("value", F.lit("<td>needs_remediation</td>")).cast("long").alias("to_do"))
+
+
+@query("fix_report", f"{F_SQL} SELECT type, CASE WHEN type IN {NO_FIX} THEN 'skipped' ELSE 'remediated' END AS outcome, count(*) AS n, count(DISTINCT doc_id) AS documents FROM f WHERE status = 'needs_remediation' GROUP BY ALL")
+def fix_report(spark: SparkSession, d: str) -> DataFrame:
+    """The second kind of CSV report, of fixes, written and read back."""
+    docs, e = parsed(spark, d)
+    path = new_folder(spark, "fix-report")
+    files.remediation_rows(remediate.remediated(table(spark, d, "pages"), rules.audit(docs, e))).write.option("header", True).csv(path)
+    read = spark.read.schema("doc_id long, issue_id string, type string, outcome string, note string").option("header", True).csv(path)
+    return read.groupBy("type", "outcome").agg(F.count("*").alias("n"), F.count_distinct("doc_id").alias("documents"))
+
+
+@query("usage_by_date", "SELECT CAST(ts AS DATE) AS date, event_type AS purpose, count(*) AS calls, CAST(sum(user_id) AS BIGINT) AS input_tokens FROM events GROUP BY ALL")
+def usage_by_date(spark: SparkSession, d: str) -> DataFrame:
+    """Usage rows in a folder per day, read back."""
+    calls = table(spark, d, "events").select("ts", F.col("event_type").alias("purpose"), F.col("user_id").alias("input_tokens"))
+    path = new_folder(spark, "usage")
+    files.usage_files(calls, path)
+    read = spark.read.schema("purpose string, input_tokens long, date date").json(path)
+    return read.groupBy("date", "purpose").agg(F.count("*").alias("calls"), F.sum("input_tokens").alias("input_tokens"))
+
+
 @query("pages_with_none", """SELECT CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE o_custkey % 9 END AS page_number, count(*) AS total, count(*) FILTER (o_orderstatus = 'O') AS needs_remediation,
   count(*) FILTER (o_orderstatus = 'F') AS remediated, CAST(0 AS BIGINT) AS auto_remediated, count(*) FILTER (o_orderstatus = 'P') AS compliant FROM orders GROUP BY 1""")
 def pages_with_none(spark: SparkSession, d: str) -> DataFrame:
@@ -238,13 +268,12 @@ def job_states(spark: SparkSession, d: str) -> DataFrame:
 @query("retry_ledger", "SELECT c_custkey AS item, CAST(least(c_custkey % 5 + 1, 3) AS INT) AS tries, c_custkey % 5 < 3 AS ok, CASE WHEN c_custkey % 5 < 3 THEN 'done' ELSE 'RuntimeError: not yet' END AS result FROM customer")
 def retry_ledger(spark: SparkSession, d: str) -> DataFrame:
     """Customers as items of which some succeed at a later try, some never; three tries each."""
-    import uuid
 
     def handle(item: int, attempt: int) -> tuple[bool, str]:
         if attempt <= item % 5:
             raise RuntimeError("not yet")
         return True, "done"
 
-    path = f"{shared_folder(spark)}/pagewright-tables-{spark.sparkContext.applicationId}/ledger-{uuid.uuid4().hex}"
+    path = new_folder(spark, "ledger")
     retries.work_off(table(spark, d, "customer").select(F.col("c_custkey").alias("item")), handle, path, slices=2)
     return retries.settled_items(retries.ledger_of(spark, path)).select("item", "tries", "ok", "result")

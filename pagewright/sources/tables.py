@@ -34,11 +34,17 @@ def _delete_at_exit(spark: SparkSession, path: str) -> None:
     atexit.register(delete)
 
 
+def new_folder(spark: SparkSession, label: str) -> str:
+    """A folder of its own among the written tables. Its files go when the application ends."""
+    path = f"{shared_folder(spark)}/pagewright-tables-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    _delete_at_exit(spark, path)
+    return path
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows of df, written to the shared folder and read from there. What reads them has a short
     plan, and a lost executor costs a read. The files go when the application ends."""
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/pagewright-tables-{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    path = new_folder(spark, label)
     df.write.parquet(path)
-    _delete_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)

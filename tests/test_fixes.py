@@ -15,7 +15,7 @@ from pagewright.operators.remediate import Document, settled
 from pagewright.plans.further import TWO_DAYS, job_moves
 from pagewright.sources import files
 from pagewright.sources.html_tree import elements
-from pagewright.streaming import job_state, retries
+from pagewright.streaming import job_state, retries, status
 
 SF = "/root/testdata/sf0.001"
 
@@ -287,3 +287,12 @@ def test_a_stopped_run_is_taken_up(spark, tmp_path):
     (tmp_path / "broken" / "pass-3" / "slice-0" / "_SUCCESS").unlink()
     assert retries.ledger_of(spark, broken).filter("attempt = 3 and slice = 0").isEmpty()
     assert retries.work_off(items, handle, broken, slices=3) and sorted(map(tuple, retries.ledger_of(spark, broken).collect())) == a
+
+
+def test_uploads_count_once(spark, tmp_path):
+    rows = [(f"k{i % 7}", f"2024-01-0{1 + i % 3} 0{i % 9}:00:00") for i in range(40)]
+    events = spark.createDataFrame(rows, "key string, ts string").withColumn("ts", F.to_timestamp("ts"))
+    events.repartition(3).write.parquet(str(tmp_path / "in"))
+    stream = status.uploads_once(spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in")), late="9 days")
+    status.run_to_table(stream, "uploads_seen", str(tmp_path / "state"), "append")
+    assert sorted(r["key"] for r in spark.table("uploads_seen").collect()) == [f"k{i}" for i in range(7)]
