@@ -109,6 +109,14 @@ def test_sharding_balances_and_keeps_groups(docs):
     assert len({k[:2] for k in whole}) == len(whole)
 
 
+def test_sharding_columns_against_plain(docs, odd):
+    for df in (docs, odd):
+        got = sharding.shard(df).collect()
+        want = Counter((r["doc_id"], len((r["text"] or "").encode()) + 1, zlib.crc32((r["text"] or "").encode())) for r in df.collect())
+        assert Counter((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == want
+        assert {r["law"] for r in got} == {"bytes"} and all(r["grown_shard"] is None and 0 <= r["shard"] < 8 for r in got)
+
+
 def test_sharding_splits_a_hot_group(spark):
     df = spark.createDataFrame([(i, "same text" if i % 2 else f"text {i}") for i in range(2000)], "doc_id long, text string")
     got = sharding.shard(df).collect()
