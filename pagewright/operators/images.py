@@ -44,27 +44,30 @@ def missing(wanted: DataFrame, target: DataFrame, known: DataFrame, fill: bool =
 
 def resolved(wanted: DataFrame, bases: DataFrame, files: DataFrame) -> DataFrame:
     """name, path: where each name of wanted (name) is among files (path). First the usual places
-    under each of bases (base, base_no), then any place below one, then an image file below one
-    whose name begins alike."""
+    under each of bases (base, base_no; the few folders to search), then any place below one, then an
+    image file below one whose name begins alike. Only bases are broadcast: Spark takes files and names
+    for small by their estimated size, which knows nothing of how long texts are."""
     f = files.withColumn("file_name", base_name(F.col("path")))
     b = bases.withColumn("base", F.regexp_replace("base", "/+$", ""))
     places = F.array(*[F.concat("base", F.lit(f"/{p}")) for p in PLACES], F.concat(parent(F.col("base")), F.lit("/assets/")))
     spots = b.select("base_no", F.posexplode(places).alias("place_no", "folder"))
-    usual = f.withColumn("folder", F.concat(parent(F.col("path")), F.lit("/"))).join(spots, "folder").select("path", "file_name", F.lit(0).alias("way"), "base_no", "place_no")
+    usual = f.withColumn("folder", F.concat(parent(F.col("path")), F.lit("/"))).join(F.broadcast(spots), "folder").select("path", "file_name", F.lit(0).alias("way"), "base_no", "place_no")
     # every folder above a file, to meet its base by an equi join
     parts = F.split("path", "/")
     above = F.transform(F.sequence(F.lit(1), F.greatest(F.size(parts) - 1, F.lit(1))), lambda n: F.array_join(F.slice(parts, F.lit(1), n), "/"))
-    below = f.withColumn("base", F.explode(above)).join(b, "base").select("path", "file_name", F.lit(1).alias("way"), "base_no", F.lit(0).alias("place_no"))
+    below = f.withColumn("base", F.explode(above)).join(F.broadcast(b), "base").select("path", "file_name", F.lit(1).alias("way"), "base_no", F.lit(0).alias("place_no"))
     names = wanted.select("name").distinct()
     rank = F.struct("way", "base_no", "place_no", "path")
-    exact = names.join(usual.unionByName(below), names["name"] == F.col("file_name")).groupBy("name").agg(F.min_by("path", rank).alias("path"))
+    exact = usual.unionByName(below).groupBy(F.col("file_name").alias("name")).agg(F.min_by("path", rank).alias("path"))
+    found = names.join(exact.hint("merge"), "name", "left")
     stem = F.regexp_replace("name", r"\.[^.]*$", "")
-    rest = names.join(exact, "name", "left_anti").withColumn("stem", stem).filter("stem <> ''")
-    # names that begin alike meet by their first letters, then are compared whole
+    rest = found.filter("path is null").select("name", stem.alias("stem"))
+    # names that begin alike meet by their first letters; of the files under a stem, one is kept before the join
     starts = F.transform(F.sequence(F.lit(1), F.length("file_name")), lambda n: F.substring("file_name", F.lit(1), n))
     alike = below.filter(F.col("file_name").rlike(LIKE_IMAGES)).withColumn("stem", F.explode(starts))
-    similar = rest.join(alike, "stem").groupBy("name").agg(F.min_by("path", F.struct("base_no", "path")).alias("path"))
-    return names.join(exact.unionByName(similar), "name", "left")
+    alike = alike.groupBy("stem").agg(F.min_by("path", F.struct("base_no", "path")).alias("path"))
+    similar = rest.join(alike.hint("merge"), "stem", "left").select("name", "path")
+    return found.filter("path is not null").unionByName(similar)
 
 
 def image_folder(bases: DataFrame, folders: DataFrame) -> DataFrame:

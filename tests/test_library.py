@@ -191,6 +191,18 @@ def test_image_places(spark):
     assert {tuple(r) for r in images.resolved(wanted, bases, files_).collect()} == {("a.png", "out/assets/a.png"), ("b.png", "out/page/b-1.JPG"), ("c.png", None)}
 
 
+def test_image_files_and_names_are_not_broadcast(spark):
+    """However small Spark takes them for. Of files whose names begin alike, the first path stays."""
+    files_ = spark.range(60).selectExpr("concat('out/page/', CASE WHEN id < 30 THEN 'x/' ELSE '' END, 'n', id, '.png') AS path")
+    wanted = spark.range(1, 8).selectExpr("concat('n', id, CASE WHEN id < 4 THEN '.webp' ELSE '.png' END) AS name").unionByName(spark.range(1).selectExpr("'else.png' AS name"))
+    rows = images.resolved(wanted, spark.createDataFrame([("out/page", 0)], "base string, base_no int"), files_)
+    alike = {("n1.webp", "out/page/x/n1.png"), ("n2.webp", "out/page/x/n2.png"), ("n3.webp", "out/page/n30.png")}
+    assert sorted(map(tuple, rows.collect()), key=str) == sorted(alike | {(f"n{k}.png", f"out/page/x/n{k}.png") for k in range(4, 8)} | {("else.png", None)}, key=str)
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BuildLeft" not in plan
+    assert "BroadcastHashJoin [name" not in plan and "BroadcastHashJoin [stem" not in plan
+
+
 def test_layout_matches_by_page_alone(spark):
     elements_ = spark.createDataFrame([(1, 0, 7, 0, "<img src='x.png'>"), (1, 0, 8, 1, "<p>t</p>"), (1, 1, 9, 0, "<p>only</p>"), (2, 0, 5, 0, "<img src='x.png'>")], "doc_id int, page int, id int, list_no int, html string")
     issues = spark.createDataFrame([(1, 1, 0, "p > img:nth-of-type(1)", None, "t"), (2, 1, 1, None, None, "t"), (3, 1, 0, None, "src='x.png'", "t"), (4, 1, 0, None, "none", "t"), (5, 1, 0, None, "none", "long-alt-text")], "issue_id int, doc_id int, page int, path string, context string, type string")
