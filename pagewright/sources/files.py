@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from pagewright.functions.text import page_number, title_source
+from pagewright.sources.tables import written
 
 
 def html_files(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
@@ -33,9 +34,10 @@ def by_page(files: DataFrame) -> DataFrame:
 
 def placed(files: DataFrame) -> DataFrame:
     """files with place, their number in that order from 1. Each range of the order is numbered in a
-    task of its own; of the ranges, only the counts are added up."""
+    task of its own; of the ranges, only the counts are added up. The ranges are written once: worked
+    out again, for the counts, they could be others."""
     number = F.coalesce("page_number", F.lit(999))
-    ranged = files.repartitionByRange(number, F.col("file")).withColumn("range_no", F.spark_partition_id())
+    ranged = written(files.repartitionByRange(number, F.col("file")).withColumn("range_no", F.spark_partition_id()), "ranges")
     within = F.row_number().over(Window.partitionBy("range_no").orderBy(number, "file"))
     before = F.coalesce(F.sum("n").over(Window.orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     counts = ranged.groupBy("range_no").agg(F.count("*").alias("n")).select("range_no", before.alias("before"))

@@ -175,6 +175,18 @@ def test_files_and_reports(spark, tmp_path):
     assert spark.read.json(str(tmp_path / "json")).count() == full.count() == spark.read.option("header", True).csv(str(tmp_path / "csv")).count()
 
 
+def test_places_have_no_gaps(spark):
+    """Also where ranges are found by samples, and the files have more columns than their order."""
+    files_ = spark.range(60_000).selectExpr("id", "concat('out/', CASE WHEN id % 3 = 0 THEN 'other' ELSE 'page-' END, id, '.html') AS file", "repeat(id, 9) AS html").withColumn("page_number", text.page_number(F.col("file")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+    try:
+        rows = files.placed(files_).select("place", "id").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")
+    order = sorted(range(60_000), key=lambda k: (999, f"out/other{k}.html") if k % 3 == 0 else (k, ""))
+    assert sorted(map(tuple, rows)) == [(n + 1, k) for n, k in enumerate(order)]
+
+
 def test_stream_equals_batch(spark, tmp_path):
     events = spark.read.parquet(f"{SF}/events.parquet")
     events.repartition(4).write.parquet(str(tmp_path / "in"))
