@@ -339,7 +339,7 @@ def content_types(spark: SparkSession, d: str) -> DataFrame:
 
 @query("glyph_pairs", "SELECT p_partkey, printf('%04X', CAST(p_partkey AS BIGINT)) || '=A' AS pair FROM part")
 def glyph_pairs(spark: SparkSession, d: str) -> DataFrame:
-    data = F.concat(F.lit("begincodespacerange <0000> <FFFF> endcodespacerange beginbfchar <"), F.lpad(F.hex("p_partkey"), 4, "0"), F.lit("> <0041> endbfchar"))
+    data = F.concat(F.lit("begincodespacerange <0000> <FFFF> endcodespacerange beginbfchar <"), F.format_string("%04X", "p_partkey"), F.lit("> <0041> endbfchar"))
     pairs = F.transform(text.glyph_pairs(data), lambda p: F.concat(p["src"], F.lit("="), p["dst"]))
     return table(spark, d, "part").select("p_partkey", F.array_join(pairs, ",").alias("pair"))
 

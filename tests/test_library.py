@@ -119,6 +119,12 @@ def test_text_rules(spark):
     assert tuple(row) == ("A cat", "th-total-amount", "header-2", "hello", "a/FINAL_b.pdf")
 
 
+def test_long_glyph_codes_stay_whole(spark, tmp_path):
+    spark.createDataFrame([(10,), (65535,), (65536,), (1200000,)], "p_partkey long").write.parquet(str(tmp_path / "part.parquet"))
+    rows = catalog.queries()["glyph_pairs"](spark, str(tmp_path)).collect()
+    assert {tuple(r) for r in rows} == {(10, "000A=A"), (65535, "FFFF=A"), (65536, "10000=A"), (1200000, "124F80=A")}
+
+
 def test_boxes_are_matched_once(spark):
     images = spark.createDataFrame([(1, 1, 1, 10.0, 10.0, 5.0, 5.0), (1, 2, 2, 12.0, 10.0, 5.0, 5.0)], "file long, image_id long, image_no long, x double, top double, width double, height double")
     boxes = spark.createDataFrame([(1, 7, 1, 17.0, 10.0, 5.0, 5.0), (1, 8, 2, 19.4, 17.5, 5.0, 5.0), (1, 9, 3, 19.0, 17.0, 5.0, 5.0)], "file long, box_id long, box_no long, x double, top double, width double, height double")
