@@ -160,6 +160,12 @@ def spoken_step(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(words, r"\s+", " "), "^[ ,]+|[ ,]+$", "")
 
 
+def ended_references(html: Column) -> Column:
+    """Markup of which &amp;, &lt; and &gt; alone are decoded. Any other & stands for itself, also where
+    HTML would take it for a reference, as that without its semicolon."""
+    return F.regexp_replace(html, "&(?!(?:amp|lt|gt);)", "&amp;")
+
+
 def page_number(path: Column) -> Column:
     return F.regexp_extract(path, r"(?i)page[_-]?(\d+)\.html$", 1).try_cast("int")
 
